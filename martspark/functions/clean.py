@@ -94,22 +94,24 @@ def is_numeric_text(c: ColumnOrName) -> Column:
     return F.trim(_col(c)).rlike(NUMERIC_TEXT)
 
 
-ISO_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
-
-
-def parse_timestamp(c: ColumnOrName, formats: Iterable[str] = ISO_FORMATS,
+def parse_timestamp(c: ColumnOrName, formats: Iterable[str] | None = None,
                     sentinels: Iterable[str] = ("", "N/A")) -> Column:
-    """First format that parses wins; sentinels and bad text -> NULL.
+    """Text -> ``timestamp_ntz``; sentinels and bad text -> NULL.
 
-    Returns ``timestamp_ntz`` (the source column is a zone-less timestamp).
+    Without ``formats`` the text is cast like the source's ``::timestamp``:
+    ISO dates with a ``T`` or a space before the time, or a bare date.  The
+    cast does not throw on a miss, so it is cheap on dirty feeds.  With
+    ``formats`` the first pattern that matches the whole text wins.
     """
     v = sentinel_to_null(c, sentinels)
+    if not formats:
+        return v.try_cast("timestamp_ntz")
     parsed = [F.try_to_timestamp(v, F.lit(fmt)) for fmt in formats]
     out = parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
     return out.cast("timestamp_ntz")
 
 
-def parse_date(c: ColumnOrName, formats: Iterable[str] = ("yyyy-MM-dd",),
+def parse_date(c: ColumnOrName, formats: Iterable[str] | None = None,
                sentinels: Iterable[str] = ("", "N/A")) -> Column:
     return parse_timestamp(c, formats, sentinels).cast("date")
 

@@ -94,13 +94,22 @@ def with_base_rows(rates: DataFrame, months: DataFrame | None = None,
                    base: str = BASE_CURRENCY, source: str = "monthly_avg") -> DataFrame:
     """Add the base currency at 1.0 (count 1) for every month.
 
-    ``months`` defaults to the months that have any rate.
+    ``months`` defaults to the months that have any rate: each rate row also
+    emits its month's base row and duplicates collapse in a small aggregate,
+    so the quotes are aggregated once, not once per branch.
     """
-    m = (months if months is not None else rates).select("month_sk").distinct()
-    base_rows = m.select("month_sk", F.lit(base).alias("currency_code"),
-                         F.lit(1).cast(RATE_TYPE).alias("avg_rate_to_eur"),
-                         F.lit(1).alias("obs_count"), F.lit(source).alias("source"))
-    return rates.where(F.col("currency_code") != base).unionByName(base_rows)
+    def base_row(m):
+        return F.struct(m.alias("month_sk"), F.lit(base).alias("currency_code"),
+                        F.lit(1).cast(RATE_TYPE).alias("avg_rate_to_eur"),
+                        F.lit(1).alias("obs_count"), F.lit(source).alias("source"))
+    cols = ["month_sk", "currency_code", "avg_rate_to_eur", "obs_count", "source"]
+    non_base = rates.where(F.col("currency_code") != base)
+    if months is not None:
+        base_rows = months.select("month_sk").distinct().select(base_row(F.col("month_sk")).alias("_r"))
+        return non_base.select(*cols).unionByName(base_rows.select("_r.*"))
+    both = non_base.select(F.explode(F.array(
+        F.struct(*[F.col(c) for c in cols]), base_row(F.col("month_sk")))).alias("_r")).select("_r.*")
+    return both.dropDuplicates()
 
 
 def monthly_rates(primary: DataFrame, dim_country: DataFrame, secondary: DataFrame | None = None,

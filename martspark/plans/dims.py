@@ -21,7 +21,7 @@ PRODUCT_ATTRS = ["product_name", "category1", "category2", "category3", "season"
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], schemas.WAREHOUSE[name])
+    return schemas.empty_frame(spark, schemas.WAREHOUSE[name])
 
 
 def clean_products(product_raw: DataFrame, decimal_comma: bool = False) -> DataFrame:

@@ -65,16 +65,24 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
                F.lit("unit_price not numeric"))
          .when(blank_to_null("country").isNull() | blank_to_null("order_id").isNull()
                | blank_to_null("product_number").isNull(), F.lit("missing key")))
-    s = s.withColumn("_reject", reject_reason)
+    # The keep-condition is a short AND-chain on the parsed columns (it is
+    # pushed below the staging projection; a CASE over the raw text would be
+    # re-expanded there once per branch).  The reason text is only computed
+    # for the rejects output.
+    keys_ok = (blank_to_null("country").isNotNull() & blank_to_null("order_id").isNotNull()
+               & blank_to_null("product_number").isNotNull())
+    typed_ok = (F.col("_created").isNotNull()
+                & ~F.coalesce(_not_blank_text_bad(F.col("quantity"), F.col("_qty")), F.lit(False))
+                & ~F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False)))
     if as_of is not None:
         start = lookback_start(as_of, lookback_months)
-        in_window = F.col("_created") >= F.lit(dt.datetime(start.year, start.month, start.day)).cast("timestamp_ntz")
-    else:
-        in_window = F.col("_created").isNotNull()
-    rejects = s.where(F.col("_reject").isNotNull()).drop("_qty", "_price", "_created")
-    s = s.where(F.col("_reject").isNull() & in_window)
+        typed_ok = typed_ok & (F.col("_created") >= F.lit(dt.datetime(start.year, start.month, start.day))
+                               .cast("timestamp_ntz"))
+    rejects = (s.withColumn("_reject", reject_reason).where(F.col("_reject").isNotNull())
+               .drop("_qty", "_price", "_created"))
+    s = s.where(typed_ok & keys_ok)
     s = s.withColumn("business_key_hash", hash_key(*KEY_COLS))
-    s = latest_per_key(s.drop("_reject"), ["business_key_hash"], "ingested_at")
+    s = latest_per_key(s, ["business_key_hash"], "ingested_at")
 
     # Lookups.  The status map and the country list are bounded by their
     # domains (a few hundred literals / countries): broadcast.  The rate
@@ -120,7 +128,7 @@ def upsert_sales(current: DataFrame, batch: DataFrame, run_ts: Column,
 
 
 def empty_sales(spark) -> DataFrame:
-    return spark.createDataFrame([], schemas.SALES_CURRENT)
+    return schemas.empty_frame(spark, schemas.SALES_CURRENT)
 
 
 def prepare_stock(stock_raw: DataFrame, as_of: dt.date, window: str = "all"

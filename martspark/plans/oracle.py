@@ -101,10 +101,7 @@ def fx_from(quotes_sql: str) -> str:
 FX_PRIMARY = fx_from("SELECT CAST(date_trunc('month', rate_date) AS DATE) AS month_sk, currency_code, rate "
                      "FROM quotes_o WHERE currency_code IN (SELECT currency_code FROM needed)")
 
-PARSED_TS = """COALESCE(
-      try_strptime(NULLIF(NULLIF(trim(created_at), ''), 'N/A'), '%Y-%m-%dT%H:%M:%S'),
-      try_strptime(NULLIF(NULLIF(trim(created_at), ''), 'N/A'), '%Y-%m-%d %H:%M:%S'),
-      try_strptime(NULLIF(NULLIF(trim(created_at), ''), 'N/A'), '%Y-%m-%d'))"""
+PARSED_TS = "TRY_CAST(NULLIF(NULLIF(trim(created_at), ''), 'N/A') AS TIMESTAMP)"
 
 RAW_COLS = ["country", "order_id", "order_number", "overall_status_name", "channel_name",
             "product_number", "product_name", "quantity", "unit_price", "promised_delivery_at",

@@ -87,3 +87,14 @@ WAREHOUSE = {
     "sales_current": SALES_CURRENT, "stock_snapshot": STOCK_SNAPSHOT,
 }
 STAGING = {"order_raw": ORDER_RAW, "stock_raw": STOCK_RAW, "product_raw": PRODUCT_RAW}
+
+
+def empty_frame(spark, schema: T.StructType):
+    """An empty table state the optimizer can see is empty.
+
+    A filtered-out one-row relation folds to an empty ``LocalRelation``, so
+    a first load's upsert join against it is removed at planning time.
+    """
+    from pyspark.sql import functions as F
+    return (spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+            .where(F.lit(False)))
