@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.sources.seeds import BASE_CURRENCY, MANUAL_SOURCE
+from martspark.sources.seeds import BASE_CURRENCY, MANUAL_RATES, MANUAL_SOURCE
 
 RATE_TYPE = "decimal(18,8)"
 QUOTE_TYPE = "decimal(18,8)"
@@ -133,15 +133,14 @@ def missing_months(requested_months: DataFrame, rates: DataFrame) -> DataFrame:
     return requested_months.select("month_sk").distinct().join(have, "month_sk", "left_anti")
 
 
-def manual_rates(months: DataFrame, seed: DataFrame, source: str = MANUAL_SOURCE) -> DataFrame:
-    """Months x seed currencies at fixed rates, count 0.
+def manual_rates(months: DataFrame, rates=MANUAL_RATES, source: str = MANUAL_SOURCE) -> DataFrame:
+    """Months x fixed (currency, rate) rows, count 0.
 
-    The seed is a handful of literal rows; it is turned into an array and
-    exploded per month, so no join is planned.
+    The handful of literal rates is exploded per month, so no join is
+    planned and the output grows linearly with the months.
     """
-    entries = F.array(*[F.struct(F.lit(r["currency_code"]).alias("c"),
-                                 F.lit(r["avg_rate_to_eur"]).cast(RATE_TYPE).alias("r"))
-                        for r in seed.collect()])
+    entries = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(r).cast(RATE_TYPE).alias("r"))
+                        for c, r in rates])
     return months.select("month_sk", F.explode(entries).alias("_e")).select(
         "month_sk", F.col("_e.c").alias("currency_code"), F.col("_e.r").alias("avg_rate_to_eur"),
         F.lit(0).alias("obs_count"), F.lit(source).alias("source"))

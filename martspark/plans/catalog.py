@@ -144,7 +144,7 @@ def calendar_q(spark, sf_dir):
 def month_series_rates(spark, sf_dir):
     """Manual rates for every order month."""
     months = month_series_between(order_dates(spark, sf_dir), F.col("lo"), F.col("hi"))
-    return fx.manual_rates(months, seeds.manual_rate_seed(spark))
+    return fx.manual_rates(months)
 
 
 def latest_product(spark, sf_dir):

@@ -1,0 +1,48 @@
+"""Quality checks (Q-family): fusion, duplicates, coverage, top-k, constraints."""
+
+from pyspark.sql import functions as F
+
+from martspark.operators import quality
+from martspark.operators.quality import Check
+from tests.conftest import rows
+
+
+def test_fused_checks_single_scan(spark):
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, "y")], "a int, b string")
+    rep = quality.count_checks(df, [Check("c1", "a null", F.col("a").isNull()),
+                                    Check("c2", "b null", F.col("b").isNull(), informational=True)])
+    assert rows(rep) == [("c1", "a null", "bad_rows", 1, False), ("c2", "b null", "bad_rows", 1, None)]
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("Scan ") >= 1
+
+
+def test_duplicates_and_missing(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    dup = quality.duplicate_groups(df, ["k"], "d", "dups")
+    assert rows(dup, "value", "passed") == [(2, False)]  # NULL keys group together
+    ref = spark.createDataFrame([("a",)], "k string")
+    assert rows(quality.missing_keys(df, "k", ref)) == [(None, 2), ("b", 1)]
+    assert rows(quality.missing_key_check(df, "k", ref, "m", "missing"), "value") == [(3,)]
+
+
+def test_top_counts_stable_ties(spark):
+    df = spark.createDataFrame([(k,) for k in ["b", "a", "c", "c"]], "k string")
+    top = quality.top_counts(quality.key_counts(df, "k"), "k", 2)
+    assert [tuple(r) for r in top.collect()] == [("c", 2), ("a", 1)]
+
+
+def test_constraints_and_gate(spark):
+    df = spark.createDataFrame([(1, "x"), (1, None)], "k int, v string")
+    rep = quality.union_checks(quality.assert_unique(df, ["k"], "t"), quality.assert_not_null(df, ["v"], "t"))
+    assert sorted(r.passed for r in rep.collect()) == [False, False]
+    try:
+        quality.raise_on_failure(rep)
+        raise RuntimeError("expected failure")
+    except AssertionError as e:
+        assert "t.unique(k)" in str(e)
+
+
+def test_row_counts(spark):
+    a = spark.range(3)
+    b = spark.range(0)
+    assert rows(quality.row_counts({"a": a, "b": b})) == [("a", 3), ("b", 0)]
