@@ -73,3 +73,28 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         out.append(F.when(insert, "insert").when(update, "update")
                     .when(in_s, "unchanged").otherwise("untouched").alias("_action"))
     return j.select(*out)
+
+
+def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
+                      partition_values: Sequence | None = None, **kwargs) -> DataFrame:
+    """``upsert`` that joins only the target partitions the batch touches.
+
+    ``partition_col`` must be a function of the key (e.g. the country is
+    part of the sales business key), so a key never moves between
+    partitions.  The batch's partition values (given, or read from the
+    batch: at most one per table partition) become a static filter, which
+    the parquet scan applies as ``PartitionFilters``: only touched
+    partitions are read into the join, the rest pass through unshuffled.
+    """
+    if partition_values is None:
+        partition_values = [r[0] for r in source.select(partition_col).distinct().collect()]
+    vals = [v for v in partition_values if v is not None]
+    cond = F.col(partition_col).isin(vals) if vals else F.lit(False)
+    if len(vals) < len(partition_values):
+        cond = cond | F.col(partition_col).isNull()
+    cond = F.coalesce(cond, F.lit(False))
+    merged = upsert(target.where(cond), source, keys, **kwargs)
+    outside = target.where(~cond)
+    if kwargs.get("with_action"):
+        outside = outside.withColumn("_action", F.lit("untouched"))
+    return merged.unionByName(outside)

@@ -18,7 +18,7 @@ from martspark.functions.clean import (blank_to_null, empty_to_null, parse_decim
 from martspark.functions.dates import lookback_start
 from martspark.functions.keys import hash_key
 from martspark.operators.dedup import latest_per_key
-from martspark.operators.merge import upsert
+from martspark.operators.merge import upsert, upsert_partitions
 from martspark import schemas
 
 SERVICE_PRODUCT = "Delivery Fee"  # fixed value: service lines never enter the fact
@@ -119,12 +119,19 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
 
 
 def upsert_sales(current: DataFrame, batch: DataFrame, run_ts: Column,
-                 with_action: bool = False) -> DataFrame:
+                 with_action: bool = False, by_partition: bool = False) -> DataFrame:
     """Guarded upsert (M3): a matched line changes only when its change hash
-    differs; otherwise the row and its ``last_ingested_at`` stay."""
-    return upsert(current, batch, ["business_key_hash"], SALES_UPDATE_COLS,
-                  guard="change_hash", stamps={"last_ingested_at": run_ts.cast("timestamp_ntz")},
-                  with_action=with_action)
+    differs; otherwise the row and its ``last_ingested_at`` stay.
+
+    ``by_partition=True`` (for a stored table partitioned by country) joins
+    only the countries present in the batch; the country is part of the
+    business key, so a line never changes partition.
+    """
+    kw = dict(update_cols=SALES_UPDATE_COLS, guard="change_hash",
+              stamps={"last_ingested_at": run_ts.cast("timestamp_ntz")}, with_action=with_action)
+    if by_partition:
+        return upsert_partitions(current, batch, ["business_key_hash"], "country_code", **kw)
+    return upsert(current, batch, ["business_key_hash"], **kw)
 
 
 def empty_sales(spark) -> DataFrame:
@@ -158,8 +165,16 @@ def prepare_stock(stock_raw: DataFrame, as_of: dt.date, window: str = "all"
     return out, rejects
 
 
-def upsert_stock(current: DataFrame, batch: DataFrame, run_ts: Column) -> DataFrame:
-    """Unconditional overwrite on (snapshot_month, country_code, product_number) (M1)."""
-    return upsert(current, batch, ["snapshot_month", "country_code", "product_number"],
-                  ["sellable_stock", "source_file"],
-                  stamps={"ingested_at": run_ts.cast("timestamp_ntz")})
+def upsert_stock(current: DataFrame, batch: DataFrame, run_ts: Column,
+                 by_partition: bool = False) -> DataFrame:
+    """Unconditional overwrite on (snapshot_month, country_code, product_number) (M1).
+
+    ``by_partition=True`` joins only the run month's partition of a stored
+    snapshot table partitioned by ``snapshot_month``.
+    """
+    keys = ["snapshot_month", "country_code", "product_number"]
+    kw = dict(update_cols=["sellable_stock", "source_file"],
+              stamps={"ingested_at": run_ts.cast("timestamp_ntz")})
+    if by_partition:
+        return upsert_partitions(current, batch, keys, "snapshot_month", **kw)
+    return upsert(current, batch, keys, **kw)

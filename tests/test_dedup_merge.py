@@ -107,3 +107,18 @@ def test_surrogate_keys_many(spark, n):
     out = assign_surrogate(df, "nk", "sk", num_partitions=n)
     got = rows(out)
     assert [sk for _, sk in got] == list(range(1, 1001))
+
+
+def test_upsert_partitions_matches_plain_and_prunes(spark, tmp_dir):
+    from martspark.operators.merge import upsert_partitions
+    data = [(f"{c}{i}", c, i, f"h{i}", T1) for c in "ABC" for i in range(3)]
+    path = f"{tmp_dir}/t"
+    spark.createDataFrame(data, "k string, p string, v int, h string, ts timestamp_ntz") \
+        .write.partitionBy("p").parquet(path)
+    t = spark.read.parquet(path).select("k", "p", "v", "h", "ts")
+    s = spark.createDataFrame([("A1", "A", 10, "x", None), ("A9", "A", 9, "h9", None)],
+                              "k string, p string, v int, h string, ts timestamp_ntz")
+    kw = dict(update_cols=["v", "h"], guard="h", stamps={"ts": F.lit(T2).cast("timestamp_ntz")})
+    a = upsert_partitions(t, s, ["k"], "p", **kw)
+    b = upsert(t, s, ["k"], **kw)
+    assert rows(a) == rows(b) and a.count() == 10
