@@ -52,7 +52,11 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
       rounded once to ``decimal(18,4)`` (D17).
     """
     s = order_raw.where(F.col("product_name") != F.lit(SERVICE_PRODUCT))
-    s = s.withColumn("_created", parse_timestamp("created_at"))
+    # Staging written by ``stage_sales`` carries the parsed time as a typed
+    # sidecar column, so the window filter below is a bare-column range
+    # predicate the parquet scan can push down and skip row groups with.
+    created = F.col("created_ts") if "created_ts" in order_raw.columns else parse_timestamp("created_at")
+    s = s.withColumn("_created", created)
     created_txt = sentinel_to_null("created_at", ("",))
     s = s.withColumn("_qty", parse_decimal("quantity", 18, 8))
     s = s.withColumn("_price", parse_decimal("unit_price", 18, 8))
@@ -76,10 +80,15 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
                 & ~F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False)))
     if as_of is not None:
         start = lookback_start(as_of, lookback_months)
-        typed_ok = typed_ok & (F.col("_created") >= F.lit(dt.datetime(start.year, start.month, start.day))
-                               .cast("timestamp_ntz"))
-    rejects = (s.withColumn("_reject", reject_reason).where(F.col("_reject").isNotNull())
-               .drop("_qty", "_price", "_created"))
+        bound = F.lit(dt.datetime(start.year, start.month, start.day)).cast("timestamp_ntz")
+        typed_ok = typed_ok & (F.col("_created") >= bound)
+    bad = ((created_txt == F.lit("N/A"))
+           | (created_txt.isNotNull() & F.col("_created").isNull())
+           | F.coalesce(_not_blank_text_bad(F.col("quantity"), F.col("_qty")), F.lit(False))
+           | F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False))
+           | ~keys_ok)
+    rejects = (s.where(F.coalesce(bad, F.lit(False))).withColumn("_reject", reject_reason)
+               .drop("_qty", "_price", "_created", *[c for c in ["created_ts"] if c in order_raw.columns]))
     s = s.where(typed_ok & keys_ok)
     s = s.withColumn("business_key_hash", hash_key(*KEY_COLS))
     s = latest_per_key(s, ["business_key_hash"], "ingested_at")

@@ -36,6 +36,9 @@ ORDER_RAW = T.StructType(_text(
     "country", "order_id", "order_number", "overall_status_name", "channel_name",
     "product_number", "product_name", "quantity", "unit_price", "promised_delivery_at",
     "manufacturer", "created_at", "source_file") + [_f("ingested_at", NTZ, False)])
+# Staging as written by the feed loader: plus the parsed creation time, a
+# typed sidecar used for pushdown and row-group skipping.
+ORDER_RAW_TYPED = T.StructType(ORDER_RAW.fields + [_f("created_ts", NTZ, True)])
 STOCK_RAW = T.StructType(_text("country", "product_number", "sellable_stock", "source_file")
                          + [_f("ingested_at", NTZ, False)])
 PRODUCT_RAW = T.StructType(_text(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martspark import schemas
+from martspark.functions.clean import parse_timestamp
 
 
 def read_text_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
@@ -68,7 +69,8 @@ def stage_sales(spark: SparkSession, path, country: str, ingested_at, mode="FAIL
     raw = read_text_csv(spark, path, schemas.SALES_FEED, mode)
     df = rename_columns(raw.select("*", "_metadata"), {**schemas.SALES_RENAMES, "_metadata": "_metadata"})
     df = with_load_context(df, ingested_at, country=country).drop("_metadata")
-    return _conform(df, schemas.ORDER_RAW)
+    df = df.withColumn("created_ts", parse_timestamp("created_at"))
+    return _conform(df, schemas.ORDER_RAW_TYPED)
 
 
 def stage_stock(spark: SparkSession, path, country: str, ingested_at, mode="FAILFAST") -> DataFrame:

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martspark import schemas
+from martspark.functions.clean import parse_timestamp
 from martspark.sources.feeds import rename_columns, with_load_context
 
 FEEDS = {
-    "sales": (schemas.SALES_FEED, schemas.SALES_RENAMES, schemas.ORDER_RAW),
+    "sales": (schemas.SALES_FEED, schemas.SALES_RENAMES, schemas.ORDER_RAW_TYPED),
     "stock": (schemas.STOCK_FEED, schemas.STOCK_RENAMES, schemas.STOCK_RAW),
 }
 
@@ -37,6 +38,8 @@ def start_feed_ingest(spark: SparkSession, feed: str, landing_dir: str, staging_
         # The ingest boundary stamps arrival time, like the staging default.
         df = with_load_context(df, F.current_timestamp(), country=country,
                                source_file=F.col("_file")).drop("_file")
+        if "created_ts" in staging_schema.fieldNames():
+            df = df.withColumn("created_ts", parse_timestamp("created_at"))
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in staging_schema.fields])
         df.write.mode("overwrite").parquet(f"{staging_dir}/_epoch={epoch_id}")
 

@@ -29,7 +29,7 @@ def test_sales_csv_edge_cases(spark, tmp_dir):
               '1,SO1,Packas,web,A,,2,100,,M,2025-12-05T10:00:00\n'
               '2,SO2,"Say ""hi""",web,B,"",1,5,,M,2025-12-05\n')
     df = feeds.stage_sales(spark, p, "SE", T1)
-    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schemas.ORDER_RAW]
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schemas.ORDER_RAW_TYPED]
     got = {r.order_id: r for r in df.collect()}
     assert got["1"].product_name is None and got["2"].product_name is None  # D31: both NULL
     assert got["2"].overall_status_name == 'Say "hi"'
@@ -84,3 +84,26 @@ def test_streaming_ingest_available_now(spark, tmp_dir):
     q.awaitTermination(120)
     got = spark.read.parquet(staging)
     assert rows(got, "order_id", "source_file") == [("1", "a.csv"), ("2", "b.csv")]
+
+
+def test_lookback_filter_reaches_parquet_scan(spark, tmp_dir):
+    from martspark.plans import dims, facts
+    from martspark.sources import seeds
+    p = write(f"{tmp_dir}/in/sales_se.csv", HEADER +
+              "1,SO1,Packas,web,A,x,2,100,,M,2025-12-05T10:00:00\n"
+              "2,SO2,Packas,web,B,y,1,5,,M,2025-10-01T00:00:00\n")
+    staging = f"{tmp_dir}/staging/order_raw"
+    feeds.append_staging(feeds.stage_sales(spark, p, "SE", T1), staging)
+    raw = spark.read.parquet(staging)
+    countries = spark.createDataFrame([("Sweden", "SE", "EUR")], "country_name string, country_code string, currency_code string")
+    rates = dims.empty(spark, "fx_rates_monthly")
+    batch, _ = facts.prepare_sales(raw, dims.conform_status_map(seeds.status_literals(spark)), countries, rates,
+                                   as_of=dt.date(2026, 1, 20), run_ts=F.lit(T1).cast("timestamp_ntz"))
+    assert rows(batch, "order_id") == [("1",)]
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = batch._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert "GreaterThanOrEqual(created_ts" in plan
