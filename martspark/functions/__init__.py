@@ -7,5 +7,5 @@ from martspark.functions.clean import (  # noqa: F401
 )
 from martspark.functions.keys import hash_key  # noqa: F401
 from martspark.functions.dates import (  # noqa: F401
-    month_start, months_back, first_day_of_month, last_day_of_month, lookback_start,
+    month_start, months_back, first_day_of_month, last_day_of_month, lookback_start, ntz_lit,
 )

@@ -40,3 +40,18 @@ def lookback_start(as_of: dt.date, months: int) -> dt.date:
     while m <= 0:
         y, m = y - 1, m + 12
     return dt.date(y, m, 1)
+
+
+def ntz_lit(value: dt.datetime | dt.date | str) -> Column:
+    """A ``timestamp_ntz`` literal that does not depend on any time zone.
+
+    Built from the ISO text: a naive Python datetime passed to ``lit`` would
+    be shifted through the process and session zones.
+    """
+    if isinstance(value, dt.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = value
+    return F.lit(text).cast("timestamp_ntz")

@@ -20,6 +20,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martspark.functions.dates import ntz_lit
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -35,7 +37,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ts(v: dt.datetime) -> Column:
-    return F.lit(v).cast("timestamp_ntz")
+    return ntz_lit(v)
 
 
 def country_code(nationkey: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from martspark.functions.clean import (blank_to_null, empty_to_null, parse_decimal,
                                        parse_timestamp, sentinel_to_null)
-from martspark.functions.dates import lookback_start
+from martspark.functions.dates import lookback_start, ntz_lit
 from martspark.functions.keys import hash_key
 from martspark.operators.dedup import latest_per_key
 from martspark.operators.merge import upsert, upsert_partitions
@@ -80,7 +80,7 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
                 & ~F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False)))
     if as_of is not None:
         start = lookback_start(as_of, lookback_months)
-        bound = F.lit(dt.datetime(start.year, start.month, start.day)).cast("timestamp_ntz")
+        bound = ntz_lit(start)
         typed_ok = typed_ok & (F.col("_created") >= bound)
     bad = ((created_txt == F.lit("N/A"))
            | (created_txt.isNotNull() & F.col("_created").isNull())
@@ -160,7 +160,7 @@ def prepare_stock(stock_raw: DataFrame, as_of: dt.date, window: str = "all"
     s = stock_raw.where(empty_to_null("product_number").isNotNull())
     if window == "month":
         nxt = dt.date(month.year + (month.month == 12), month.month % 12 + 1, 1)
-        s = s.where((F.col("ingested_at") >= F.lit(month)) & (F.col("ingested_at") < F.lit(nxt)))
+        s = s.where((F.col("ingested_at") >= ntz_lit(month)) & (F.col("ingested_at") < ntz_lit(nxt)))
     stock = parse_decimal("sellable_stock", 18, 4)
     s = s.withColumn("_stock", stock)
     bad = (F.col("country").isNull()

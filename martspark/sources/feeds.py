@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from martspark import schemas
 from martspark.functions.clean import parse_timestamp
+from martspark.functions.dates import ntz_lit
 
 
 def read_text_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
@@ -56,7 +57,7 @@ def with_load_context(df: DataFrame, ingested_at: dt.datetime | Column,
     else:
         src = source_file
     out = out.withColumn("source_file", src)
-    ts = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
+    ts = ingested_at if isinstance(ingested_at, Column) else ntz_lit(ingested_at)
     return out.withColumn(ts_col, ts.cast("timestamp_ntz"))
 
 
