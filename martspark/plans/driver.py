@@ -32,8 +32,22 @@ PRODUCT_LOAD_1 = dt.datetime(2026, 1, 5, 0, 0, 0)
 PRODUCT_LOAD_2 = dt.datetime(2026, 1, 12, 0, 0, 0)
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a driver table; the DataFrame is reused within one application.
+
+    A DataFrame is an immutable plan, so reuse is safe; it saves a footer
+    (schema) job per read when one query reads a table several times.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 def ts(v: dt.datetime) -> Column:
