@@ -278,6 +278,41 @@ def surrogate_keys(spark, sf_dir):
                             existing=first.select("c_name", "customer_sk"))
 
 
+def dim_country_scd1(spark, sf_dir):
+    """Country dimension re-loaded over an older version.
+
+    The older version knew the countries of three regions under old
+    (lower-case) currency codes; the load overwrites codes and appends the
+    other countries with the next surrogate keys.
+    """
+    derived = driver.dim_country(spark, sf_dir)
+    old = derived.where(F.col("currency_code").isin("AFR", "AME", "ASI")).withColumn(
+        "currency_code", F.lower("currency_code"))
+    first = dims.load_dim_country(old, dims.empty(spark, "dim_country"))
+    return dims.load_dim_country(derived, first)
+
+
+def dim_date_insert_only(spark, sf_dir):
+    """Calendar rows inserted once; existing rows are never changed.
+
+    The existing dimension covers the first 365 days of the order range and
+    spells ``year_month`` as ``yyyy/MM``; the reload keeps those rows.
+    """
+    b = order_dates(spark, sf_dir)
+    first_year = calendar_attrs(date_series_between(b, F.col("lo"), F.date_add(F.col("lo").cast("date"), 364)))
+    existing = first_year.withColumn("year_month", F.date_format("date_sk", "yyyy/MM"))
+    full = calendar_attrs(date_series_between(b, F.col("lo"), F.col("hi")))
+    return upsert(existing, full, ["date_sk"], on_match="keep")
+
+
+def fx_rates_table(spark, sf_dir):
+    """Keyed upsert of computed rates, then manual rates (last wins)."""
+    keys, cols = ["month_sk", "currency_code"], ["avg_rate_to_eur", "obs_count", "source"]
+    t = upsert(dims.empty(spark, "fx_rates_monthly"), fx_rates(spark, sf_dir), keys, cols)
+    months = month_series_between(order_dates(spark, sf_dir), F.col("lo"), F.col("hi"))
+    return upsert(t, fx.manual_rates(months), keys, cols)
+
+
 # ------------------------------------------------------------ quality checks
 def order_raw_checks() -> list[Check]:
     c = F.col
@@ -461,6 +496,9 @@ QUERIES: dict[str, Query] = {
     "fx_source_fallback": fx_source_fallback,
     "fx_missing_months": fx_missing_months,
     "surrogate_keys": surrogate_keys,
+    "dim_country_scd1": dim_country_scd1,
+    "dim_date_insert_only": dim_date_insert_only,
+    "fx_rates_table": fx_rates_table,
     "dq_row_counts": dq_row_counts,
     "dq_missing_keys": dq_missing_keys,
     "dq_service_rows": dq_service_rows,

@@ -481,6 +481,40 @@ def _sql() -> dict[str, str]:
              FROM (SELECT DISTINCT c_name FROM customer WHERE c_name NOT IN (SELECT c_name FROM f)))
       SELECT c.c_name, c.c_custkey, CAST(COALESCE(f.customer_sk, nw.customer_sk) AS BIGINT) AS customer_sk
       FROM customer c LEFT JOIN f ON c.c_name = f.c_name LEFT JOIN nw ON c.c_name = nw.c_name"""
+    q["dim_country_scd1"] = W() + """
+      , old AS (SELECT row_number() OVER (ORDER BY country_name) AS country_sk, country_name, country_code,
+                       lower(currency_code) AS currency_code
+                FROM dim_country WHERE currency_code IN ('AFR', 'AME', 'ASI')),
+      merged AS (SELECT t.country_sk, COALESCE(t.country_name, s.country_name) AS country_name,
+                        CASE WHEN s.country_name IS NOT NULL THEN s.country_code ELSE t.country_code END AS country_code,
+                        CASE WHEN s.country_name IS NOT NULL THEN s.currency_code ELSE t.currency_code END AS currency_code
+                 FROM old t FULL OUTER JOIN dim_country s ON t.country_name = s.country_name),
+      nw AS (SELECT country_name, (SELECT max(country_sk) FROM old) + row_number() OVER (ORDER BY country_name) AS sk
+             FROM merged WHERE country_sk IS NULL)
+      SELECT CAST(COALESCE(m.country_sk, nw.sk) AS BIGINT) AS country_sk, m.country_name, m.country_code,
+             m.currency_code FROM merged m LEFT JOIN nw ON m.country_name = nw.country_name"""
+    q["dim_date_insert_only"] = """
+      WITH b AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+      full_days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+      old_days AS (SELECT CAST(unnest(generate_series(lo, lo + 364, INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+      existing AS (SELECT d AS date_sk, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+                          CAST(month(d) AS INTEGER) AS month_number, strftime(d, '%Y/%m') AS year_month FROM old_days),
+      fresh AS (SELECT d AS date_sk, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+                       CAST(month(d) AS INTEGER) AS month_number, strftime(d, '%Y-%m') AS year_month FROM full_days)
+      SELECT * FROM existing UNION ALL
+      SELECT * FROM fresh WHERE date_sk NOT IN (SELECT date_sk FROM existing)"""
+    q["fx_rates_table"] = W(f"computed AS {FX_PRIMARY}") + f"""
+      , b AS (SELECT CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS lo,
+                     CAST(date_trunc('month', max(o_orderdate)) AS DATE) AS hi FROM orders),
+      m AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month_sk FROM b),
+      manual AS (SELECT m.month_sk, x.currency_code, CAST(x.rate AS DECIMAL(18,8)) AS avg_rate_to_eur,
+                        CAST(0 AS INTEGER) AS obs_count, 'manual_fixed' AS source
+                 FROM m CROSS JOIN (VALUES {rates}) x(currency_code, rate))
+      SELECT COALESCE(t.month_sk, s.month_sk) AS month_sk, COALESCE(t.currency_code, s.currency_code) AS currency_code,
+             CASE WHEN s.month_sk IS NOT NULL THEN s.avg_rate_to_eur ELSE t.avg_rate_to_eur END AS avg_rate_to_eur,
+             CASE WHEN s.month_sk IS NOT NULL THEN s.obs_count ELSE t.obs_count END AS obs_count,
+             CASE WHEN s.month_sk IS NOT NULL THEN s.source ELSE t.source END AS source
+      FROM computed t FULL OUTER JOIN manual s ON t.month_sk = s.month_sk AND t.currency_code = s.currency_code"""
     q["dq_row_counts"] = " UNION ALL ".join(
         f"SELECT {_q(t)} AS table_name, count(*) AS row_count FROM {t}" for t in TABLES)
     q["dq_missing_keys"] = W(PRODUCT_RAW, SALES_CURRENT, STOCK) + " UNION ALL ".join([
