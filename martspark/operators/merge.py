@@ -76,21 +76,33 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
-                      partition_values: Sequence | None = None, **kwargs) -> DataFrame:
+                      partition_values: Sequence | None = None, locate: bool = False,
+                      **kwargs) -> DataFrame:
     """``upsert`` that joins only the target partitions the batch touches.
 
-    ``partition_col`` must be a function of the key (e.g. the country is
-    part of the sales business key), so a key never moves between
-    partitions.  The batch's partition values (given, or read from the
-    batch: at most one per table partition) become a static filter, which
-    the parquet scan applies as ``PartitionFilters``: only touched
-    partitions are read into the join, the rest pass through unshuffled.
+    Touched partitions are the batch's own partition values plus, with
+    ``locate=True``, the partitions where the batch's keys live now — needed
+    when the partition column can change on update (a sales line partitioned
+    by creation month whose ``created_at`` is corrected).  Locating reads two
+    columns of the target and semi-joins them with the batch keys (AQE
+    broadcasts the keys when the batch is small).  Both value lists are
+    bounded by the number of table partitions, so they are collected and
+    become a static filter that the parquet scan applies as
+    ``PartitionFilters``: only touched partitions go through the join, the
+    rest pass through without a shuffle.  Without ``locate`` the partition
+    column must be a function of the key (e.g. the country in the sales key).
     """
     if partition_values is None:
         partition_values = [r[0] for r in source.select(partition_col).distinct().collect()]
-    vals = [v for v in partition_values if v is not None]
+    values = list(partition_values)
+    if locate:
+        here = (target.select(*keys, partition_col)
+                .join(source.select(*keys).distinct(), list(keys), "left_semi")
+                .select(partition_col).distinct().collect())
+        values += [r[0] for r in here if r[0] not in values]
+    vals = [v for v in values if v is not None]
     cond = F.col(partition_col).isin(vals) if vals else F.lit(False)
-    if len(vals) < len(partition_values):
+    if len(vals) < len(values):
         cond = cond | F.col(partition_col).isNull()
     cond = F.coalesce(cond, F.lit(False))
     merged = upsert(target.where(cond), source, keys, **kwargs)

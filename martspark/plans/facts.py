@@ -128,18 +128,24 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
 
 
 def upsert_sales(current: DataFrame, batch: DataFrame, run_ts: Column,
-                 with_action: bool = False, by_partition: bool = False) -> DataFrame:
+                 with_action: bool = False, by_partition: str | None = None) -> DataFrame:
     """Guarded upsert (M3): a matched line changes only when its change hash
     differs; otherwise the row and its ``last_ingested_at`` stay.
 
-    ``by_partition=True`` (for a stored table partitioned by country) joins
-    only the countries present in the batch; the country is part of the
-    business key, so a line never changes partition.
+    ``by_partition`` names the partition column of a stored table:
+    ``"country_code"`` (part of the business key, a line never moves) or
+    ``"created_month"`` (recent months change most; a corrected creation
+    date can move a line, so the partitions holding the batch's keys are
+    located first).  Only touched partitions are joined.
     """
-    kw = dict(update_cols=SALES_UPDATE_COLS, guard="change_hash",
-              stamps={"last_ingested_at": run_ts.cast("timestamp_ntz")}, with_action=with_action)
+    kw = dict(update_cols=SALES_UPDATE_COLS + (["created_month"] if "created_month" in current.columns else []),
+              guard="change_hash", stamps={"last_ingested_at": run_ts.cast("timestamp_ntz")},
+              with_action=with_action)
+    if by_partition == "created_month" and "created_month" not in batch.columns:
+        batch = batch.withColumn("created_month", F.trunc(F.col("created_at").cast("date"), "month"))
     if by_partition:
-        return upsert_partitions(current, batch, ["business_key_hash"], "country_code", **kw)
+        return upsert_partitions(current, batch, ["business_key_hash"], by_partition,
+                                 locate=by_partition != "country_code", **kw)
     return upsert(current, batch, ["business_key_hash"], **kw)
 
 

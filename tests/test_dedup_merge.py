@@ -122,3 +122,14 @@ def test_upsert_partitions_matches_plain_and_prunes(spark, tmp_dir):
     a = upsert_partitions(t, s, ["k"], "p", **kw)
     b = upsert(t, s, ["k"], **kw)
     assert rows(a) == rows(b) and a.count() == 10
+
+
+def test_upsert_partitions_locates_moved_keys(spark, tmp_dir):
+    from martspark.operators.merge import upsert_partitions
+    path = f"{tmp_dir}/m"
+    spark.createDataFrame([("a", "2025-11", 1), ("b", "2025-12", 2), ("c", "2025-10", 3)],
+                          "k string, m string, v int").write.partitionBy("m").parquet(path)
+    t = spark.read.parquet(path).select("k", "m", "v")
+    s = spark.createDataFrame([("a", "2025-12", 10), ("d", "2025-12", 4)], "k string, m string, v int")
+    out = upsert_partitions(t, s, ["k"], "m", locate=True, update_cols=["m", "v"])
+    assert rows(out) == [("a", "2025-12", 10), ("b", "2025-12", 2), ("c", "2025-10", 3), ("d", "2025-12", 4)]
