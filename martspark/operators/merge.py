@@ -75,22 +75,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return j.select(*out)
 
 
-def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
-                      partition_values: Sequence | None = None, locate: bool = False,
-                      **kwargs) -> DataFrame:
-    """``upsert`` that joins only the target partitions the batch touches.
-
-    Touched partitions are the batch's own partition values plus, with
-    ``locate=True``, the partitions where the batch's keys live now — needed
-    when the partition column can change on update (a sales line partitioned
-    by creation month whose ``created_at`` is corrected).  Locating reads two
-    columns of the target and semi-joins them with the batch keys (AQE
-    broadcasts the keys when the batch is small).  Both value lists are
-    bounded by the number of table partitions, so they are collected and
-    become a static filter that the parquet scan applies as
-    ``PartitionFilters``: only touched partitions go through the join, the
-    rest pass through without a shuffle.  Without ``locate`` the partition
-    column must be a function of the key (e.g. the country in the sales key).
+def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
+                       partition_values: Sequence | None = None, locate: bool = False) -> list:
+    """Partition values an upsert of ``source`` into ``target`` can change.
+
+    The batch's own values plus, with ``locate=True``, the partitions where
+    the batch's keys live now (needed when the partition column can change
+    on update).  Locating reads two columns of the target and semi-joins
+    them with the batch keys (AQE broadcasts the keys when the batch is
+    small).  The result is bounded by the number of table partitions.
     """
     if partition_values is None:
         partition_values = [r[0] for r in source.select(partition_col).distinct().collect()]
@@ -100,13 +93,40 @@ def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 .join(source.select(*keys).distinct(), list(keys), "left_semi")
                 .select(partition_col).distinct().collect())
         values += [r[0] for r in here if r[0] not in values]
+    return values
+
+
+def partition_filter(partition_col: str, values: Sequence) -> Column:
+    """``partition_col IN values`` (NULL-aware, never NULL itself)."""
     vals = [v for v in values if v is not None]
     cond = F.col(partition_col).isin(vals) if vals else F.lit(False)
     if len(vals) < len(values):
         cond = cond | F.col(partition_col).isNull()
-    cond = F.coalesce(cond, F.lit(False))
-    merged = upsert(target.where(cond), source, keys, **kwargs)
-    outside = target.where(~cond)
+    return F.coalesce(cond, F.lit(False))
+
+
+def upsert_touched(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
+                   partition_values: Sequence | None = None, locate: bool = False,
+                   **kwargs) -> tuple[DataFrame, list]:
+    """New state of the touched partitions only, and their values.
+
+    The static filter on the partition column is applied by the parquet
+    scan as ``PartitionFilters``, so only touched partitions are read and
+    shuffled; ``TableStore.publish_partitions`` then rewrites only them.
+    """
+    values = touched_partitions(target, source, keys, partition_col, partition_values, locate)
+    return upsert(target.where(partition_filter(partition_col, values)), source, keys, **kwargs), values
+
+
+def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
+                      partition_values: Sequence | None = None, locate: bool = False,
+                      **kwargs) -> DataFrame:
+    """``upsert`` that joins only the target partitions the batch touches;
+    untouched partitions pass through without a shuffle.  Without ``locate``
+    the partition column must be a function of the key (e.g. the country in
+    the sales key); see ``touched_partitions``."""
+    merged, values = upsert_touched(target, source, keys, partition_col, partition_values, locate, **kwargs)
+    outside = target.where(~partition_filter(partition_col, values))
     if kwargs.get("with_action"):
         outside = outside.withColumn("_action", F.lit("untouched"))
     return merged.unionByName(outside)

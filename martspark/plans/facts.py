@@ -18,7 +18,7 @@ from martspark.functions.clean import (blank_to_null, empty_to_null, parse_decim
 from martspark.functions.dates import lookback_start, ntz_lit
 from martspark.functions.keys import hash_key
 from martspark.operators.dedup import latest_per_key
-from martspark.operators.merge import upsert, upsert_partitions
+from martspark.operators.merge import upsert, upsert_partitions, upsert_touched
 from martspark import schemas
 
 SERVICE_PRODUCT = "Delivery Fee"  # fixed value: service lines never enter the fact
@@ -127,6 +127,17 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     return out, rejects
 
 
+def _sales_upsert_args(current: DataFrame, run_ts: Column, with_action: bool = False) -> dict:
+    extra = ["created_month"] if "created_month" in current.columns else []
+    return dict(update_cols=SALES_UPDATE_COLS + extra, guard="change_hash",
+                stamps={"last_ingested_at": run_ts.cast("timestamp_ntz")}, with_action=with_action)
+
+
+def with_created_month(batch: DataFrame) -> DataFrame:
+    """Partition column of the stored sales table."""
+    return batch.withColumn("created_month", F.trunc(F.col("created_at").cast("date"), "month"))
+
+
 def upsert_sales(current: DataFrame, batch: DataFrame, run_ts: Column,
                  with_action: bool = False, by_partition: str | None = None) -> DataFrame:
     """Guarded upsert (M3): a matched line changes only when its change hash
@@ -138,17 +149,24 @@ def upsert_sales(current: DataFrame, batch: DataFrame, run_ts: Column,
     date can move a line, so the partitions holding the batch's keys are
     located first).  Only touched partitions are joined.
     """
-    kw = dict(update_cols=SALES_UPDATE_COLS + (["created_month"] if "created_month" in current.columns else []),
-              guard="change_hash", stamps={"last_ingested_at": run_ts.cast("timestamp_ntz")},
-              with_action=with_action)
+    kw = _sales_upsert_args(current, run_ts, with_action)
     if by_partition == "created_month" and "created_month" not in batch.columns:
-        batch = batch.withColumn("created_month", F.trunc(F.col("created_at").cast("date"), "month"))
+        batch = with_created_month(batch)
     if by_partition:
         return upsert_partitions(current, batch, ["business_key_hash"], by_partition,
                                  locate=by_partition != "country_code", **kw)
     return upsert(current, batch, ["business_key_hash"], **kw)
 
 
+def upsert_sales_touched(current: DataFrame, batch: DataFrame, run_ts: Column
+                         ) -> tuple[DataFrame, list]:
+    """Guarded upsert of a table partitioned by ``created_month``; returns
+    the new state of the touched months only and their values, for
+    ``TableStore.publish_partitions``."""
+    return upsert_touched(current, with_created_month(batch), ["business_key_hash"], "created_month",
+                          locate=True, **_sales_upsert_args(current, run_ts))
+
+
 def empty_sales(spark) -> DataFrame:
     return schemas.empty_frame(spark, schemas.SALES_CURRENT)
 
@@ -180,6 +198,14 @@ def prepare_stock(stock_raw: DataFrame, as_of: dt.date, window: str = "all"
     return out, rejects
 
 
+def _stock_upsert_args(run_ts: Column) -> dict:
+    return dict(update_cols=["sellable_stock", "source_file"],
+                stamps={"ingested_at": run_ts.cast("timestamp_ntz")})
+
+
+STOCK_KEYS = ["snapshot_month", "country_code", "product_number"]
+
+
 def upsert_stock(current: DataFrame, batch: DataFrame, run_ts: Column,
                  by_partition: bool = False) -> DataFrame:
     """Unconditional overwrite on (snapshot_month, country_code, product_number) (M1).
@@ -187,9 +213,12 @@ def upsert_stock(current: DataFrame, batch: DataFrame, run_ts: Column,
     ``by_partition=True`` joins only the run month's partition of a stored
     snapshot table partitioned by ``snapshot_month``.
     """
-    keys = ["snapshot_month", "country_code", "product_number"]
-    kw = dict(update_cols=["sellable_stock", "source_file"],
-              stamps={"ingested_at": run_ts.cast("timestamp_ntz")})
     if by_partition:
-        return upsert_partitions(current, batch, keys, "snapshot_month", **kw)
-    return upsert(current, batch, keys, **kw)
+        return upsert_partitions(current, batch, STOCK_KEYS, "snapshot_month", **_stock_upsert_args(run_ts))
+    return upsert(current, batch, STOCK_KEYS, **_stock_upsert_args(run_ts))
+
+
+def upsert_stock_touched(current: DataFrame, batch: DataFrame, run_ts: Column
+                         ) -> tuple[DataFrame, list]:
+    """The run month's new snapshot partition and its value (one month)."""
+    return upsert_touched(current, batch, STOCK_KEYS, "snapshot_month", **_stock_upsert_args(run_ts))

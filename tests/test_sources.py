@@ -107,3 +107,22 @@ def test_lookback_filter_reaches_parquet_scan(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.maxMetadataStringLength", old)
     assert "GreaterThanOrEqual(created_ts" in plan
+
+
+def test_store_partition_reuse(spark, tmp_dir):
+    from martspark.operators.merge import upsert_touched
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    sch = "k string, m string, v int"
+    first = spark.createDataFrame([("a", "2025-11", 1), ("b", "2025-12", 2), ("c", "2025-10", 3)], sch)
+    store.publish_partitions("t", first, "m", ["2025-10", "2025-11", "2025-12"])
+    batch = spark.createDataFrame([("a", "2025-12", 10), ("d", "2026-01", 4)], sch)
+    merged, touched = upsert_touched(store.read("t"), batch, ["k"], "m", locate=True, update_cols=["m", "v"])
+    assert sorted(touched) == ["2025-11", "2025-12", "2026-01"]
+    store.publish_partitions("t", merged, "m", touched)
+    assert rows(store.read("t")) == [("a", "2025-12", 10), ("b", "2025-12", 2), ("c", "2025-10", 3),
+                                     ("d", "2026-01", 4)]
+    import json
+    man = json.loads(store._read_text(store._manifest_path("t", 2)))
+    assert man["leaves"]["m=2025-10"].endswith("store_version=1")  # untouched: reused, not rewritten
+    assert "m=2025-11" not in man["leaves"]  # emptied by the move
+    assert rows(store.read("t", version=1)) == rows(first)
