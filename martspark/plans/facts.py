@@ -17,7 +17,8 @@ from martspark.functions.clean import (blank_to_null, empty_to_null, parse_decim
                                        parse_timestamp, sentinel_to_null)
 from martspark.functions.dates import lookback_start, ntz_lit
 from martspark.functions.keys import hash_key
-from martspark.operators.dedup import latest_per_key
+from martspark.operators.dedup import keep_first, latest_per_key
+from martspark.operators.quality import duplicate_groups
 from martspark.operators.merge import upsert, upsert_partitions, upsert_touched
 from martspark import schemas
 
@@ -37,7 +38,8 @@ def _not_blank_text_bad(raw: Column, parsed: Column) -> Column:
 
 def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: DataFrame,
                   fx_rates: DataFrame, as_of: dt.date | None = None, lookback_months: int = 1,
-                  run_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+                  run_ts: Column | None = None, change_cols: list[str] | None = None,
+                  escape_hash: bool = False) -> tuple[DataFrame, DataFrame]:
     """Staging order lines -> one typed, EUR-converted row per business key.
 
     Returns ``(rows, rejects)``.
@@ -49,8 +51,15 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     * status map, country and monthly rate are left lookups (J1-J3); a
       missing rate converts at 1 and sets ``fx_missing`` (F7, D11);
     * ``quantity x unit_price x rate`` is computed at full precision and
-      rounded once to ``decimal(18,4)`` (D17).
+      rounded once to ``decimal(18,4)`` (D17);
+    * ``change_cols`` are the raw columns of the change hash (D12; the
+      default tracks status, quantity, unit price and promised date) and
+      ``escape_hash`` escapes ``'|'`` inside hashed values (D30);
+    * country codes are reduced to one row per code before the lookup, so a
+      duplicated code cannot fan lines out (D5); ``dim_country_code_check``
+      reports such duplicates.
     """
+    change_cols = list(change_cols or CHANGE_COLS)
     s = order_raw.where(F.col("product_name") != F.lit(SERVICE_PRODUCT))
     # Staging written by ``stage_sales`` carries the parsed time as a typed
     # sidecar column, so the window filter below is a bare-column range
@@ -90,14 +99,16 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     rejects = (s.where(F.coalesce(bad, F.lit(False))).withColumn("_reject", reject_reason)
                .drop("_qty", "_price", "_created", *[c for c in ["created_ts"] if c in order_raw.columns]))
     s = s.where(typed_ok & keys_ok)
-    s = s.withColumn("business_key_hash", hash_key(*KEY_COLS))
+    s = s.withColumn("business_key_hash", hash_key(*KEY_COLS, escape=escape_hash))
     s = latest_per_key(s, ["business_key_hash"], "ingested_at")
 
     # Lookups.  The status map and the country list are bounded by their
     # domains (a few hundred literals / countries): broadcast.  The rate
     # table is (month x currency); AQE broadcasts it from its runtime size.
     m = F.broadcast(status_map.select(F.col("raw_status").alias("_map_key"), "status_std"))
-    c = F.broadcast(dim_country.select(F.col("country_code").alias("_cc"), "currency_code"))
+    one_per_code = keep_first(dim_country.select("country_code", "country_name", "currency_code"),
+                              ["country_code"], [F.col("country_name").asc_nulls_first()], ["country_name"])
+    c = F.broadcast(one_per_code.select(F.col("country_code").alias("_cc"), "currency_code"))
     fx = fx_rates.select(F.col("currency_code").alias("_fx_cur"),
                          F.col("month_sk").alias("_fx_month"), "avg_rate_to_eur")
     s = s.join(m, F.trim(F.col("overall_status_name")) == F.col("_map_key"), "left")
@@ -109,7 +120,7 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     rate = F.coalesce(F.col("avg_rate_to_eur"), F.lit(1)).cast("decimal(12,8)")
     out = s.select(
         "business_key_hash",
-        hash_key(*CHANGE_COLS).alias("change_hash"),
+        hash_key(*change_cols, escape=escape_hash).alias("change_hash"),
         F.col("country").alias("country_code"),
         "order_id", "product_number", "order_number",
         F.col("overall_status_name").alias("raw_status"),
@@ -222,3 +233,9 @@ def upsert_stock_touched(current: DataFrame, batch: DataFrame, run_ts: Column
                          ) -> tuple[DataFrame, list]:
     """The run month's new snapshot partition and its value (one month)."""
     return upsert_touched(current, batch, STOCK_KEYS, "snapshot_month", **_stock_upsert_args(run_ts))
+
+
+def dim_country_code_check(dim_country: DataFrame) -> DataFrame:
+    """Q8 for the lookup key of the sales load: duplicated country codes."""
+    return duplicate_groups(dim_country, ["country_code"], "Q8.country_code",
+                            "warehouse.dim_country: duplicate country_code (should be 0)")

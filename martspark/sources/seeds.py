@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values: (country_name, country_code, currency_code).
@@ -155,7 +154,3 @@ def countries(spark: SparkSession) -> DataFrame:
 def status_literals(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(STATUS_MAP, STATUS_SCHEMA)
 
-
-def manual_rate_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MANUAL_RATES, "currency_code string, rate string").select(
-        "currency_code", F.col("rate").cast("decimal(18,8)").alias("avg_rate_to_eur"))

@@ -140,3 +140,31 @@ def test_dim_country_and_date(spark):
     assert d.count() == 1461
     assert rows(d.where("date_sk = date'2024-02-29'"), "year", "quarter", "month_number", "year_month") == [
         (2024, 1, 2, "2024-02")]
+
+
+def test_duplicate_country_code_does_not_fan_out(spark):
+    m, c, r = lookups(spark)
+    c2 = c.unionByName(spark.createDataFrame([("Sverige", "SE", "SEK")], c.schema))
+    batch, _ = facts.prepare_sales(order_raw(spark), m, c2, r, as_of=AS_OF, run_ts=run_col())
+    assert batch.count() == 5  # D5: one row per key despite two SE rows
+    assert rows(facts.dim_country_code_check(c2), "value", "passed") == [(1, False)]
+
+
+def test_change_columns_are_an_argument(spark):
+    m, c, r = lookups(spark)
+    raw = order_raw(spark)
+    a, _ = facts.prepare_sales(raw, m, c, r, as_of=AS_OF, run_ts=run_col())
+    b, _ = facts.prepare_sales(raw.withColumn("channel_name", F.lit("shop")), m, c, r, as_of=AS_OF,
+                               run_ts=run_col(), change_cols=facts.CHANGE_COLS + ["channel_name"])
+    ha = dict(rows(a, "order_id", "change_hash"))
+    hb = dict(rows(b, "order_id", "change_hash"))
+    assert all(ha[k] != hb[k] for k in ha)  # D12: tracking the channel changes the hash
+
+
+def test_order_value_refreshed_on_update(spark):
+    cur, _ = load(spark, order_raw(spark))
+    m, c, r = lookups(spark)
+    row5 = [("SE", "5", "B", "Lamp", "Packas", "4", "50", "N/A", "2025-12-01T00:00:00", T2)]
+    b2, _ = facts.prepare_sales(order_raw(spark, row5), m, c, r, as_of=AS_OF, run_ts=run_col())
+    after = {x.order_id: x for x in facts.upsert_sales(cur, b2, run_col()).collect()}
+    assert after["5"].order_value == Decimal("18.0000")  # D2: 4 x 50 x 0.09
