@@ -2,7 +2,7 @@
 
 ``readStream.csv`` on a landing folder discovers new files; each micro-batch
 is renamed, stamped and appended to staging by ``foreachBatch``.  The batch
-is written to ``<staging>/_epoch=<id>`` with overwrite, so a batch replayed
+is written to ``<staging>/ingest_batch=<id>`` with overwrite, so a batch replayed
 after a failure replaces its own output: exactly-once staging without a
 file ledger (the checkpoint records which files were taken, D24).
 ``trigger(availableNow=True)`` processes what has landed and stops, which
@@ -41,7 +41,7 @@ def start_feed_ingest(spark: SparkSession, feed: str, landing_dir: str, staging_
         if "created_ts" in staging_schema.fieldNames():
             df = df.withColumn("created_ts", parse_timestamp("created_at"))
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in staging_schema.fields])
-        df.write.mode("overwrite").parquet(f"{staging_dir}/_epoch={epoch_id}")
+        df.write.mode("overwrite").parquet(f"{staging_dir}/ingest_batch={epoch_id}")
 
     w = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_location))

@@ -126,3 +126,26 @@ def test_store_partition_reuse(spark, tmp_dir):
     assert man["leaves"]["m=2025-10"].endswith("store_version=1")  # untouched: reused, not rewritten
     assert "m=2025-11" not in man["leaves"]  # emptied by the move
     assert rows(store.read("t", version=1)) == rows(first)
+
+
+def test_streaming_sales_load(spark, tmp_dir):
+    from martspark.plans import dims
+    from martspark.sources import seeds
+    from martspark.streaming.load import start_sales_load
+    landing, staging = f"{tmp_dir}/landing", f"{tmp_dir}/staging"
+    write(f"{landing}/a.csv", HEADER + "1,SO1,Packas,web,A,x,2,100,,M,2025-12-05T10:00:00\n"
+                                       "2,SO2,Packas,web,B,y,1,5,,M,2025-12-06T00:00:00\n")
+    start_feed_ingest(spark, "sales", landing, staging, "SE", f"{tmp_dir}/ck1").awaitTermination(120)
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    countries = spark.createDataFrame([("Sweden", "SE", "EUR")],
+                                      "country_name string, country_code string, currency_code string")
+    args = (spark, staging, store, dims.conform_status_map(seeds.status_literals(spark)), countries,
+            dims.empty(spark, "fx_rates_monthly"), f"{tmp_dir}/ck2")
+    start_sales_load(*args).awaitTermination(180)
+    assert rows(store.read("sales_current"), "order_id", "status_std") == [("1", "PROCESSING"), ("2", "PROCESSING")]
+    v = store.version("sales_current")
+    write(f"{landing}/b.csv", HEADER + "1,SO1,Beställning slutförd,web,A,x,2,100,,M,2025-12-05T10:00:00\n")
+    start_feed_ingest(spark, "sales", landing, staging, "SE", f"{tmp_dir}/ck1").awaitTermination(120)
+    start_sales_load(*args).awaitTermination(180)
+    assert store.version("sales_current") == v + 1
+    assert rows(store.read("sales_current"), "order_id", "status_std") == [("1", "COMPLETED"), ("2", "PROCESSING")]
