@@ -24,6 +24,25 @@ DEFAULT_CONF = {
 }
 
 
+def sizing_conf(input_bytes: int, partition_bytes: int = 1 << 30,
+                max_partitions: int = 100_000) -> dict:
+    """Shuffle and scan sizing for a job's input size (cluster runs).
+
+    The initial shuffle partition count follows the data (AQE merges small
+    partitions and splits skewed ones, but does not split evenly large
+    ones), so each reducer gets about ``partition_bytes``; the cap keeps the
+    map x reduce block count manageable.  100 TB at 1 GiB gives ~100k
+    partitions.  Scans split at up to 512 MiB.
+    """
+    n = max(8, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "martspark", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
