@@ -98,9 +98,13 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
            | ~keys_ok)
     rejects = (s.where(F.coalesce(bad, F.lit(False))).withColumn("_reject", reject_reason)
                .drop("_qty", "_price", "_created", *[c for c in ["created_ts"] if c in order_raw.columns]))
-    s = s.where(typed_ok & keys_ok)
+    # The parsed columns are functions of the raw text: they are not carried
+    # through the de-duplication shuffle but derived again afterwards.
+    s = s.where(typed_ok & keys_ok).drop("_created", "_qty", "_price")
     s = s.withColumn("business_key_hash", hash_key(*KEY_COLS, escape=escape_hash))
     s = latest_per_key(s, ["business_key_hash"], "ingested_at")
+    s = s.withColumns({"_created": created, "_qty": parse_decimal("quantity", 18, 8),
+                       "_price": parse_decimal("unit_price", 18, 8)})
 
     # Lookups.  The status map and the country list are bounded by their
     # domains (a few hundred literals / countries): broadcast.  The rate
