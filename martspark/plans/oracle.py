@@ -231,6 +231,7 @@ product_raw_2 AS (
   FROM part WHERE p_type = 'PROMO' OR p_size > 45),
 product_raw AS (SELECT * FROM product_raw_1 UNION ALL SELECT * FROM product_raw_2)"""
 
+# The flag vocabularies (true set, false set) of the product feed.
 FLAG_SETS = {
     "discontinued": (["@", "ja", "yes", "y", "true", "1"], ["active", "nein", "no", "n", "false", "0"]),
     "bestseller_abas": (["yes", "ja", "y", "true", "1"], ["no", "nein", "n", "false", "0", " "]),
