@@ -106,15 +106,17 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     s = s.withColumns({"_created": created, "_qty": parse_decimal("quantity", 18, 8),
                        "_price": parse_decimal("unit_price", 18, 8)})
 
-    # Lookups.  The status map and the country list are bounded by their
-    # domains (a few hundred literals / countries): broadcast.  The rate
-    # table is (month x currency); AQE broadcasts it from its runtime size.
+    # Lookups, all bounded by their domains and broadcast: the status map
+    # (a few hundred literals), countries, and the rate table, one row per
+    # (month, currency): a century of months x all ISO currencies is about
+    # 240k rows.  Broadcasting up front keeps the batch from being shuffled
+    # for a join that AQE would only turn into a broadcast afterwards.
     m = F.broadcast(status_map.select(F.col("raw_status").alias("_map_key"), "status_std"))
     one_per_code = keep_first(dim_country.select("country_code", "country_name", "currency_code"),
                               ["country_code"], [F.col("country_name").asc_nulls_first()], ["country_name"])
     c = F.broadcast(one_per_code.select(F.col("country_code").alias("_cc"), "currency_code"))
-    fx = fx_rates.select(F.col("currency_code").alias("_fx_cur"),
-                         F.col("month_sk").alias("_fx_month"), "avg_rate_to_eur")
+    fx = F.broadcast(fx_rates.select(F.col("currency_code").alias("_fx_cur"),
+                                     F.col("month_sk").alias("_fx_month"), "avg_rate_to_eur"))
     s = s.join(m, F.trim(F.col("overall_status_name")) == F.col("_map_key"), "left")
     s = s.join(c, F.col("country") == F.col("_cc"), "left")
     s = s.withColumn("_month", F.trunc(F.col("_created").cast("date"), "month"))
