@@ -29,7 +29,15 @@ _T, _S = "__in_target", "__in_source"
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str] | None = None, on_match: str = "update",
            guard: str | None = None, stamps: Mapping[str, Column] | None = None,
-           with_action: bool = False) -> DataFrame:
+           with_action: bool = False, null_safe: bool = True) -> DataFrame:
+    """New state of ``target`` after applying ``source`` (see module doc).
+
+    ``null_safe=False`` is for keys that are never NULL (e.g. a hash): the
+    join then uses plain equality on the key columns, so an input already
+    hash-partitioned by the key (the de-duplication output) is joined
+    without another shuffle.  The NULL-safe form is planned on
+    ``coalesce``/``isnull`` key pairs, which hides such partitioning.
+    """
     if on_match not in ("update", "keep"):
         raise ValueError("on_match must be 'update' or 'keep'")
     stamps = dict(stamps or {})
@@ -41,7 +49,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     s = source.select(*[c for c in source.columns if c in tcols]).withColumn(_S, F.lit(True)).alias("s")
     cond = None
     for k in keys:
-        e = F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
+        tk, sk = F.col(f"t.{k}"), F.col(f"s.{k}")
+        e = tk.eqNullSafe(sk) if null_safe else (tk == sk)
         cond = e if cond is None else cond & e
     j = t.join(s, cond, "full_outer")
 

@@ -146,8 +146,11 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
 
 def _sales_upsert_args(current: DataFrame, run_ts: Column, with_action: bool = False) -> dict:
     extra = ["created_month"] if "created_month" in current.columns else []
+    # The business key is an md5 hex string, never NULL: plain equality lets
+    # the join reuse the de-duplication's hash partitioning of the batch.
     return dict(update_cols=SALES_UPDATE_COLS + extra, guard="change_hash",
-                stamps={"last_ingested_at": run_ts.cast("timestamp_ntz")}, with_action=with_action)
+                stamps={"last_ingested_at": run_ts.cast("timestamp_ntz")}, with_action=with_action,
+                null_safe=False)
 
 
 def with_created_month(batch: DataFrame) -> DataFrame:
