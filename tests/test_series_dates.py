@@ -1,0 +1,44 @@
+"""Series, calendar and date helpers."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from martspark.functions.dates import (first_day_of_month, last_day_of_month, month_start, months_back,
+                                       ntz_lit)
+from martspark.operators.series import (calendar, date_series, date_series_between, last_n_months,
+                                        month_series_between)
+from tests.conftest import rows
+
+D = dt.date
+
+
+def test_daily_series_and_calendar(spark):
+    days = date_series(spark, D(2023, 1, 1), D(2026, 12, 31))
+    assert days.count() == 1461
+    cal = calendar(days)
+    assert rows(cal.where("date_sk = date'2025-10-01'")) == [(D(2025, 10, 1), 2025, 4, 10, "2025-10")]
+    assert dict(cal.dtypes)["year"] == "int"
+
+
+def test_series_between_per_row_bounds(spark):
+    b = spark.createDataFrame([(D(2024, 1, 31), D(2024, 3, 2))], "lo date, hi date")
+    assert date_series_between(b, F.col("lo"), F.col("hi")).count() == 32
+    months = rows(month_series_between(b, F.col("lo"), F.col("hi")))
+    assert months == [(D(2024, 1, 1),), (D(2024, 2, 1),), (D(2024, 3, 1),)]
+    manual = month_series_between(spark.createDataFrame([(D(2024, 1, 1), D(2025, 12, 1))], "lo date, hi date"),
+                                  F.col("lo"), F.col("hi"))
+    assert manual.count() == 24  # G3
+
+
+def test_last_n_months_crosses_year(spark):
+    got = rows(last_n_months(spark, D(2026, 1, 20), 3))
+    assert got == [(D(2025, 11, 1),), (D(2025, 12, 1),), (D(2026, 1, 1),)]
+
+
+def test_date_helpers(spark):
+    df = spark.createDataFrame([(D(2026, 3, 31),)], "d date")
+    r = df.select(month_start("d"), first_day_of_month("d"), last_day_of_month("d"), months_back("d", 1),
+                  ntz_lit(dt.datetime(2026, 1, 2, 3, 4, 5)), ntz_lit(D(2026, 1, 2))).first()
+    assert tuple(r) == (D(2026, 3, 1), D(2026, 3, 1), D(2026, 3, 31), D(2026, 2, 28),
+                        dt.datetime(2026, 1, 2, 3, 4, 5), dt.datetime(2026, 1, 2))

@@ -149,3 +149,18 @@ def test_streaming_sales_load(spark, tmp_dir):
     start_sales_load(*args).awaitTermination(180)
     assert store.version("sales_current") == v + 1
     assert rows(store.read("sales_current"), "order_id", "status_std") == [("1", "COMPLETED"), ("2", "PROCESSING")]
+
+
+def test_stock_and_product_feeds(spark, tmp_dir):
+    ps = write(f"{tmp_dir}/in/stock_bg.csv", "productnumber,stocksellablestock\nA,5\n,3\n")
+    st = feeds.stage_stock(spark, ps, "BG", T1)
+    assert [(f.name, f.dataType) for f in st.schema] == [(f.name, f.dataType) for f in schemas.STOCK_RAW]
+    assert rows(st, "country", "product_number", "sellable_stock", "source_file") == [
+        ("BG", "A", "5", "stock_bg.csv"), ("BG", None, "3", "stock_bg.csv")]
+    pp = write(f"{tmp_dir}/in/products.csv",
+               "product_number,product_name,classification1,classification2,classification3,season,"
+               "discontinued,bestseller_abas,kf,uvp_de,uvp_eu,franchise_price\n"
+               'A,Chair,c1,c2,c3,SS,@,Ja,nein,"€1,234.50",9,-\n')
+    pr = feeds.stage_products(spark, pp, T1)
+    got = pr.first()
+    assert (got.product_number, got.uvp_de, got.source_file, got.load_run_ts) == ("A", "€1,234.50", "products.csv", T1)
