@@ -93,8 +93,16 @@ def skip_loaded_files(batch: DataFrame, staging: DataFrame) -> DataFrame:
     return batch.join(done, "source_file", "left_anti")
 
 
-def append_staging(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Append-only staging write (S6): never rewrites existing rows."""
+def append_staging(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                   sort_by: list[str] | None = None) -> None:
+    """Append-only staging write (S6): never rewrites existing rows.
+
+    ``sort_by`` (e.g. ``["created_ts"]``) sorts rows within each write task,
+    so parquet row groups carry narrow min/max ranges and a pushed range
+    filter (the lookback window) skips most of them; it adds no shuffle.
+    """
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     w = df.write.mode("append").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -93,7 +93,7 @@ def test_lookback_filter_reaches_parquet_scan(spark, tmp_dir):
               "1,SO1,Packas,web,A,x,2,100,,M,2025-12-05T10:00:00\n"
               "2,SO2,Packas,web,B,y,1,5,,M,2025-10-01T00:00:00\n")
     staging = f"{tmp_dir}/staging/order_raw"
-    feeds.append_staging(feeds.stage_sales(spark, p, "SE", T1), staging)
+    feeds.append_staging(feeds.stage_sales(spark, p, "SE", T1), staging, sort_by=["created_ts"])
     raw = spark.read.parquet(staging)
     countries = spark.createDataFrame([("Sweden", "SE", "EUR")], "country_name string, country_code string, currency_code string")
     rates = dims.empty(spark, "fx_rates_monthly")
