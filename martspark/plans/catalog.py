@@ -25,7 +25,7 @@ from martspark.operators.series import calendar as calendar_attrs
 from martspark.operators.series import date_series_between, month_series_between
 from martspark.operators.surrogate import assign_surrogate
 from martspark.plans import dims, driver, facts
-from martspark.plans.driver import AS_OF, RUN_TS, read, ts
+from martspark.plans.driver import AS_OF, RUN_TS, lazy_plan, read, ts
 from martspark.sources import seeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,7 @@ def status_map(spark: SparkSession) -> DataFrame:
     return dims.conform_status_map(seeds.status_literals(spark))
 
 
+@lazy_plan
 def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates, _ = fx.monthly_rates(driver.quotes_from_orders(spark, sf_dir),
                                 driver.dim_country(spark, sf_dir))
@@ -57,11 +58,13 @@ def sales_batch(spark, sf_dir, raw=None, as_of=None, run_ts=RUN_TS):
     return rows, rejects
 
 
+@lazy_plan
 def sales_current(spark, sf_dir) -> DataFrame:
     rows, _ = sales_batch(spark, sf_dir)
     return facts.upsert_sales(facts.empty_sales(spark), rows, ts(RUN_TS))
 
 
+@lazy_plan
 def stock_current(spark, sf_dir) -> DataFrame:
     batch, _ = facts.prepare_stock(driver.stock_raw(spark, sf_dir), AS_OF)
     return facts.upsert_stock(dims.empty(spark, "stock_snapshot"), batch, ts(RUN_TS))
@@ -77,6 +80,7 @@ def dim_product_run2(spark, sf_dir) -> DataFrame:
                                  dim_product_run1(spark, sf_dir), ts(RUN_TS))
 
 
+@lazy_plan
 def order_dates(spark, sf_dir) -> DataFrame:
     return read(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("lo"),
                                              F.max("o_orderdate").alias("hi"))

@@ -33,6 +33,26 @@ PRODUCT_LOAD_2 = dt.datetime(2026, 1, 12, 0, 0, 0)
 
 
 _READS: dict[tuple[str, str], DataFrame] = {}
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def lazy_plan(fn):
+    """Reuse a derived DataFrame within one application.
+
+    Only for functions that build a plan without running anything: the
+    reused object is an unexecuted plan, so every query still does all of
+    its work when it runs; only Python-side construction is saved.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (fn.__module__, fn.__name__, spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+               args, tuple(sorted(kwargs.items())))
+        df = _PLANS.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = fn(spark, sf_dir, *args, **kwargs)
+            _PLANS[key] = df
+        return df
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +82,7 @@ def region_currency(r_name: Column) -> Column:
     return F.when(r_name == "EUROPE", F.lit("EUR")).otherwise(F.upper(F.substring(r_name, 1, 3)))
 
 
+@lazy_plan
 def dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(country_name, country_code, currency_code) per nation.
 
@@ -80,6 +101,7 @@ def _dec_text(c: Column, scale: int = 4) -> Column:
     return c.cast(f"decimal(14,{scale})").cast("string")
 
 
+@lazy_plan
 def order_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales staging rows, one per lineitem (S5-S7 shape: all text + audit)."""
     li = read(spark, sf_dir, "lineitem").select(
@@ -120,6 +142,7 @@ def order_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lazy_plan
 def stock_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock staging rows, one per lineitem: supplier country, part, qty - 10."""
     li = read(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
@@ -139,6 +162,7 @@ def _price_text(c: Column) -> Column:
     return F.concat(F.lit("€"), F.format_number(c, 2))
 
 
+@lazy_plan
 def product_raw(spark: SparkSession, sf_dir: str, load: int | None = None) -> DataFrame:
     """Product staging rows from ``part``.
 
@@ -186,6 +210,7 @@ def product_raw(spark: SparkSession, sf_dir: str, load: int | None = None) -> Da
     return first.unionByName(second)
 
 
+@lazy_plan
 def quotes_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Primary daily quotes: one per order, in the customer's region currency.
 
@@ -200,6 +225,7 @@ def quotes_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .cast("decimal(18,8)").alias("rate"))
 
 
+@lazy_plan
 def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secondary daily quotes: one per line, in the supplier's region currency.
 
@@ -214,6 +240,7 @@ def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .cast("decimal(18,8)").alias("rate"))
 
 
+@lazy_plan
 def _nation_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
