@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.sources.seeds import BASE_CURRENCY, MANUAL_RATES, MANUAL_SOURCE
+from martspark.sources.seeds import BASE_CURRENCY, COUNTRY_ALIASES, MANUAL_RATES, MANUAL_SOURCE
 
 RATE_TYPE = "decimal(18,8)"
 QUOTE_TYPE = "decimal(18,8)"
@@ -112,11 +112,31 @@ def with_base_rows(rates: DataFrame, months: DataFrame | None = None,
     return both.dropDuplicates()
 
 
+def clean_country_codes(codes: list[str], aliases: dict[str, str] | None = None) -> list[str]:
+    """Country-code list parameter: strip, upper-case, drop blanks, apply
+    aliases (e.g. PO -> PL), keep first occurrence order (C21)."""
+    aliases = COUNTRY_ALIASES if aliases is None else aliases
+    out = []
+    for c in codes:
+        c = c.strip().upper()
+        c = aliases.get(c, c)
+        if c and c not in out:
+            out.append(c)
+    return out
+
+
 def monthly_rates(primary: DataFrame, dim_country: DataFrame, secondary: DataFrame | None = None,
                   supported: DataFrame | None = None, source: str = "monthly_avg",
-                  base: str = BASE_CURRENCY) -> tuple[DataFrame, DataFrame]:
+                  base: str = BASE_CURRENCY, countries: list[str] | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
     """The whole FX job: needed currencies, source preference, inverse mean,
-    base rows.  Returns ``(fx_rates_monthly, rejects)``."""
+    base rows.  Returns ``(fx_rates_monthly, rejects)``.
+
+    ``countries`` restricts the needed currencies to those country codes
+    (cleaned by ``clean_country_codes``; codes unknown to ``dim_country``
+    are ignored, C22)."""
+    if countries is not None:
+        dim_country = dim_country.where(F.col("country_code").isin(clean_country_codes(countries)))
     need = needed_currencies(dim_country, base)
     p = restrict_currencies(primary, need)
     if secondary is not None:
@@ -133,6 +153,16 @@ def missing_months(requested_months: DataFrame, rates: DataFrame) -> DataFrame:
     return requested_months.select("month_sk").distinct().join(have, "month_sk", "left_anti")
 
 
+def coverage_report(requested_months: DataFrame, rates: DataFrame) -> DataFrame:
+    """Per requested month: ``loaded`` with its rate rows, or ``missing``."""
+    per_month = rates.groupBy("month_sk").agg(F.count(F.lit(1)).alias("rate_rows"))
+    out = requested_months.select("month_sk").distinct().join(per_month, "month_sk", "left")
+    return out.select("month_sk",
+                      F.when(F.col("rate_rows").isNull(), F.lit("missing")).otherwise(F.lit("loaded"))
+                      .alias("status"),
+                      F.coalesce(F.col("rate_rows"), F.lit(0)).alias("rate_rows"))
+
+
 def manual_rates(months: DataFrame, rates=MANUAL_RATES, source: str = MANUAL_SOURCE) -> DataFrame:
     """Months x fixed (currency, rate) rows, count 0.
 

@@ -76,3 +76,19 @@ def test_rate_payload_json(spark, tmp_dir):
     assert q.count() == 3
     r, _ = fx.monthly_inverse_mean(q)
     assert dict(rows(r, "currency_code", "avg_rate_to_eur"))["DKK"] == Decimal("0.13333333")
+
+
+def test_country_list_parameter(spark):
+    assert fx.clean_country_codes([" se", "po", "", "SE", "xx "]) == ["SE", "PL", "XX"]
+    countries = spark.createDataFrame([("Sweden", "SE", "SEK"), ("Poland", "PL", "PLN"), ("Norway", "NO", "NOK")],
+                                      "country_name string, country_code string, currency_code string")
+    q = quotes(spark, [(D(2025, 12, 1), c, 10.0) for c in ["SEK", "PLN", "NOK"]])
+    r, _ = fx.monthly_rates(q, countries, countries=["se", "PO", "ZZ"])
+    assert sorted(x.currency_code for x in r.collect()) == ["EUR", "PLN", "SEK"]  # ZZ unknown: ignored
+
+
+def test_coverage_report(spark):
+    r, _ = fx.monthly_inverse_mean(quotes(spark, [(D(2025, 12, 1), "SEK", 10.0), (D(2025, 12, 2), "DKK", 7.0)]))
+    req = spark.createDataFrame([(D(2025, 11, 1),), (D(2025, 12, 1),)], "month_sk date")
+    assert rows(fx.coverage_report(req, fx.with_base_rows(r))) == [
+        (D(2025, 11, 1), "missing", 0), (D(2025, 12, 1), "loaded", 3)]
