@@ -66,41 +66,33 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     # predicate the parquet scan can push down and skip row groups with.
     created = F.col("created_ts") if "created_ts" in order_raw.columns else parse_timestamp("created_at")
     s = s.withColumn("_created", created)
-    created_txt = sentinel_to_null("created_at", ("",))
     s = s.withColumn("_qty", parse_decimal("quantity", 18, 8))
     s = s.withColumn("_price", parse_decimal("unit_price", 18, 8))
-    reject_reason = (
-        F.when(created_txt == F.lit("N/A"), F.lit("created_at N/A"))
-         .when(created_txt.isNotNull() & F.col("_created").isNull(),
-               F.lit("created_at not a timestamp"))
-         .when(_not_blank_text_bad(F.col("quantity"), F.col("_qty")), F.lit("quantity not numeric"))
-         .when(_not_blank_text_bad(F.col("unit_price"), F.col("_price")),
-               F.lit("unit_price not numeric"))
-         .when(blank_to_null("country").isNull() | blank_to_null("order_id").isNull()
-               | blank_to_null("product_number").isNull(), F.lit("missing key")))
-    # The keep-condition is a short AND-chain on the parsed columns (it is
-    # pushed below the staging projection; a CASE over the raw text would be
-    # re-expanded there once per branch).  The reason text is only computed
-    # for the rejects output.
+    # Row conditions, each never NULL.  The keep-condition is a short
+    # AND-chain on them (it is pushed below the staging projection; a CASE
+    # over the raw text would be re-expanded there once per branch); the
+    # reason text is only computed for the rejects output.
+    created_txt = sentinel_to_null("created_at", ("",))
+    created_na = F.coalesce(created_txt == F.lit("N/A"), F.lit(False))
+    created_bad = created_txt.isNotNull() & F.col("_created").isNull()
+    qty_bad = F.coalesce(_not_blank_text_bad(F.col("quantity"), F.col("_qty")), F.lit(False))
+    price_bad = F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False))
     keys_ok = (blank_to_null("country").isNotNull() & blank_to_null("order_id").isNotNull()
                & blank_to_null("product_number").isNotNull())
-    typed_ok = (F.col("_created").isNotNull()
-                & ~F.coalesce(_not_blank_text_bad(F.col("quantity"), F.col("_qty")), F.lit(False))
-                & ~F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False)))
+    reject_reason = (F.when(created_na, F.lit("created_at N/A"))
+                      .when(created_bad, F.lit("created_at not a timestamp"))
+                      .when(qty_bad, F.lit("quantity not numeric"))
+                      .when(price_bad, F.lit("unit_price not numeric"))
+                      .when(~keys_ok, F.lit("missing key")))
+    keep = F.col("_created").isNotNull() & ~qty_bad & ~price_bad & keys_ok
     if as_of is not None:
-        start = lookback_start(as_of, lookback_months)
-        bound = ntz_lit(start)
-        typed_ok = typed_ok & (F.col("_created") >= bound)
-    bad = ((created_txt == F.lit("N/A"))
-           | (created_txt.isNotNull() & F.col("_created").isNull())
-           | F.coalesce(_not_blank_text_bad(F.col("quantity"), F.col("_qty")), F.lit(False))
-           | F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False))
-           | ~keys_ok)
-    rejects = (s.where(F.coalesce(bad, F.lit(False))).withColumn("_reject", reject_reason)
+        keep = keep & (F.col("_created") >= ntz_lit(lookback_start(as_of, lookback_months)))
+    bad = created_na | created_bad | qty_bad | price_bad | ~keys_ok
+    rejects = (s.where(bad).withColumn("_reject", reject_reason)
                .drop("_qty", "_price", "_created", *[c for c in ["created_ts"] if c in order_raw.columns]))
     # The parsed columns are functions of the raw text: they are not carried
     # through the de-duplication shuffle but derived again afterwards.
-    s = s.where(typed_ok & keys_ok).drop("_created", "_qty", "_price")
+    s = s.where(keep).drop("_created", "_qty", "_price")
     s = s.withColumn("business_key_hash", hash_key(*KEY_COLS, escape=escape_hash))
     s = latest_per_key(s, ["business_key_hash"], "ingested_at")
     s = s.withColumns({"_created": created, "_qty": parse_decimal("quantity", 18, 8),
