@@ -49,6 +49,26 @@ def clean_products(product_raw: DataFrame, decimal_comma: bool = False) -> DataF
     )
 
 
+MONEY_COLS = ["uvp_de", "uvp_eu", "franchise_price"]
+
+
+def product_rejects(product_raw: DataFrame) -> DataFrame:
+    """Product rows whose money text is present but does not parse.
+
+    The load itself is permissive (such prices become NULL); a strict run
+    refuses to publish while this is non-empty.  ``'-'`` means "no price"
+    and is not a reject.
+    """
+    bad = None
+    for c in MONEY_COLS:
+        txt = F.nullif(F.trim(F.translate(F.col(c), "€,", "")), F.lit("-"))
+        cond = F.coalesce(F.nullif(txt, F.lit("")).isNotNull() & parse_money(c).isNull(), F.lit(False))
+        # an empty string is also a reject in strict mode: the source cast fails on it
+        cond = cond | F.coalesce(F.trim(F.col(c)) == F.lit(""), F.lit(False))
+        bad = cond if bad is None else bad | cond
+    return product_raw.where(bad)
+
+
 def load_dim_product(product_raw: DataFrame, current: DataFrame, run_ts: Column) -> DataFrame:
     """SCD type 1: every product in staging overwrites its attributes (M1);
     new products get the next surrogate keys, existing ones keep theirs (K3)."""

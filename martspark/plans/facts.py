@@ -36,30 +36,8 @@ def _not_blank_text_bad(raw: Column, parsed: Column) -> Column:
     return F.nullif(F.trim(raw), F.lit("")).isNotNull() & parsed.isNull()
 
 
-def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: DataFrame,
-                  fx_rates: DataFrame, as_of: dt.date | None = None, lookback_months: int = 1,
-                  run_ts: Column | None = None, change_cols: list[str] | None = None,
-                  escape_hash: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Staging order lines -> one typed, EUR-converted row per business key.
-
-    Returns ``(rows, rejects)``.
-    * service lines (and NULL names, three-valued ``<>``) are dropped (P4, D10);
-    * ``created_at`` is parsed once; lines inside the lookback window are kept
-      (``as_of=None`` reprocesses all history).  The window start is a literal
-      computed here, so the comparison is on a bare column (P6);
-    * the latest ``ingested_at`` per key wins (M7, D4);
-    * status map, country and monthly rate are left lookups (J1-J3); a
-      missing rate converts at 1 and sets ``fx_missing`` (F7, D11);
-    * ``quantity x unit_price x rate`` is computed at full precision and
-      rounded once to ``decimal(18,4)`` (D17);
-    * ``change_cols`` are the raw columns of the change hash (D12; the
-      default tracks status, quantity, unit price and promised date) and
-      ``escape_hash`` escapes ``'|'`` inside hashed values (D30);
-    * country codes are reduced to one row per code before the lookup, so a
-      duplicated code cannot fan lines out (D5); ``dim_country_code_check``
-      reports such duplicates.
-    """
-    change_cols = list(change_cols or CHANGE_COLS)
+def _parse_sales(order_raw: DataFrame, as_of: dt.date | None, lookback_months: int):
+    """Service-line filter, parsed columns, keep-condition and rejects."""
     s = order_raw.where(F.col("product_name") != F.lit(SERVICE_PRODUCT))
     # Staging written by ``stage_sales`` carries the parsed time as a typed
     # sidecar column, so the window filter below is a bare-column range
@@ -90,6 +68,39 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     bad = created_na | created_bad | qty_bad | price_bad | ~keys_ok
     rejects = (s.where(bad).withColumn("_reject", reject_reason)
                .drop("_qty", "_price", "_created", *[c for c in ["created_ts"] if c in order_raw.columns]))
+    return s, created, keep, rejects
+
+
+def sales_rejects(order_raw: DataFrame) -> DataFrame:
+    """Staging lines a sales load rejects, with the reason in ``_reject``."""
+    return _parse_sales(order_raw, None, 1)[3]
+
+
+def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: DataFrame,
+                  fx_rates: DataFrame, as_of: dt.date | None = None, lookback_months: int = 1,
+                  run_ts: Column | None = None, change_cols: list[str] | None = None,
+                  escape_hash: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Staging order lines -> one typed, EUR-converted row per business key.
+
+    Returns ``(rows, rejects)``.
+    * service lines (and NULL names, three-valued ``<>``) are dropped (P4, D10);
+    * ``created_at`` is parsed once; lines inside the lookback window are kept
+      (``as_of=None`` reprocesses all history).  The window start is a literal
+      computed here, so the comparison is on a bare column (P6);
+    * the latest ``ingested_at`` per key wins (M7, D4);
+    * status map, country and monthly rate are left lookups (J1-J3); a
+      missing rate converts at 1 and sets ``fx_missing`` (F7, D11);
+    * ``quantity x unit_price x rate`` is computed at full precision and
+      rounded once to ``decimal(18,4)`` (D17);
+    * ``change_cols`` are the raw columns of the change hash (D12; the
+      default tracks status, quantity, unit price and promised date) and
+      ``escape_hash`` escapes ``'|'`` inside hashed values (D30);
+    * country codes are reduced to one row per code before the lookup, so a
+      duplicated code cannot fan lines out (D5); ``dim_country_code_check``
+      reports such duplicates.
+    """
+    change_cols = list(change_cols or CHANGE_COLS)
+    s, created, keep, rejects = _parse_sales(order_raw, as_of, lookback_months)
     # The parsed columns are functions of the raw text: they are not carried
     # through the de-duplication shuffle but derived again afterwards.
     s = s.where(keep).drop("_created", "_qty", "_price")
