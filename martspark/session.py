@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Shuffle/spill blocks: zstd halves the bytes of the sales de-duplication
+    # shuffle against the default lz4 at equal speed (measured at sf0.1).
+    "spark.io.compression.codec": "zstd",
 }
 
 
