@@ -11,9 +11,11 @@
 Plan: one ``full_outer`` join on NULL-safe keys with presence markers (a
 key test cannot tell "absent" from "NULL key").  Both sides are unique on
 the key (the source is de-duplicated first, M7), so hash partitioning by key
-has no hot partitions.  The physical plan is a sort-merge join with one
-hash exchange per side; when the store partitions the target by a key
-column only the partitions present in the batch are read (``sources.store``).
+has no hot partitions.  The physical plan is a sort-merge join with a hash
+exchange per side, except on a side already hash-partitioned by a never-NULL
+key (``null_safe=False``; e.g. a batch fresh from latest-per-key).
+``upsert_touched`` / ``upsert_partitions`` read only the target partitions a
+batch can change; ``TableStore.publish_partitions`` rewrites only those.
 """
 
 from __future__ import annotations
