@@ -478,6 +478,21 @@ def dq_constraints(spark, sf_dir):
     )
 
 
+def dq_report(spark, sf_dir):
+    """Q0-Q8: the whole check catalogue over the warehouse derived from the
+    driver tables, as one plan (run date ``AS_OF``)."""
+    from martspark.plans.pipeline import report_frames
+    tables = {
+        "dim_product": dim_product_run2(spark, sf_dir),
+        "dim_country": driver.dim_country(spark, sf_dir),
+        "dim_date": calendar_q(spark, sf_dir),
+        "sales_current": sales_current(spark, sf_dir),
+        "stock_snapshot": stock_current(spark, sf_dir),
+        "fx_rates_monthly": fx_rates(spark, sf_dir),
+    }
+    return report_frames(driver.order_raw(spark, sf_dir), driver.product_raw(spark, sf_dir), tables, AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     "stage_orders": stage_orders,
     "load_audit_by_source": load_audit_by_source,
@@ -514,4 +529,5 @@ QUERIES: dict[str, Query] = {
     "dq_coverage_top": dq_coverage_top,
     "dq_fx_coverage": dq_fx_coverage,
     "dq_constraints": dq_constraints,
+    "dq_report": dq_report,
 }

@@ -579,6 +579,56 @@ def _sql() -> dict[str, str]:
         check_row("lineitem.not_null(l_shipdate)", "lineitem: l_shipdate is NULL", "bad_rows",
                   count_if("l_shipdate IS NULL"), False, "FROM lineitem"),
     ])
+
+    report_missing = """fx_missing_3 AS (
+  WITH fx AS """ + FX_PRIMARY + """,
+  need AS (SELECT m.month_sk, c.currency_code
+           FROM (SELECT CAST(date_trunc('month', DATE '2001-08-01' - to_months(CAST(n AS INTEGER))) AS DATE)
+                 AS month_sk FROM range(0, 3) t(n)) m
+           CROSS JOIN (SELECT DISTINCT currency_code FROM dim_country) c)
+  SELECT n.month_sk, n.currency_code FROM need n
+  LEFT JOIN fx ON fx.month_sk = n.month_sk AND fx.currency_code = n.currency_code
+  WHERE fx.currency_code IS NULL)"""
+    cal = """dim_date AS (
+  SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE),
+                                     INTERVAL 1 DAY)) AS DATE) AS date_sk FROM orders)"""
+    fx_all = f"fx_all AS {FX_PRIMARY}"
+    q0 = []
+    for name, rel in [("staging.order_raw", "order_raw"), ("staging.product_raw", "product_raw"),
+                      ("warehouse.dim_product", "dim_product_2"), ("warehouse.dim_country", "dim_country"),
+                      ("warehouse.dim_date", "dim_date"), ("warehouse.sales_current", "sales_current"),
+                      ("warehouse.stock_snapshot", "stock_snapshot"), ("warehouse.fx_rates_monthly", "fx_all")]:
+        q0.append(f"SELECT {_q('Q0 ' + name)} AS check_id, {_q(name)} AS check_name, 'row_count' AS metric, "
+                  f"count(*) AS value, CAST(NULL AS BOOLEAN) AS passed FROM {rel}")
+    nn = lambda c: f"NULLIF(trim({c}), '') IS NOT NULL"
+    q["dq_report"] = W(DIM_PRODUCT, SALES_CURRENT, STOCK, cal, fx_all, report_missing) + " UNION ALL ".join(q0 + [
+        checks_on("order_raw", Q_ORDER_RAW, ["Q1.1", "Q1.2", "Q1.3", "Q1.4a", "Q1.4b"]),
+        dup_check("Q1.5", "staging.order_raw: duplicate (country, order_id, product_number)", "order_raw",
+                  "country, order_id, product_number",
+                  f"{nn('country')} AND {nn('order_id')} AND {nn('product_number')}", True),
+        check_row("Q2.1", "staging.product_raw: missing product_number", "bad_rows",
+                  count_if(NB("product_number")), False, "FROM product_raw"),
+        dup_check("Q2.2", "staging.product_raw: product_number duplicate groups", "product_raw",
+                  "product_number", nn("product_number"), True),
+        dup_check("Q3.1", "warehouse.dim_product: duplicate product_number (should be 0)", "dim_product_2",
+                  "product_number"),
+        dup_check("Q8.country_code", "warehouse.dim_country: duplicate country_code (should be 0)", "dim_country",
+                  "country_code"),
+        missing_check("Q3.2", "warehouse.sales_current: country_code not in dim_country", "sales_current",
+                      "country_code", "dim_country", "country_code"),
+        dup_check("Q4.1", "warehouse.sales_current: duplicate business_key_hash (should be 0)", "sales_current",
+                  "business_key_hash"),
+        checks_on("sales_current", Q_SALES, ["Q4.2", "Q4.3", "Q4.4", "Q4.5", "Q4.6"]),
+        missing_check("Q4.7", "warehouse.sales_current: product_number not in dim_product", "sales_current",
+                      "product_number", "dim_product_2", "product_number"),
+        dup_check("Q5.1", "warehouse.stock_snapshot: duplicate (snapshot_month, country_code, product_number)",
+                  "stock_snapshot", "snapshot_month, country_code, product_number"),
+        checks_on("stock_snapshot", Q_STOCK, ["Q5.2", "Q5.3"]),
+        missing_check("Q5.4", "warehouse.stock_snapshot: product_number not in dim_product", "stock_snapshot",
+                      "product_number", "dim_product_2", "product_number"),
+        check_row("Q6.1", "warehouse.fx_rates_monthly: missing rates (last 3 months)", "missing_pairs",
+                  "(SELECT count(*) FROM fx_missing_3)"),
+    ])
     return q
 
 
