@@ -25,6 +25,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martspark.session import checkpoint_dir
+
 _T, _S = "__in_target", "__in_source"
 
 
@@ -118,13 +120,22 @@ def partition_filter(partition_col: str, values: Sequence) -> Column:
 
 def upsert_touched(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
                    partition_values: Sequence | None = None, locate: bool = False,
-                   **kwargs) -> tuple[DataFrame, list]:
+                   materialize: bool = True, **kwargs) -> tuple[DataFrame, list]:
     """New state of the touched partitions only, and their values.
 
     The static filter on the partition column is applied by the parquet
     scan as ``PartitionFilters``, so only touched partitions are read and
     shuffled; ``TableStore.publish_partitions`` then rewrites only them.
+    The batch is read up to three times (its partition values, the key
+    lookup, the join), so by default it is checkpointed once to the
+    session's shared checkpoint folder instead of being recomputed.  The
+    join then shuffles the checkpointed batch once more (a checkpoint does
+    not carry the hash partitioning), which costs far less than running the
+    batch's preparation, with its own shuffle, two more times.
     """
+    if materialize:
+        checkpoint_dir(source.sparkSession)
+        source = source.checkpoint(eager=True)
     values = touched_partitions(target, source, keys, partition_col, partition_values, locate)
     return upsert(target.where(partition_filter(partition_col, values)), source, keys, **kwargs), values
 
