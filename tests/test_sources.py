@@ -164,3 +164,23 @@ def test_stock_and_product_feeds(spark, tmp_dir):
     pr = feeds.stage_products(spark, pp, T1)
     got = pr.first()
     assert (got.product_number, got.uvp_de, got.source_file, got.load_run_ts) == ("A", "€1,234.50", "products.csv", T1)
+
+
+def test_store_vacuum_keeps_referenced_data(spark, tmp_dir):
+    from martspark.operators.merge import upsert_touched
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    sch = "k string, m string, v int"
+    store.publish_partitions("t", spark.createDataFrame([("a", "2025-10", 1), ("b", "2025-11", 2)], sch),
+                             "m", ["2025-10", "2025-11"])
+    for i in range(3):  # three more versions touching only 2025-11
+        batch = spark.createDataFrame([("b", "2025-11", 10 + i)], sch)
+        merged, touched = upsert_touched(store.read("t"), batch, ["k"], "m", update_cols=["v"])
+        store.publish_partitions("t", merged, "m", touched)
+    before = rows(store.read("t"))
+    deleted = store.vacuum("t", keep=1)
+    assert rows(store.read("t")) == before == [("a", "2025-10", 1), ("b", "2025-11", 12)]
+    assert any("store_version=3" in d for d in deleted) and not any("m=2025-10" in d for d in deleted)
+    store.publish("d", spark.createDataFrame([(1,)], "x int"))
+    store.publish("d", spark.createDataFrame([(2,)], "x int"))
+    gone = store.vacuum("d", keep=1)
+    assert rows(store.read("d")) == [(2,)] and any(d.endswith("/d/v=1") for d in gone)
