@@ -42,3 +42,13 @@ def test_date_helpers(spark):
                   ntz_lit(dt.datetime(2026, 1, 2, 3, 4, 5)), ntz_lit(D(2026, 1, 2))).first()
     assert tuple(r) == (D(2026, 3, 1), D(2026, 3, 1), D(2026, 3, 31), D(2026, 2, 28),
                         dt.datetime(2026, 1, 2, 3, 4, 5), dt.datetime(2026, 1, 2))
+
+
+def test_sizing_conf():
+    from martspark.session import sizing_conf
+    big = sizing_conf(100 * 2**40)
+    assert big["spark.sql.shuffle.partitions"] == "100000"  # capped
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * 2**20
+    mid = sizing_conf(50 * 2**30)
+    assert mid["spark.sql.shuffle.partitions"] == "50"
+    assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "8"
