@@ -184,3 +184,15 @@ def test_store_vacuum_keeps_referenced_data(spark, tmp_dir):
     store.publish("d", spark.createDataFrame([(2,)], "x int"))
     gone = store.vacuum("d", keep=1)
     assert rows(store.read("d")) == [(2,)] and any(d.endswith("/d/v=1") for d in gone)
+
+
+def test_publish_partitions_retry_after_failed_attempt(spark, tmp_dir):
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    sch = "k string, m string, v int"
+    store.publish_partitions("t", spark.createDataFrame([("a", "2025-10", 1)], sch), "m", ["2025-10"])
+    # a failed attempt at version 2 left files behind; the pointer still says 1
+    spark.createDataFrame([("zombie", 99)], "k string, v int").write.parquet(
+        f"{tmp_dir}/wh/t/parts/m=2025-10/store_version=2")
+    assert rows(store.read("t")) == [("a", "2025-10", 1)]
+    store.publish_partitions("t", spark.createDataFrame([("a", "2025-10", 2)], sch), "m", ["2025-10"])
+    assert rows(store.read("t")) == [("a", "2025-10", 2)]
