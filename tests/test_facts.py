@@ -168,3 +168,18 @@ def test_order_value_refreshed_on_update(spark):
     b2, _ = facts.prepare_sales(order_raw(spark, row5), m, c, r, as_of=AS_OF, run_ts=run_col())
     after = {x.order_id: x for x in facts.upsert_sales(cur, b2, run_col()).collect()}
     assert after["5"].order_value == Decimal("18.0000")  # D2: 4 x 50 x 0.09
+
+
+def test_hot_business_key_in_sales_batch(spark):
+    # one order line re-delivered as a third of the batch; the latest delivery wins
+    hot = [("SE", "1", "A", "Chair", "Packas", str(i % 5 + 1), "100", None, "2025-12-05T10:00:00",
+            dt.datetime(2026, 1, 1) + dt.timedelta(minutes=i)) for i in range(300)]
+    cold = [("SE", str(100 + i), "B", "Lamp", "Packas", "1", "50", None, "2025-12-06T00:00:00", T1)
+            for i in range(600)]
+    m, c, r = lookups(spark)
+    batch, rejects = facts.prepare_sales(order_raw(spark, hot + cold).repartition(7), m, c, r, as_of=AS_OF,
+                                         run_ts=run_col())
+    got = {x.order_id: x for x in batch.collect()}
+    assert len(got) == 601 and rejects.count() == 0
+    assert got["1"].quantity == Decimal("5.0000")  # i = 299 -> 299 % 5 + 1
+    assert "WindowGroupLimit" in batch._jdf.queryExecution().executedPlan().toString()
