@@ -88,9 +88,19 @@ def stage_products(spark: SparkSession, path, load_run_ts, mode="FAILFAST") -> D
 
 
 def skip_loaded_files(batch: DataFrame, staging: DataFrame) -> DataFrame:
-    """Drop rows of files already in staging (D24): re-running a load is a no-op."""
-    done = staging.select("source_file").distinct()
-    return batch.join(done, "source_file", "left_anti")
+    """Drop rows of files already in staging (D24): re-running a load is a no-op.
+
+    All rows of a file share its name, so joining the batch on it would send
+    a big file to one task.  Instead the load's own file names (one row per
+    file, a small list) are matched against staging's distinct names, and
+    the batch is filtered by that list without any shuffle.
+    """
+    names = batch.select("source_file").distinct()
+    loaded = [r[0] for r in names.join(staging.select("source_file").distinct(), "source_file",
+                                       "left_semi").collect()]
+    if not loaded:
+        return batch
+    return batch.where(~F.coalesce(F.col("source_file").isin(loaded), F.lit(False)))
 
 
 def append_staging(df: DataFrame, path: str, partition_by: list[str] | None = None,
