@@ -183,3 +183,12 @@ def test_hot_business_key_in_sales_batch(spark):
     assert len(got) == 601 and rejects.count() == 0
     assert got["1"].quantity == Decimal("5.0000")  # i = 299 -> 299 % 5 + 1
     assert "WindowGroupLimit" in batch._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stock_window_month_reads_only_run_month(spark):
+    data = [("BG", "A", "5", "s.csv", dt.datetime(2025, 12, 30)), ("BG", "B", "7", "s.csv", dt.datetime(2026, 1, 3))]
+    raw = spark.createDataFrame(data, schemas.STOCK_RAW)
+    all_hist, _ = facts.prepare_stock(raw, AS_OF)
+    month, _ = facts.prepare_stock(raw, AS_OF, window="month")
+    assert rows(all_hist, "product_number") == [("A",), ("B",)]  # D13 parity: all staging history
+    assert rows(month, "product_number") == [("B",)]  # only lines ingested in January 2026
