@@ -329,6 +329,9 @@ def order_raw_checks() -> list[Check]:
         Check("Q1.3", "staging.order_raw: invalid created_at timestamp",
               blank_to_null("created_at").isNotNull()
               & parse_timestamp("created_at", ("yyyy-MM-dd'T'HH:mm:ss",), ("",)).isNull()),
+        Check("Q1.3b", "staging.order_raw: created_at not castable to timestamp",
+              blank_to_null("created_at").isNotNull()
+              & blank_to_null("created_at").try_cast("timestamp_ntz").isNull()),
         Check("Q1.4a", "staging.order_raw: quantity not numeric",
               blank_to_null("quantity").isNotNull() & ~is_numeric_text("quantity")),
         Check("Q1.4b", "staging.order_raw: unit_price not numeric",
@@ -390,9 +393,9 @@ def dq_service_rows(spark, sf_dir):
 
 
 def dq_not_castable(spark, sf_dir):
-    """Q1.3, Q1.4a, Q1.4b, P12, C18: text that will not type."""
+    """Q1.3 (fixed format and direct cast), Q1.4a, Q1.4b, P12, C18: text that will not type."""
     return quality.count_checks(driver.order_raw(spark, sf_dir),
-                                _pick(order_raw_checks(), {"Q1.3", "Q1.4a", "Q1.4b"}))
+                                _pick(order_raw_checks(), {"Q1.3", "Q1.3b", "Q1.4a", "Q1.4b"}))
 
 
 def dq_duplicates(spark, sf_dir):

@@ -321,6 +321,9 @@ Q_ORDER_RAW = {
     "Q1.3": ("staging.order_raw: invalid created_at timestamp", "bad_rows",
              "NULLIF(trim(created_at), '') IS NOT NULL AND "
              "try_strptime(NULLIF(trim(created_at), ''), '%Y-%m-%dT%H:%M:%S') IS NULL", False),
+    "Q1.3b": ("staging.order_raw: created_at not castable to timestamp", "bad_rows",
+              "NULLIF(trim(created_at), '') IS NOT NULL AND "
+              "TRY_CAST(NULLIF(trim(created_at), '') AS TIMESTAMP) IS NULL", False),
     "Q1.4a": ("staging.order_raw: quantity not numeric", "bad_rows",
               f"NULLIF(trim(quantity), '') IS NOT NULL AND NOT regexp_full_match(trim(quantity), {NUMERIC_RE})",
               False),
@@ -526,7 +529,7 @@ def _sql() -> dict[str, str]:
         checks_on("stock_snapshot", Q_STOCK, ["Q5.2"]),
     ])
     q["dq_service_rows"] = W() + checks_on("order_raw", Q_ORDER_RAW, ["Q1.2"])
-    q["dq_not_castable"] = W() + checks_on("order_raw", Q_ORDER_RAW, ["Q1.3", "Q1.4a", "Q1.4b"])
+    q["dq_not_castable"] = W() + checks_on("order_raw", Q_ORDER_RAW, ["Q1.3", "Q1.3b", "Q1.4a", "Q1.4b"])
     nn = lambda c: f"NULLIF(trim({c}), '') IS NOT NULL"
     q["dq_duplicates"] = W(DIM_PRODUCT, SALES_CURRENT, STOCK) + " UNION ALL ".join([
         dup_check("Q1.5", "staging.order_raw: duplicate (country, order_id, product_number)", "order_raw",
@@ -602,7 +605,7 @@ def _sql() -> dict[str, str]:
                   f"count(*) AS value, CAST(NULL AS BOOLEAN) AS passed FROM {rel}")
     nn = lambda c: f"NULLIF(trim({c}), '') IS NOT NULL"
     q["dq_report"] = W(DIM_PRODUCT, SALES_CURRENT, STOCK, cal, fx_all, report_missing) + " UNION ALL ".join(q0 + [
-        checks_on("order_raw", Q_ORDER_RAW, ["Q1.1", "Q1.2", "Q1.3", "Q1.4a", "Q1.4b"]),
+        checks_on("order_raw", Q_ORDER_RAW, ["Q1.1", "Q1.2", "Q1.3", "Q1.3b", "Q1.4a", "Q1.4b"]),
         dup_check("Q1.5", "staging.order_raw: duplicate (country, order_id, product_number)", "order_raw",
                   "country, order_id, product_number",
                   f"{nn('country')} AND {nn('order_id')} AND {nn('product_number')}", True),
