@@ -270,7 +270,8 @@ def fx_missing_months(spark, sf_dir):
     """Q6.1l, F6: required (month, currency) pairs without a rate."""
     need = needed_pairs(spark, sf_dir, FX_CHECK_AS_OF, FX_CHECK_MONTHS)
     have = fx_rates(spark, sf_dir).select("month_sk", "currency_code")
-    return need.join(have, ["month_sk", "currency_code"], "left_anti").select("month_sk", "currency_code")
+    missing = need.join(have, ["month_sk", "currency_code"], "left_anti").select("month_sk", "currency_code")
+    return missing.orderBy(F.col("month_sk").desc(), F.col("currency_code").asc())  # O2: listing order
 
 
 def surrogate_keys(spark, sf_dir):
@@ -317,6 +318,11 @@ def fx_rates_table(spark, sf_dir):
     return upsert(t, fx.manual_rates(months), keys, cols)
 
 
+def fx_currency_listing(spark, sf_dir):
+    """The rate rows of one currency after the rate load (RSD)."""
+    return fx_rates_table(spark, sf_dir).where(F.col("currency_code") == F.lit("RSD"))
+
+
 # ------------------------------------------------------------ quality checks
 def order_raw_checks() -> list[Check]:
     c = F.col
@@ -521,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "dim_country_scd1": dim_country_scd1,
     "dim_date_insert_only": dim_date_insert_only,
     "fx_rates_table": fx_rates_table,
+    "fx_currency_listing": fx_currency_listing,
     "dq_row_counts": dq_row_counts,
     "dq_missing_keys": dq_missing_keys,
     "dq_service_rows": dq_service_rows,

@@ -519,6 +519,7 @@ def _sql() -> dict[str, str]:
              CASE WHEN s.month_sk IS NOT NULL THEN s.obs_count ELSE t.obs_count END AS obs_count,
              CASE WHEN s.month_sk IS NOT NULL THEN s.source ELSE t.source END AS source
       FROM computed t FULL OUTER JOIN manual s ON t.month_sk = s.month_sk AND t.currency_code = s.currency_code"""
+    q["fx_currency_listing"] = "SELECT * FROM (" + q["fx_rates_table"] + ") WHERE currency_code = 'RSD'"
     q["dq_row_counts"] = " UNION ALL ".join(
         f"SELECT {_q(t)} AS table_name, count(*) AS row_count FROM {t}" for t in TABLES)
     q["dq_missing_keys"] = W(PRODUCT_RAW, SALES_CURRENT, STOCK) + " UNION ALL ".join([
