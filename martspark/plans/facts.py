@@ -181,13 +181,14 @@ def upsert_sales(current: DataFrame, batch: DataFrame, run_ts: Column,
     return upsert(current, batch, ["business_key_hash"], **kw)
 
 
-def upsert_sales_touched(current: DataFrame, batch: DataFrame, run_ts: Column
-                         ) -> tuple[DataFrame, list]:
+def upsert_sales_touched(current: DataFrame, batch: DataFrame, run_ts: Column,
+                         with_action: bool = False) -> tuple[DataFrame, list]:
     """Guarded upsert of a table partitioned by ``created_month``; returns
     the new state of the touched months only and their values, for
-    ``TableStore.publish_partitions``."""
+    ``TableStore.publish_partitions``.  ``with_action`` adds ``_action``
+    (insert / update / unchanged / untouched) for a load audit."""
     return upsert_touched(current, with_created_month(batch), ["business_key_hash"], "created_month",
-                          locate=True, **_sales_upsert_args(current, run_ts))
+                          locate=True, **_sales_upsert_args(current, run_ts, with_action))
 
 
 def empty_sales(spark) -> DataFrame:
