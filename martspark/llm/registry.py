@@ -1,13 +1,19 @@
 """Queries of the training-data operators and their DuckDB SQL, by name."""
 
-from martspark.llm import exact_dedup, hilbert
+from martspark.llm import exact_dedup, hilbert, line_dedup, mixing, url_filter
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_hilbert_shards": hilbert.op5_hilbert_shards,
+    "op6_mix_sources": mixing.op6_mix_sources,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLE_SQL = {
+    "op1_line_dedup": line_dedup.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op5_hilbert_shards": hilbert.SQL,
+    "op6_mix_sources": mixing.SQL,
+    "op10_url_filter": url_filter.SQL,
 }
