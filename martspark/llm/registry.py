@@ -1,12 +1,16 @@
 """Queries of the training-data operators and their DuckDB SQL, by name."""
 
-from martspark.llm import exact_dedup, hilbert, line_dedup, mixing, url_filter
+from martspark.llm import (decontaminate, exact_dedup, hilbert, line_dedup, mixing, quality,
+                           token_files, url_filter)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_quality_classifier": quality.op2_quality_classifier,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_hilbert_shards": hilbert.op5_hilbert_shards,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_token_files": token_files.op8_token_files,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
