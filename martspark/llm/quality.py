@@ -21,6 +21,7 @@ are never read.
 
 from __future__ import annotations
 
+import operator
 import zlib
 from collections.abc import Iterator
 
@@ -40,6 +41,8 @@ MAX_TRAIN = 4000
 MAX_TRAIN_CHARS = 200_000
 HELD_OUT_FOLDS = 5
 THRESHOLD = 0.3
+#: The word bigram of any word with itself; contains a space, so no word equals it.
+REPEAT = "\x00 \x00"
 
 
 def word_features(word: str) -> list[int]:
@@ -52,9 +55,15 @@ def word_features(word: str) -> list[int]:
     return out
 
 
+def words_of(text: str | None) -> list[str]:
+    """White-space words; each that repeats its predecessor adds the word ``REPEAT``."""
+    words = (text or "").split()
+    return words + [REPEAT] * sum(map(operator.eq, words, words[1:]))
+
+
 def text_features(text: str, cache: dict) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares."""
-    words = [cache[w] for w in (text or "").split()]
+    words = [cache[w] for w in words_of(text)]
     if not words:
         return np.empty(0, np.int64), np.empty(0)
     idx, n = np.unique(np.concatenate(words), return_counts=True)
@@ -68,6 +77,9 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     out = np.zeros((2, DIM))
     cache = BoundedCache(lambda w: np.array(word_features(w)))
     docs = [text_features(t, cache) for t in texts]
+    # classes weigh by the inverse root of their frequency
+    share_of = np.bincount(labels, minlength=2) / max(1, len(labels))
+    weight = np.sqrt(0.5 / np.maximum(share_of, 1e-9))
     step, steps = 0, epochs * max(1, len(docs))
     for _ in range(epochs):
         for d in rng.permutation(len(docs)):
@@ -82,6 +94,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
             p = np.exp(logits - logits.max())
             p /= p.sum()
             p[labels[d]] -= 1
+            p *= weight[labels[d]]
             grad = out.T @ p
             out -= rate * np.outer(p, hidden)
             # fastText's update: every feature takes the document's gradient
@@ -127,7 +140,7 @@ def scorer(spark: SparkSession, model: np.ndarray):
 
         cache = BoundedCache(sums)
         for texts in batches:
-            totals = [sum(map(cache.__getitem__, t.split()), 0j) if t else 0j for t in texts]
+            totals = [sum(map(cache.__getitem__, words_of(t)), 0j) for t in texts]
             total = np.array(totals, complex)
             mean = total.real / np.maximum(total.imag, 1)
             yield pd.Series(1 / (1 + np.exp(-np.clip(mean, -30, 30))))
