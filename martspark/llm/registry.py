@@ -1,11 +1,12 @@
 """Queries of the training-data operators and their DuckDB SQL, by name."""
 
-from martspark.llm import (decontaminate, exact_dedup, hilbert, line_dedup, mixing, quality,
-                           token_files, url_filter)
+from martspark.llm import (decontaminate, exact_dedup, hilbert, jaccard_join, line_dedup, mixing,
+                           quality, token_files, url_filter)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_classifier": quality.op2_quality_classifier,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_hilbert_shards": hilbert.op5_hilbert_shards,
     "op6_mix_sources": mixing.op6_mix_sources,
