@@ -1,6 +1,6 @@
 """Queries of the training-data operators and their DuckDB SQL, by name."""
 
-from martspark.llm import (decontaminate, exact_dedup, hilbert, jaccard_join, line_dedup, mixing,
+from martspark.llm import (ctw, decontaminate, exact_dedup, hilbert, jaccard_join, line_dedup, mixing,
                            quality, token_files, url_filter)
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_token_files": token_files.op8_token_files,
+    "op9_lm_scores": ctw.op9_lm_scores,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
