@@ -41,8 +41,8 @@ from pyspark.sql.window import Window as W
 
 from martspark.llm.common import crc_fold, partitions, sorted_groups, stored, table
 
-DEPTH = 4
-BATCH_BITS = 12
+DEPTH = 5
+BATCH_BITS = 13
 CHUNK = 1 << 22      # bytes handled at once inside a batch
 HELD_OUT = (7, 2)    # held out: crc32 of the id modulo 7 is 2
 _U = np.uint64

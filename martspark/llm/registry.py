@@ -1,5 +1,6 @@
 """Queries of the training-data operators and their DuckDB SQL, by name."""
 
+import corpus_pipeline
 from martspark.llm import (ctw, decontaminate, exact_dedup, hilbert, jaccard_join, line_dedup, mixing,
                            quality, token_files, url_filter)
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_lm_scores": ctw.op9_lm_scores,
     "op10_url_filter": url_filter.op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
