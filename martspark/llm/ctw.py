@@ -126,7 +126,8 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     for i in range(8):
         steps += np.log(x + i)
     return ((y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi)
-            + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - steps)
+            + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)
+            + 1 / (1188 * y ** 9) - steps)
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:

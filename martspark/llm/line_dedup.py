@@ -76,15 +76,20 @@ def site_boilerplate(pages: DataFrame, ratio: float = RATIO,
 
 def drop_boilerplate(pages: DataFrame, ratio: float = RATIO,
                      min_pages: int = MIN_PAGES) -> DataFrame:
-    """Add n_lines, n_dropped and text to rows with ``host`` and ``lines``."""
+    """Replace ``lines`` by n_lines, n_dropped and text, in rows with ``host`` and ``lines``.
+
+    Input columns of these names are replaced.
+    """
+    rest = [c for c in pages.columns if c not in ("host", "lines", "n_lines", "n_dropped", "text")]
     drop = site_boilerplate(pages.select("host", "lines"), ratio, min_pages)
     kept = F.filter("lines", lambda line: ~F.array_contains(
-        F.coalesce(F.col("boilerplate"), F.array().cast("array<binary>")), _digest(line)))
-    return (pages.join(drop, "host", "left").withColumn("kept", kept)
-            .withColumns({"n_lines": F.size("lines"),
-                          "n_dropped": F.size("lines") - F.size("kept"),
-                          "text": F.concat_ws("\n", "kept")})
-            .drop("boilerplate", "kept", "lines"))
+        F.coalesce(F.col("__drop"), F.array().cast("array<binary>")), _digest(line)))
+    return (pages.select("host", *rest, "lines")
+            .join(drop.withColumnRenamed("boilerplate", "__drop"), "host", "left")
+            .withColumn("__kept", kept)
+            .select(*rest, "host", F.size("lines").alias("n_lines"),
+                    (F.size("lines") - F.size("__kept")).alias("n_dropped"),
+                    F.concat_ws("\n", "__kept").alias("text")))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ more are joined by shuffle.
 Defined cases: a null URL or one without ``://`` has an empty host and path
 and is judged as such; repeated rows are all returned; a URL that no rule
 matches gets the default verdict; an empty table gives an empty result; other
-columns of the input are ignored.
+columns are kept.
 """
 
 from __future__ import annotations
@@ -122,23 +122,27 @@ def _index(targets: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def judge(urls: DataFrame, rules: list[Rule], default: str = "allow",
           url_col: str = "url") -> DataFrame:
-    """Input rows with host, path, rule and verdict (rule: null if none matched)."""
+    """Input rows with host, path, rule and verdict (rule: null if none matched).
+
+    Input columns of these names are replaced.
+    """
     host, path = host_path(F.col(url_col))
-    rows = urls.withColumns({"host": host, "path": path})
+    added = ("host", "path", "rule", "verdict")
+    rest = [c for c in urls.columns if c not in added]
+    rows = urls.select(*rest, host.alias("host"), path.alias("path"))
     targets = rows.select("host", "path").distinct()
     index = _index(targets, rules)
-    text = F.concat("host", "path")
     tokens = targets.select("host", "path", F.explode(
-        F.array_union(_tokens(text), F.array(F.lit("")))).alias("token"))
+        F.array_union(_tokens(F.concat("host", "path")), F.array(F.lit("")))).alias("token"))
     index = F.broadcast(index) if len(rules) <= BROADCAST_RULES else index
     best = F.max(F.struct("rank", F.col("verdict").alias("v"), "rule"))
     # 'block' > 'allow': block wins among equal ranks
     found = (tokens.join(index, "token")
              .where(F.expr("regexp_like(concat(host, path), regex)"))
-             .groupBy("host", "path").agg(best.alias("best")))
+             .groupBy("host", "path").agg(best.alias("__best")))
     return (rows.join(found, ["host", "path"], "left")
-            .select(*urls.columns, "host", "path", F.col("best.rule").alias("rule"),
-                    F.coalesce("best.v", F.lit(default)).alias("verdict")))
+            .select(*rest, "host", "path", F.col("__best.rule").alias("rule"),
+                    F.coalesce("__best.v", F.lit(default)).alias("verdict")))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,42 @@
+import pytest
+
+from martspark.session import ship_package
+
+DOCS = ("doc_id bigint, text string, lang string, source string, n_chars bigint,"
+        # names that the operators use themselves
+        " key string, size string, score string, batch string, path string, shard string, n string")
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    ship_package(spark)
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    def make(rows):
+        """Documents from (doc_id, text[, source]) with columns of clashing names."""
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "src", 0, *["x"] * 7) for r in rows]
+        return spark.createDataFrame(full, DOCS)
+    return make
+
+
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(40_000))
+
+#: Nulls in every column used, empty and blank texts, a very long one, ties and repeated rows.
+ODD_ROWS = [
+    (1, None, "a"), (2, "", "a"), (3, "  \n\t ", None), (4, LONG, "a"),
+    (5, "same text here", "b"), (6, "same text here", "b"), (6, "same text here", "b"),
+    (7, "one", None), (8, "caf\u00e9 \U0001F600 na\u00efve", "a"), (None, "no id at all", "b"),
+    (9, "Same text here", "c"), (10, LONG, "c"), (0, "zero\x00byte <|endoftext|> it's", "c"),
+]
+
+
+@pytest.fixture(scope="session")
+def odd(make_docs):
+    return make_docs(ODD_ROWS)
+
+
+@pytest.fixture(scope="session")
+def empty(make_docs):
+    return make_docs([])

@@ -1,0 +1,130 @@
+import math
+import zlib
+from functools import lru_cache
+
+import numpy as np
+import pytest
+
+from conftest_llm import texts_of
+from martspark.llm import ctw as C
+
+
+class Tree:
+    """Context-tree weighting by its definition, one decision at a time."""
+
+    def __init__(self, texts, depth):
+        self.depth, self.count = depth, {}
+        for t in texts:
+            for ctx, prefix, bit in self.decisions(t):
+                for d in range(depth + 1):
+                    n = self.count.setdefault((ctx[depth - d:], prefix), [0, 0])
+                    n[bit] += 1
+
+    def decisions(self, t):
+        data = b"\0" * self.depth + t + b"\0"
+        for i in range(self.depth, len(data)):
+            prefix = 1
+            for k in range(7, -1, -1):
+                bit = data[i] >> k & 1
+                yield data[i - self.depth:i], prefix, bit
+                prefix = prefix * 2 + bit
+
+    @staticmethod
+    def kt(n):
+        p = 1.0
+        zeros = ones = 0
+        for bit, m in enumerate(n):
+            for _ in range(m):
+                p *= ((ones if bit else zeros) + 0.5) / (zeros + ones + 1)
+                ones, zeros = ones + bit, zeros + 1 - bit
+        return p
+
+    def weighted(self):
+        @lru_cache(None)
+        def pw(s, prefix):
+            n = self.count.get((s, prefix))
+            if n is None:
+                return 1.0
+            if len(s) == self.depth:
+                return self.kt(n)
+            below = math.prod(pw(bytes([c]) + s, prefix) for c in self.bytes)
+            return 0.5 * self.kt(n) + 0.5 * below
+        self.bytes = sorted({b for s, _ in self.count for b in s})
+        return pw
+
+    def score(self, t):
+        pw, total = self.weighted(), 0.0
+        for ctx, prefix, bit in self.decisions(t):
+            p = None
+            for d in range(self.depth, -1, -1):
+                s = ctx[self.depth - d:]
+                n = self.count.get((s, prefix), [0, 0])
+                here = (n[bit] + 0.5) / (sum(n) + 1)
+                if p is None:
+                    p = here
+                else:
+                    share = 0.5 * self.kt(n) / pw(s, prefix) if sum(n) else 0.5
+                    p = share * here + (1 - share) * p
+            total += math.log10(p)
+        return total
+
+
+TEXTS = ["abab ab", "the cat", "The hat", "", None, "abba", "café", "a  b\n", "the the the"]
+
+
+@pytest.mark.parametrize("depth", [2, 3])
+def test_equals_the_definition(make_docs, depth):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    rows += [(i, TEXTS[i % 9]) for i in range(20, 30)]
+    train = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    low = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode()
+    tree = Tree([low(t) for _, t in train], depth)
+    got = {r.doc_id: r for r in C.lm_scores(make_docs(rows), depth=depth, batch_bits=2).collect()}
+    assert len(got) == len(rows) and 0 < sum(r.held_out for r in got.values()) < len(rows)
+    words = {}
+    for _, t in train:
+        for w in [*low(t).split(), None]:
+            words[w] = words.get(w, 0) + 1
+    n, v = sum(words.values()), len(words)
+    for i, t in rows:
+        r, tokens = got[i], [*low(t).split(), None]
+        assert math.isclose(r.score, tree.score(low(t)), rel_tol=1e-9)
+        base = sum(math.log10((words.get(w, 0) + 1) / (n + v + 1)) for w in tokens)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (
+            len(tokens), sum(w in words for w in tokens), n)
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 7 == 2)
+
+
+def test_probabilities_of_all_bytes_add_up(spark):
+    grams, _ = C.gram_codes([b"banana band", b"and an"], 3)
+    codes, n = np.unique(grams, return_counts=True)
+    ctx = np.unique(codes >> np.uint64(8))
+    every = np.unique((ctx[:, None] << np.uint64(8) | np.arange(256, dtype=np.uint64)).ravel())
+    count = np.zeros(len(every), int)
+    count[np.searchsorted(every, codes)] = n
+    df = spark.createDataFrame([(int(c), int(k)) for c, k in zip(every, count)], "gram long, n long")
+    total = {}
+    for r in C.gram_scores(df, 3).collect():
+        total[r.gram >> 8] = total.get(r.gram >> 8, 0) + 10 ** r.logp
+    assert len(total) == len(ctx) and all(abs(v - 1) < 1e-9 for v in total.values())
+
+
+def test_log_gamma():
+    x = np.array([0.5, 1, 1.5, 2, 7.25, 100, 1e6])
+    assert np.allclose(C.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-12)
+
+
+def test_odd_rows(odd):
+    rows = C.lm_scores(odd).collect()
+    assert len(rows) == odd.count() and all(r.score < 0 and r.n_known <= r.n_tokens for r in rows)
+    size = {i: len((t or "").encode()) for i, t in texts_of(odd)}
+    assert all(r.n_bytes == size[r.doc_id] for r in rows)
+
+
+def test_without_training_rows_and_empty(make_docs, empty):
+    i = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    r = C.lm_scores(make_docs([(i, "ab")])).first()
+    assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0)
+    assert math.isclose(r.score, 3 * 8 * math.log10(0.5))
+    assert C.lm_scores(empty).collect() == []

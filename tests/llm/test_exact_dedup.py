@@ -1,0 +1,57 @@
+import hashlib
+
+import pytest
+
+from conftest_llm import texts_of
+from martspark.llm import exact_dedup as X
+
+
+def expected(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t or "", []).append(i)
+    out = []
+    for i, t in rows:
+        ids = groups[t or ""]
+        known = [x for x in ids if x is not None]
+        keep = max(known) if known else None
+        out.append((i, keep, len(ids), i == keep, hashlib.sha256((t or "").encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted((tuple(r[:5]) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("key_bits", [64, 4, 1])
+def test_odd_rows_and_colliding_keys(odd, key_bits):
+    assert got(X.exact_dedup(odd, key_bits=key_bits)) == expected(texts_of(odd))
+
+
+def test_chains_are_numbered_per_key(make_docs):
+    df = X.exact_dedup(make_docs([(i, f"text {i % 20}") for i in range(60)]), key_bits=2)
+    rows = {(r.text_sha256, r.chain) for r in df.collect()}
+    assert len(rows) == 20 and max(c for _, c in rows) >= 5
+
+
+def test_directory_doubles_until_buckets_fit(spark):
+    from pyspark.sql import functions as F
+    keys = spark.range(4000).select(F.xxhash64("id").alias("key"))
+    # a heavy prefix: splits far below the others
+    heavy = spark.range(500).select((F.col("id") + (1 << 50)).alias("key"))
+    buckets = X.directory(keys.union(heavy), 64, 100, 20).collect()
+    assert sum(r.n for r in buckets) == 4500
+    assert all(r.n <= 100 or r.depth == 20 for r in buckets)
+    assert len({r.depth for r in buckets}) > 1
+    spans = sorted((r.prefix << (20 - r.depth), (r.prefix + 1) << (20 - r.depth)) for r in buckets)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))  # no key in two buckets
+
+
+def test_index_can_be_looked_up_later(make_docs):
+    index = X.build_index(make_docs([(1, "a"), (2, "b"), (3, "a")]))
+    rows = X.lookup(make_docs([(3, "a"), (1, "a")]), index).collect()
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in rows) == [(1, 3, False), (3, 3, True)]
+
+
+def test_empty(empty):
+    assert X.exact_dedup(empty).collect() == []

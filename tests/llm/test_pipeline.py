@@ -1,0 +1,56 @@
+import os
+import zlib
+from collections import Counter
+
+import pytest
+
+import __spark_entry__
+import corpus_pipeline as P
+from martspark.llm import decontaminate, jaccard_join, mixing, quality
+from martspark.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs, out = table(spark, SF, "documents"), []
+    for name, stage in P.STAGES:
+        frame = stage(spark, docs, SF)
+        rows = [tuple(r) for r in frame.collect()]
+        out.append((name, docs, rows, frame.columns))
+        docs = spark.createDataFrame(rows, frame.schema)
+    return out
+
+
+def test_stages_and_registration(stages):
+    assert [n for n, *_ in stages] == ["quality_classifier", "jaccard_join", "decontamination",
+                                       "mixing", "token_output"]
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    assert all(c == columns for _, _, _, c in stages[:-1])
+    q = __spark_entry__.queries()
+    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= {k.split("_")[0] for k in q}
+
+
+def test_decisions_take_effect(spark, stages):
+    ids = [[r[0] for r in rows] for _, _, rows, _ in stages]
+    before = [[r.doc_id for r in docs.select("doc_id").collect()] for _, docs, _, _ in stages]
+    labels = table(spark, SF, "labels")
+    score = {r.doc_id: r.score for r in quality.with_score(stages[0][1], labels).collect()}
+    assert sorted(ids[0]) == sorted(i for i in before[0] if score[i] >= quality.THRESHOLD)
+    groups = {r.doc_id: r.class_id for r in jaccard_join.near_duplicates(stages[1][1]).collect()}
+    assert sorted(ids[1]) == sorted(set(groups.values()))
+    bench = table(spark, SF, "benchmark")
+    hit = {r.doc_id for r in decontaminate.with_matches(stages[2][1], bench, "m").collect() if r.m}
+    assert sorted(ids[2]) == sorted(set(before[2]) - hit)
+    plan = {r.doc_id: -(-r.taken // max(1, r.size)) for r in
+            mixing.mix(mixing.sized(stages[3][1])).collect()}
+    assert Counter(ids[3]) == {i: c for i, c in plan.items() if c}
+    assert sorted(ids[4]) == sorted(before[4])
+
+
+def test_run_equals_the_stages(spark, stages):
+    got = sorted(tuple(r) for r in P.run(spark, SF).collect())
+    assert got == sorted(stages[-1][2])

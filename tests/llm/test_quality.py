@@ -1,0 +1,81 @@
+import os
+import random
+import zlib
+
+import pytest
+
+from martspark.llm import quality as Q
+
+SF = "/root/testdata/sf0.01"
+
+
+def labelled(spark, n=400, seed=5):
+    rng = random.Random(seed)
+    good = ["then", "other", "thing", "reading", "water", "letter", "mother", "story"]
+    rows, labels = [], []
+    for i in range(n):
+        words = [rng.choice(good) + rng.choice(["", "s", "ing"]) for _ in range(rng.randrange(20, 60))]
+        y = int(rng.random() < 0.7)
+        if not y:
+            words = [w.upper() + "!!" if i % 2 else w + "$$$" for w in words]
+        rows.append((i, " ".join(words), "x"))
+        labels.append((i, y))
+    return (spark.createDataFrame(rows, "doc_id long, text string, score string"),
+            spark.createDataFrame(labels, "doc_id long, quality int"))
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = labelled(spark)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    rows = Q.with_score(docs, labels, "p").collect()
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert len(held) > 40
+    assert sum((r.p >= Q.THRESHOLD) == truth[r.doc_id] for r in held) / len(held) > 0.95
+
+
+def test_held_out_labels_are_not_read(spark):
+    docs, labels = labelled(spark)
+    flipped = labels.selectExpr("doc_id", "IF(crc32(cast(cast(doc_id as string) as binary)) % 5 = 0,"
+                                " 1 - quality, quality) AS quality")
+    assert (Q.fit(docs, labels) == Q.fit(docs, flipped)).all()
+
+
+def test_score_is_the_softmax_of_the_mean_vector():
+    texts, labels = ["good words here", "BAD!! WORDS!!"] * 10, [1, 0] * 10
+    effect = Q.train(texts, labels, epochs=3)
+    cache = Q.BoundedCache(lambda w: __import__("numpy").array(Q.word_features(w)))
+    for t, y in zip(texts[:2], labels):
+        idx, share = Q.text_features(t, cache)
+        assert (effect[idx] @ share > 0) == bool(y)
+
+
+def test_odd_rows(spark, odd):
+    docs, labels = labelled(spark)
+    labels = labels.union(spark.createDataFrame([(None, 1), (3, None), (3, 1), (9999, 0)],
+                                                "doc_id long, quality int"))
+    score = Q.scorer(spark, Q.fit(docs, labels))
+    rows = odd.withColumn("p", score(odd["text"])).collect()
+    assert len(rows) == odd.count() and all(0 <= r.p <= 1 for r in rows)
+    by = {}
+    for r in rows:
+        by.setdefault(r.text or "", set()).add(r.p)
+    assert all(len(v) == 1 for v in by.values()) and by[""] == {0.5}
+    assert Q.keep_quality(odd, labels).columns == odd.columns
+
+
+def test_without_labels_and_empty(spark, odd, empty):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in Q.with_score(odd.drop("score"), none).collect()} == {0.5}
+    one = spark.createDataFrame([(4, 1)], "doc_id long, quality int")
+    assert all(r.p >= 0.5 for r in Q.with_score(odd, one, "p").collect())
+    assert Q.with_score(empty.drop("score"), none).collect() == []
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_driver_labels(spark):
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = Q.op2_quality_classifier(spark, SF).collect()
+    held = [r for r in rows if r.held_out and r.doc_id in truth]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(r.predicted == int(r.score >= 0.3) for r in rows)
+    assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.9

@@ -1,0 +1,30 @@
+"""Queries that SQL can express, against DuckDB on the driver tables."""
+
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+from martspark.llm.registry import ORACLE_SQL, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+
+
+def bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(row[i] for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = QUERIES[name](spark, SF)
+    want = con.execute(ORACLE_SQL[name])
+    columns = [d[0] for d in want.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert bag(df.columns, [tuple(r) for r in df.collect()]) == bag(columns, want.fetchall())
