@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from martspark.plans.registry import QUERIES
 from martspark.operators import keep_first, latest_per_key, quality
 from tests.conftest import rows
 
@@ -18,9 +18,9 @@ def plan_of(df):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pair_joins_or_python(spark, name):
-    p = plan_of(queries()[name](spark, SF))
+    p = plan_of(QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in p, f"{name}: {bad}"
