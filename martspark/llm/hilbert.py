@@ -121,13 +121,23 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) ->
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write documents into ``path/shard=<n>`` in slot order, one file range per shard."""
+    """Write documents into ``path/shard=<n>`` in slot order.
+
+    A ``shard`` or ``slot`` column of the input is replaced.
+    """
     placed = shard_documents(docs, shards).select(
-        F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), "shard", "slot").distinct()
+        F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), "shard", "slot",
+        F.row_number().over(W.partitionBy("doc_id", "text_crc32").orderBy("shard", "slot"))
+        .alias("__k"))
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    (docs.join(placed, docs["doc_id"].eqNullSafe(F.col("__id")) & (crc == F.col("__crc")))
-     .drop("__id", "__crc").repartitionByRange(shards, "shard", "slot")
-     .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+    rest = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = docs.select(*rest).withColumn("__c", crc).withColumn(
+        "__j", F.row_number().over(W.partitionBy("doc_id", "__c").orderBy("text")))
+    same = (F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__c") == F.col("__crc"))
+            & (F.col("__j") == F.col("__k")))
+    (rows.join(placed, same).select(*rest, "shard", "slot")
+     .repartitionByRange(shards, "shard", "slot").sortWithinPartitions("shard", "slot")
+     .write.partitionBy("shard").parquet(path))
 
 
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,7 +52,10 @@ def test_shards_narrow_the_dimensions(make_docs):
 def test_write_shards(odd, tmp_dir, spark):
     H.write_shards(odd, f"{tmp_dir}/out")
     back = spark.read.parquet(f"{tmp_dir}/out")
-    assert back.count() == odd.count() and set(odd.columns) - {"shard"} <= set(back.columns)
+    assert set(odd.columns) | {"slot"} == set(back.columns)
+    assert sorted(back.select("doc_id", "text").collect(), key=str) == sorted(
+        odd.select("doc_id", "text").collect(), key=str)
+    assert back.select("shard", "slot").distinct().count() == odd.count()
 
 
 def test_empty(empty):
