@@ -72,7 +72,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        # Unset: a local run or a test.  A cluster always names a shared folder.
+        # Unset: fine for a local run or a test; on a cluster executors would
+        # not see the driver's folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         path = tempfile.mkdtemp(prefix="martspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

@@ -28,11 +28,14 @@ def read_text_csv(spark: SparkSession, path: str | list[str], schema: T.StructTy
     ``multiline=True`` is needed only for feeds with line breaks inside
     quoted values; such files are then read whole by one task each.
     """
-    return (spark.read.schema(schema)
+    return csv_options(spark.read, schema, mode).option("multiLine", multiline).csv(path)
+
+
+def csv_options(reader, schema: T.StructType, mode: str = "FAILFAST"):
+    """The feed format, for batch and streaming readers alike."""
+    return (reader.schema(schema)
             .option("header", True).option("encoding", "UTF-8").option("mode", mode)
-            .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-            .option("enforceSchema", True)
-            .csv(path))
+            .option("quote", '"').option("escape", '"').option("enforceSchema", True))
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -87,20 +90,55 @@ def stage_products(spark: SparkSession, path, load_run_ts, mode="FAILFAST") -> D
     return _conform(df, schemas.PRODUCT_RAW)
 
 
-def skip_loaded_files(batch: DataFrame, staging: DataFrame) -> DataFrame:
-    """Drop rows of files already in staging (D24): re-running a load is a no-op.
+LEDGER = "feed string, country string, path string, bytes bigint, modified bigint"
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time) of the data files under a path or glob."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for top in fs.globStatus(p) or []:
+        found = fs.listFiles(top.getPath(), True)
+        while found.hasNext():
+            st = found.next()
+            if not st.getPath().getName().startswith(("_", ".")):
+                out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return sorted(out)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def new_files(spark: SparkSession, ledger: str, feed: str, country: str | None, path: str
+              ) -> list[tuple[str, int, int]]:
+    """The files of a load that the ledger does not hold.
 
-    All rows of a file share its name, so joining the batch on it would send
-    a big file to one task.  Instead the load's own file names (one row per
-    file, a small list) are matched against staging's distinct names, and
-    the batch is filtered by that list without any shuffle.
+    A file is known by feed, country, full path, size and modification time,
+    so equal names in two countries' folders are two files and a file that
+    was replaced is new.  Neither the feed nor staging is read for this; the
+    result is bounded by the files listed.
     """
-    names = batch.select("source_file").distinct()
-    loaded = [r[0] for r in names.join(staging.select("source_file").distinct(), "source_file",
-                                       "left_semi").collect()]
-    if not loaded:
-        return batch
-    return batch.where(~F.coalesce(F.col("source_file").isin(loaded), F.lit(False)))
+    files = list_files(spark, path)
+    if not files or not path_exists(spark, ledger):
+        return files
+    listed = spark.createDataFrame([(feed, country, *f) for f in files], LEDGER)
+    seen = (spark.read.schema(LEDGER).parquet(ledger)
+            .where((F.col("feed") == feed) & F.col("country").eqNullSafe(F.lit(country))))
+    keys = ["path", "bytes", "modified"]
+    return sorted(tuple(r) for r in listed.select(*keys).join(
+        seen.select(*keys), keys, "left_anti").collect())
+
+
+def record_files(spark: SparkSession, ledger: str, feed: str, country: str | None,
+                 files: list[tuple[str, int, int]]) -> None:
+    """Enter loaded files.  Done after the staging write: a load that fails in
+    between is staged again, and latest-per-key absorbs its repeated rows."""
+    rows = spark.createDataFrame([(feed, country, *f) for f in files], LEDGER)
+    rows.coalesce(1).write.mode("append").parquet(ledger)
 
 
 def append_staging(df: DataFrame, path: str, partition_by: list[str] | None = None,

@@ -2,9 +2,11 @@
 
 ``readStream.csv`` on a landing folder discovers new files; each micro-batch
 is renamed, stamped and appended to staging by ``foreachBatch``.  The batch
-is written to ``<staging>/ingest_batch=<id>`` with overwrite, so a batch replayed
-after a failure replaces its own output: exactly-once staging without a
-file ledger (the checkpoint records which files were taken, D24).
+is written with overwrite to a folder of its own, named by feed, country,
+query id (kept in the checkpoint) and batch number: a batch replayed after a
+failure replaces its own output, and neither another country nor a new
+checkpoint over old staging can touch it (the checkpoint records which files
+were taken, D24).
 ``trigger(availableNow=True)`` processes what has landed and stops, which
 suits a scheduled warehouse load.
 """
@@ -17,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martspark import schemas
 from martspark.functions.clean import parse_timestamp
-from martspark.sources.feeds import rename_columns, with_load_context
+from martspark.sources.feeds import csv_options, rename_columns, with_load_context
 
 FEEDS = {
     "sales": (schemas.SALES_FEED, schemas.SALES_RENAMES, schemas.ORDER_RAW_TYPED),
@@ -29,8 +31,7 @@ def start_feed_ingest(spark: SparkSession, feed: str, landing_dir: str, staging_
                       country: str, checkpoint_location: str,
                       available_now: bool = True) -> StreamingQuery:
     feed_schema, renames, staging_schema = FEEDS[feed]
-    stream = (spark.readStream.schema(feed_schema).option("header", True)
-              .option("mode", "FAILFAST").csv(landing_dir)
+    stream = (csv_options(spark.readStream, feed_schema).csv(landing_dir)
               .select("*", F.col("_metadata.file_name").alias("_file")))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -41,7 +42,9 @@ def start_feed_ingest(spark: SparkSession, feed: str, landing_dir: str, staging_
         if "created_ts" in staging_schema.fieldNames():
             df = df.withColumn("created_ts", parse_timestamp("created_at"))
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in staging_schema.fields])
-        df.write.mode("overwrite").parquet(f"{staging_dir}/ingest_batch={epoch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        df.write.mode("overwrite").parquet(f"{staging_dir}/ingest_feed={feed}/ingest_country={country}"
+                                           f"/ingest_query={query}/ingest_batch={epoch_id}")
 
     w = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_location))

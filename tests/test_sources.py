@@ -53,11 +53,15 @@ def test_multiline_quoted_value(spark, tmp_dir):
 
 def test_skip_loaded_files_and_audit(spark, tmp_dir):
     p = write(f"{tmp_dir}/in/sales_dk.csv", HEADER + "1,SO1,Packas,web,A,x,2,100,,M,2025-12-05\n")
-    batch = feeds.stage_sales(spark, p, "DK", T1)
-    staging = f"{tmp_dir}/staging/order_raw"
-    feeds.append_staging(feeds.skip_loaded_files(batch, spark.createDataFrame([], schemas.ORDER_RAW)), staging)
-    again = feeds.skip_loaded_files(batch, spark.read.parquet(staging))
-    assert again.count() == 0  # D24
+    ledger, staging = f"{tmp_dir}/ledger", f"{tmp_dir}/staging/order_raw"
+    files = feeds.new_files(spark, ledger, "order_raw", "DK", f"{tmp_dir}/in")
+    assert [f[0].rpartition("/")[2] for f in files] == ["sales_dk.csv"]
+    feeds.append_staging(feeds.stage_sales(spark, [f[0] for f in files], "DK", T1), staging)
+    feeds.record_files(spark, ledger, "order_raw", "DK", files)
+    assert feeds.new_files(spark, ledger, "order_raw", "DK", p) == []  # D24
+    assert len(feeds.new_files(spark, ledger, "order_raw", "SE", p)) == 1
+    os.utime(p, (1, 1))  # delivered again under the same name
+    assert len(feeds.new_files(spark, ledger, "order_raw", "DK", p)) == 1
     assert rows(feeds.load_audit(spark.read.parquet(staging))) == [("sales_dk.csv", 1)]
 
 
@@ -123,7 +127,7 @@ def test_store_partition_reuse(spark, tmp_dir):
                                      ("d", "2026-01", 4)]
     import json
     man = json.loads(store._read_text(store._manifest_path("t", 2)))
-    assert man["leaves"]["m=2025-10"].endswith("store_version=1")  # untouched: reused, not rewritten
+    assert "/store_version=1-" in man["leaves"]["m=2025-10"]  # untouched: reused, not rewritten
     assert "m=2025-11" not in man["leaves"]  # emptied by the move
     assert rows(store.read("t", version=1)) == rows(first)
 
@@ -179,11 +183,11 @@ def test_store_vacuum_keeps_referenced_data(spark, tmp_dir):
     before = rows(store.read("t"))
     deleted = store.vacuum("t", keep=1)
     assert rows(store.read("t")) == before == [("a", "2025-10", 1), ("b", "2025-11", 12)]
-    assert any("store_version=3" in d for d in deleted) and not any("m=2025-10" in d for d in deleted)
+    assert any("store_version=3-" in d for d in deleted) and not any("m=2025-10" in d for d in deleted)
     store.publish("d", spark.createDataFrame([(1,)], "x int"))
     store.publish("d", spark.createDataFrame([(2,)], "x int"))
     gone = store.vacuum("d", keep=1)
-    assert rows(store.read("d")) == [(2,)] and any(d.endswith("/d/v=1") for d in gone)
+    assert rows(store.read("d")) == [(2,)] and any("/d/v=1-" in d for d in gone)
 
 
 def test_publish_partitions_retry_after_failed_attempt(spark, tmp_dir):
@@ -192,7 +196,96 @@ def test_publish_partitions_retry_after_failed_attempt(spark, tmp_dir):
     store.publish_partitions("t", spark.createDataFrame([("a", "2025-10", 1)], sch), "m", ["2025-10"])
     # a failed attempt at version 2 left files behind; the pointer still says 1
     spark.createDataFrame([("zombie", 99)], "k string, v int").write.parquet(
-        f"{tmp_dir}/wh/t/parts/m=2025-10/store_version=2")
+        f"{tmp_dir}/wh/t/parts/m=2025-10/store_version=2-dead")
     assert rows(store.read("t")) == [("a", "2025-10", 1)]
     store.publish_partitions("t", spark.createDataFrame([("a", "2025-10", 2)], sch), "m", ["2025-10"])
     assert rows(store.read("t")) == [("a", "2025-10", 2)]
+
+
+def test_same_file_name_in_two_countries(spark, tmp_dir):
+    from martspark.plans import pipeline
+    for c in ("bg", "se"):
+        write(f"{tmp_dir}/{c}/jan.csv", HEADER + f"1,SO{c},Packas,web,A,x,2,100,,M,2025-12-05T10:00:00\n")
+    n = pipeline.stage_feeds(spark, f"{tmp_dir}/staging", T1,
+                             sales={"BG": f"{tmp_dir}/bg", "SE": f"{tmp_dir}/se"})
+    assert n == {"order_raw": 2}
+    got = spark.read.parquet(f"{tmp_dir}/staging/order_raw")
+    assert rows(got, "country", "order_number", "source_file") == [
+        ("BG", "SObg", "jan.csv"), ("SE", "SOse", "jan.csv")]
+
+
+def test_streams_of_two_countries_and_a_doubled_quote(spark, tmp_dir):
+    staging = f"{tmp_dir}/staging"
+    for c in ("BG", "SE"):
+        write(f"{tmp_dir}/{c}/jan.csv", HEADER
+              + f'1,SO{c},Packas,web,A,"Sofa ""Big"", blue",2,100,,M,2025-12-05T10:00:00\n')
+        start_feed_ingest(spark, "sales", f"{tmp_dir}/{c}", staging, c,
+                          f"{tmp_dir}/ck{c}").awaitTermination(120)
+    start_feed_ingest(spark, "sales", f"{tmp_dir}/SE", staging, "SE", f"{tmp_dir}/ck_new").awaitTermination(120)
+    got = spark.read.parquet(staging)
+    assert rows(got, "country", "product_name") == [("BG", 'Sofa "Big", blue'), ("SE", 'Sofa "Big", blue'),
+                                                    ("SE", 'Sofa "Big", blue')]
+
+
+def test_store_survives_a_stop_between_the_steps(spark, tmp_dir, monkeypatch):
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    one = lambda n: spark.createDataFrame([(n,)], "x int")
+    store.publish("t", one(1))
+
+    def stop(at):
+        def write_text(self, path, text, overwrite, real=TableStore._write_text):
+            if at in path:
+                raise OSError("stopped")
+            return real(self, path, text, overwrite)
+        monkeypatch.setattr(TableStore, "_write_text", write_text)
+
+    stop("_manifest")
+    with pytest.raises(OSError):
+        store.publish("t", one(2))
+    assert (store.version("t"), rows(store.read("t"))) == (1, [(1,)])  # not committed
+    monkeypatch.undo()
+    stop("_CURRENT")
+    with pytest.raises(OSError):
+        store.publish("t", one(3))
+    assert (store.version("t"), rows(store.read("t"))) == (2, [(3,)])  # committed, pointer behind
+    monkeypatch.undo()
+    os.remove(f"{tmp_dir}/wh/t/_CURRENT")
+    assert (store.version("t"), rows(store.read("t"))) == (2, [(3,)])  # pointer lost
+    assert store.publish("t", one(4)) == 3
+
+
+def test_two_writers_of_a_version(spark, tmp_dir, monkeypatch):
+    from martspark.sources.store import ConcurrentPublish
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    store.publish("t", spark.createDataFrame([(1,)], "x int"))
+    monkeypatch.setattr(TableStore, "version", lambda self, table: None)  # read before the other's commit
+    with pytest.raises(ConcurrentPublish):
+        store.publish("t", spark.createDataFrame([(2,)], "x int"))
+    monkeypatch.undo()
+    assert rows(store.read("t")) == [(1,)]
+
+
+def test_partition_values_are_escaped(spark, tmp_dir):
+    from martspark.operators.merge import upsert_touched
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    sch = "k string, m string, v int"
+    store.publish_partitions("t", spark.createDataFrame([("a", "B:G/1", 1), ("b", None, 2)], sch), "m",
+                             ["B:G/1", None])
+    assert rows(store.read("t")) == [("a", "B:G/1", 1), ("b", None, 2)]
+    batch = spark.createDataFrame([("a", "x%y", 5)], sch)
+    merged, touched = upsert_touched(store.read("t"), batch, ["k"], "m", locate=True, update_cols=["m", "v"])
+    store.publish_partitions("t", merged, "m", touched)
+    assert rows(store.read("t")) == [("a", "x%y", 5), ("b", None, 2)]
+
+
+def test_partitioned_write_is_rebalanced(spark, tmp_dir):
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    df = spark.range(4000).selectExpr("id", "CAST(id % 5 AS STRING) AS m").repartition(8)
+    store.publish_partitions("t", df, "m", [])
+    files = [f for _, _, names in os.walk(f"{tmp_dir}/wh/t/parts") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 10
+
+
+def test_layers(spark, tmp_dir):
+    TableStore(spark, f"file://{tmp_dir}/root").create_layers("staging", "warehouse")
+    assert os.path.isdir(f"{tmp_dir}/root/staging") and os.path.isdir(f"{tmp_dir}/root/warehouse")
