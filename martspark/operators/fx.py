@@ -176,6 +176,11 @@ def manual_rates(months: DataFrame, rates=MANUAL_RATES, source: str = MANUAL_SOU
         F.lit(0).alias("obs_count"), F.lit(source).alias("source"))
 
 
+def next_month(day: dt.date) -> dt.date:
+    """First day of the following month."""
+    return dt.date(day.year + (day.month == 12), day.month % 12 + 1, 1)
+
+
 def month_range(start: dt.date, stop: dt.date) -> list[dt.date]:
     out, y, m = [], start.year, start.month
     while (y, m) <= (stop.year, stop.month):

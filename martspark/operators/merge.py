@@ -3,7 +3,8 @@
 ``upsert(target, source, keys, ...)`` returns the new state of ``target``:
 
 * ``on_match="update"`` (M1): matched rows take ``update_cols`` from source.
-* ``on_match="keep"`` (M2): insert-only; matched rows stay as they are.
+* ``on_match="keep"`` (M2): insert-only; matched rows stay as they are (an
+  anti-join on the keys and an append).
 * ``guard=col`` (M3): a matched row is updated only when ``col`` differs
   (NULL-safe), so unchanged rows keep their audit stamps.
 * ``stamps={col: value}`` (M5): set on inserted and updated rows only.
@@ -56,6 +57,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         tk, sk = F.col(f"t.{k}"), F.col(f"s.{k}")
         e = tk.eqNullSafe(sk) if null_safe else (tk == sk)
         cond = e if cond is None else cond & e
+    if on_match == "keep" and not with_action:
+        # Existing rows never change: look up the source's keys only and
+        # append the missing ones; the target's other columns are not joined.
+        known = target.select(*keys).withColumn(_T, F.lit(True)).alias("t")
+        fresh = s.join(known, cond, "left_anti").select(*[
+            (stamps[c] if c in stamps else F.col(f"s.{c}") if c in src_cols else F.lit(None))
+            .cast(target.schema[c].dataType).alias(c) for c in tcols])
+        return target.union(fresh)
     j = t.join(s, cond, "full_outer")
 
     in_t = F.col(f"t.{_T}").isNotNull()

@@ -12,18 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martspark.functions.clean import (BESTSELLER_FLAGS, DISCONTINUED_FLAGS, KF_FLAGS,
-                                       blank_to_null, empty_to_null, parse_flag, parse_money,
-                                       sentinel_to_null)
+                                       blank_to_null, empty_to_null, normalize_code, parse_flag,
+                                       parse_money, sentinel_to_null)
+from martspark.functions.dates import first_day_of_month, last_day_of_month, months_back
 from martspark.functions.keys import hash_key
 from martspark.operators import fx
 from martspark.operators.dedup import keep_first, latest_per_key, priority_rank
 from martspark.operators.merge import upsert
 from martspark.operators.series import calendar as calendar_attrs
-from martspark.operators.series import date_series_between, month_series_between
+from martspark.operators.series import date_series_between, last_n_months, month_series_between
 from martspark.operators.surrogate import assign_surrogate
-from martspark.plans import dims, driver, facts
+from martspark import schemas
+from martspark.plans import dims, driver, facts, pipeline
 from martspark.plans.driver import AS_OF, RUN_TS, lazy_plan, read, ts
-from martspark.sources import seeds
+from martspark.sources import feeds, seeds
 
 # Run parameters used by individual queries (fixed, never the clock).
 FX_CHECK_AS_OF = dt.date(2001, 10, 15)
@@ -87,10 +89,67 @@ def stage_orders(spark, sf_dir):
     return driver.order_raw(spark, sf_dir)
 
 
+def staged_feed(spark, sf_dir) -> DataFrame:
+    """The sales feed as CSV text, parsed and staged like a delivered file."""
+    raw = driver.order_raw(spark, sf_dir)
+
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')),
+                        F.lit('"'))
+    line = F.concat_ws(",", *[quoted(c) for c in schemas.SALES_RENAMES.values()])
+    parsed = raw.select(F.from_csv(line, schemas.SALES_FEED.simpleString()[len("struct<"):-1]
+                                   .replace(":", " "), {"quote": '"', "escape": '"', "mode": "FAILFAST"})
+                        .alias("r"), F.col("source_file").alias("_file"), F.col("ingested_at").alias("_at"))
+    renamed = feeds.rename_columns(parsed.select("r.*", "_file", "_at"),
+                                   {**schemas.SALES_RENAMES, "_file": "_file", "_at": "_at"})
+    return feeds.with_load_context(renamed, F.col("_at"), source_file=F.col("_file")).drop("_file", "_at")
+
+
+def stage_feed_text(spark, sf_dir):
+    """Feed text through the CSV parser, renamed and stamped."""
+    return staged_feed(spark, sf_dir)
+
+
 def load_audit_by_source(spark, sf_dir):
-    """Rows per source file (documents by source)."""
-    d = read(spark, sf_dir, "documents")
-    return d.groupBy(F.col("source").alias("source_file")).agg(F.count(F.lit(1)).alias("row_count"))
+    """Rows per source file of the staged feed."""
+    return feeds.load_audit(staged_feed(spark, sf_dir))
+
+
+def rate_payloads(spark, sf_dir) -> DataFrame:
+    """Daily quotes as landed JSON payloads, one per month; of a day's quotes the highest counts."""
+    q = (driver.quotes_from_orders(spark, sf_dir).groupBy("rate_date", "currency_code")
+         .agg(F.max("rate").cast("double").alias("rate")))
+    day = q.groupBy("rate_date").agg(F.map_from_entries(F.collect_list(
+        F.struct("currency_code", "rate"))).alias("quotes"))
+    month = day.groupBy(F.trunc("rate_date", "month").alias("m")).agg(F.map_from_entries(F.collect_list(
+        F.struct(F.col("rate_date").cast("string").alias("d"), "quotes"))).alias("rates"))
+    return month.select(F.to_json(F.struct(F.lit("EUR").alias("base"), "rates")).alias("payload")).select(
+        F.from_json("payload", schemas.RATE_PAYLOAD, {"mode": "FAILFAST"}).alias("p")).select("p.*")
+
+
+def fx_payload_coverage(spark, sf_dir):
+    """Landed payloads to monthly rates, and the months they cover."""
+    quotes = fx.explode_rate_payload(rate_payloads(spark, sf_dir))
+    rates, _ = fx.monthly_rates(quotes, driver.dim_country(spark, sf_dir))
+    return fx.coverage_report(last_n_months(spark, FX_CHECK_AS_OF, 12), rates)
+
+
+def conformed_statuses(spark, sf_dir):
+    """The conformance map, for every raw status the feed delivers."""
+    raw = driver.order_raw(spark, sf_dir).select(F.trim("overall_status_name").alias("raw_status")).distinct()
+    return raw.join(dims.conform_status_map(seeds.status_literals(spark)), "raw_status", "left")
+
+
+def code_hygiene(spark, sf_dir):
+    """Country codes cleaned, with the edges of each order's month."""
+    o = read(spark, sf_dir, "orders").join(
+        read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    code = F.when(F.col("c_nationkey") % 5 == 0, F.lit(" po ")).when(F.col("c_nationkey") % 5 == 1, F.lit(" "))
+    code = code.otherwise(F.concat(F.lit(" n"), F.col("c_nationkey").cast("string")))
+    day = F.col("o_orderdate").cast("date")
+    return o.select("o_orderkey", normalize_code(code, seeds.COUNTRY_ALIASES).alias("code"),
+                    first_day_of_month(day).alias("first_day"), last_day_of_month(day).alias("last_day"),
+                    months_back(day, 3).alias("three_months_before"))
 
 
 def clean_text_nulls(spark, sf_dir):
@@ -186,7 +245,7 @@ def upsert_insert_only(spark, sf_dir):
     c = read(spark, sf_dir, "customer")
     cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
     target = c.where(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE", "MACHINERY")).select(*cols)
-    source = c.where(F.col("c_acctbal") >= 0).select(
+    source = c.select(
         "c_custkey", F.lower("c_name").alias("c_name"), "c_nationkey", "c_acctbal", "c_mktsegment")
     return upsert(target, source, ["c_custkey"], on_match="keep")
 
@@ -194,7 +253,8 @@ def upsert_insert_only(spark, sf_dir):
 def guarded_loads(spark, sf_dir):
     raw = driver.order_raw(spark, sf_dir)
     load1 = raw.where(F.col("ingested_at") < ts(LOAD1_CUTOFF))
-    load2 = raw.where(F.col("created_at") >= F.lit(LOAD2_CREATED_FROM)).withColumn(
+    load2 = raw.where((F.col("created_at") >= F.lit(LOAD2_CREATED_FROM))
+                      | (F.col("ingested_at") >= ts(LOAD1_CUTOFF))).withColumn(
         "overall_status_name",
         F.when(F.col("overall_status_name") == "Packas", F.lit("Beställning slutförd"))
          .otherwise(F.col("overall_status_name")))
@@ -253,12 +313,7 @@ def fx_source_fallback(spark, sf_dir):
 
 def needed_pairs(spark, sf_dir, as_of: dt.date, n: int) -> DataFrame:
     """(month, currency) pairs required for the last ``n`` months."""
-    months = [fx.month_range(as_of, as_of)[0]]
-    for _ in range(n - 1):
-        m = months[-1]
-        months.append(dt.date(m.year - (m.month == 1), (m.month - 2) % 12 + 1, 1))
-    cur = driver.dim_country(spark, sf_dir).select("currency_code").distinct()
-    return cur.select(F.explode(F.array(*[F.lit(m) for m in months])).alias("month_sk"), "currency_code")
+    return pipeline.needed_pairs(driver.dim_country(spark, sf_dir), as_of, n)
 
 
 def fx_missing_months(spark, sf_dir):

@@ -192,4 +192,5 @@ def dq_report(spark, sf_dir):
         "stock_snapshot": stock_current(spark, sf_dir),
         "fx_rates_monthly": fx_rates(spark, sf_dir),
     }
-    return report_frames(driver.order_raw(spark, sf_dir), driver.product_raw(spark, sf_dir), tables, AS_OF)
+    return report_frames(driver.order_raw(spark, sf_dir), driver.product_raw(spark, sf_dir), tables, AS_OF,
+                         driver.stock_raw(spark, sf_dir))

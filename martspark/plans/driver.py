@@ -124,19 +124,32 @@ def order_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = F.when(F.col("o_orderpriority") == "1-URGENT",
                      F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
                      ).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+    # One line in 499 of each kind is dirty, so that every check can fail.
+    rule = F.pmod(F.col("l_orderkey") * 7 + F.col("l_partkey"), F.lit(499))
+
+    def dirty(clean: Column, texts: dict[int, str | None]) -> Column:
+        for k, text in texts.items():
+            clean = F.when(rule == k, F.lit(text)).otherwise(clean)
+        return clean
+
+    price = _dec_text(F.col("p_retailprice"))
+    part_no = F.col("l_partkey").cast("string")
     return j.select(
-        cc.alias("country"),
-        F.col("o_orderkey").cast("string").alias("order_id"),
+        dirty(cc, {0: "  ", 1: "XX"}).alias("country"),
+        dirty(F.col("o_orderkey").cast("string"), {2: ""}).alias("order_id"),
         F.concat(F.lit("SO-"), F.col("o_orderkey").cast("string")).alias("order_number"),
         status.alias("overall_status_name"),
         F.col("c_mktsegment").alias("channel_name"),
-        F.col("l_partkey").cast("string").alias("product_number"),
-        F.when(F.col("p_size") == 1, F.lit("Delivery Fee")).otherwise(F.col("p_name")).alias("product_name"),
-        F.when(F.col("l_quantity") == 50, F.replace(qty, F.lit("."), F.lit(","))).otherwise(qty).alias("quantity"),
-        _dec_text(F.col("p_retailprice")).alias("unit_price"),
-        F.col("l_shipdate").cast("date").cast("string").alias("promised_delivery_at"),
+        dirty(part_no, {3: " "}).alias("product_number"),
+        dirty(F.when(F.col("p_size") == 1, F.lit("Delivery Fee")).otherwise(F.col("p_name")), {4: None})
+        .alias("product_name"),
+        dirty(F.when(F.col("l_quantity") == 50, F.replace(qty, F.lit("."), F.lit(","))).otherwise(qty),
+              {5: "0", 6: "-3", 7: "99999999999999999999", 8: "3.14159265"}).alias("quantity"),
+        dirty(price, {8: "0.12345678", 9: "n/a", 10: "-1.5"}).alias("unit_price"),
+        dirty(F.col("l_shipdate").cast("date").cast("string"), {11: "32.13.2026", 12: "N/A"})
+        .alias("promised_delivery_at"),
         F.col("p_brand").alias("manufacturer"),
-        created.alias("created_at"),
+        dirty(created, {13: "N/A", 14: "2001/99/99"}).alias("created_at"),
         F.concat(F.lit("sales_"), cc, F.lit(".csv")).alias("source_file"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("ingested_at"),
     )

@@ -36,16 +36,34 @@ def _not_blank_text_bad(raw: Column, parsed: Column) -> Column:
     return F.nullif(F.trim(raw), F.lit("")).isNotNull() & parsed.isNull()
 
 
+def _number(col: str) -> Column:
+    """Number text with 8 decimals and as many integer digits as ``numeric(18,4)`` has."""
+    return parse_decimal(col, 22, 8)
+
+
+def _product(*factors: Column) -> Column:
+    """Product as ``numeric(18,4)``, rounded once; NULL if it does not fit.
+
+    Up to ten integer digits the factors multiply at full precision; wider
+    ones at the precision 38 digits leave.
+    """
+    kinds = ["decimal(18,8)"] * (len(factors) - 1) + ["decimal(12,8)"]
+    narrow, wide = factors[0].try_cast(kinds[0]), factors[0]
+    for f, kind in zip(factors[1:], kinds[1:]):
+        narrow, wide = F.try_multiply(narrow, f.try_cast(kind)), F.try_multiply(wide, f)
+    return F.coalesce(narrow.try_cast("decimal(18,4)"), wide.try_cast("decimal(18,4)"))
+
+
 def _parse_sales(order_raw: DataFrame, as_of: dt.date | None, lookback_months: int):
     """Service-line filter, parsed columns, keep-condition and rejects."""
-    s = order_raw.where(F.col("product_name") != F.lit(SERVICE_PRODUCT))
+    # A NULL name fails the service-line filter too; such lines are reported.
+    s = order_raw.where(F.col("product_name").isNull() | (F.col("product_name") != F.lit(SERVICE_PRODUCT)))
     # Staging written by ``stage_sales`` carries the parsed time as a typed
     # sidecar column, so the window filter below is a bare-column range
     # predicate the parquet scan can push down and skip row groups with.
     created = F.col("created_ts") if "created_ts" in order_raw.columns else parse_timestamp("created_at")
     s = s.withColumn("_created", created)
-    s = s.withColumn("_qty", parse_decimal("quantity", 18, 8))
-    s = s.withColumn("_price", parse_decimal("unit_price", 18, 8))
+    s = s.withColumns({"_qty": _number("quantity"), "_price": _number("unit_price")})
     # Row conditions, each never NULL.  The keep-condition is a short
     # AND-chain on them (it is pushed below the staging projection; a CASE
     # over the raw text would be re-expanded there once per branch); the
@@ -55,25 +73,33 @@ def _parse_sales(order_raw: DataFrame, as_of: dt.date | None, lookback_months: i
     created_bad = created_txt.isNotNull() & F.col("_created").isNull()
     qty_bad = F.coalesce(_not_blank_text_bad(F.col("quantity"), F.col("_qty")), F.lit(False))
     price_bad = F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False))
-    keys_ok = (blank_to_null("country").isNotNull() & blank_to_null("order_id").isNotNull()
-               & blank_to_null("product_number").isNotNull())
-    reject_reason = (F.when(created_na, F.lit("created_at N/A"))
+    promised = sentinel_to_null("promised_delivery_at")
+    promised_bad = promised.isNotNull() & promised.try_cast("date").isNull()
+    unnamed = F.col("product_name").isNull()
+    reject_reason = (F.when(unnamed, F.lit("product_name NULL"))
+                      .when(created_na, F.lit("created_at N/A"))
                       .when(created_bad, F.lit("created_at not a timestamp"))
                       .when(qty_bad, F.lit("quantity not numeric"))
                       .when(price_bad, F.lit("unit_price not numeric"))
-                      .when(~keys_ok, F.lit("missing key")))
-    keep = F.col("_created").isNotNull() & ~qty_bad & ~price_bad & keys_ok
+                      .when(promised_bad, F.lit("promised_delivery_at not a date")))
+    keep = F.col("_created").isNotNull() & ~unnamed & ~qty_bad & ~price_bad & ~promised_bad
+    bad = unnamed | created_na | created_bad | qty_bad | price_bad | promised_bad
     if as_of is not None:
-        keep = keep & (F.col("_created") >= ntz_lit(lookback_start(as_of, lookback_months)))
-    bad = created_na | created_bad | qty_bad | price_bad | ~keys_ok
+        start = ntz_lit(lookback_start(as_of, lookback_months))
+        keep = keep & (F.col("_created") >= start)
+        # a line delivered before the window was reported by its own run
+        bad = bad & (F.col("ingested_at") >= start)
     rejects = (s.where(bad).withColumn("_reject", reject_reason)
                .drop("_qty", "_price", "_created", *[c for c in ["created_ts"] if c in order_raw.columns]))
     return s, created, keep, rejects
 
 
-def sales_rejects(order_raw: DataFrame) -> DataFrame:
-    """Staging lines a sales load rejects, with the reason in ``_reject``."""
-    return _parse_sales(order_raw, None, 1)[3]
+def sales_rejects(order_raw: DataFrame, as_of: dt.date | None = None,
+                  lookback_months: int = 1) -> DataFrame:
+    """Staging lines a sales load rejects, with the reason in ``_reject``.
+
+    With ``as_of`` only lines delivered inside the lookback window."""
+    return _parse_sales(order_raw, as_of, lookback_months)[3]
 
 
 def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: DataFrame,
@@ -83,7 +109,10 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     """Staging order lines -> one typed, EUR-converted row per business key.
 
     Returns ``(rows, rejects)``.
-    * service lines (and NULL names, three-valued ``<>``) are dropped (P4, D10);
+    * service lines are dropped (P4); lines with a NULL name, which that
+      filter drops too, and lines with unparseable text or an amount beyond
+      ``numeric(18,4)`` go to rejects with a reason (D9, D10, D17); lines with
+      blank keys are loaded, for check Q4.2 to report;
     * ``created_at`` is parsed once; lines inside the lookback window are kept
       (``as_of=None`` reprocesses all history).  The window start is a literal
       computed here, so the comparison is on a bare column (P6);
@@ -106,8 +135,7 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     s = s.where(keep).drop("_created", "_qty", "_price")
     s = s.withColumn("business_key_hash", hash_key(*KEY_COLS, escape=escape_hash))
     s = latest_per_key(s, ["business_key_hash"], "ingested_at")
-    s = s.withColumns({"_created": created, "_qty": parse_decimal("quantity", 18, 8),
-                       "_price": parse_decimal("unit_price", 18, 8)})
+    s = s.withColumns({"_created": created, "_qty": _number("quantity"), "_price": _number("unit_price")})
 
     # Lookups, all bounded by their domains and broadcast: the status map
     # (a few hundred literals), countries, and the rate table, one row per
@@ -126,7 +154,14 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     s = s.join(fx, (F.col("currency_code") == F.col("_fx_cur")) & (F.col("_month") == F.col("_fx_month")),
                "left")
 
-    rate = F.coalesce(F.col("avg_rate_to_eur"), F.lit(1)).cast("decimal(12,8)")
+    rate = F.coalesce(F.col("avg_rate_to_eur"), F.lit(1)).cast("decimal(20,8)")
+    s = s.withColumns({"_price_eur": _product(F.col("_price"), rate),
+                       "_value_eur": _product(F.col("_qty"), F.col("_price"), rate)})
+    too_large = ((F.col("_price").isNotNull() & F.col("_price_eur").isNull())
+                 | (F.col("_qty").isNotNull() & F.col("_price").isNotNull() & F.col("_value_eur").isNull()))
+    overflow = s.where(too_large).select(*order_raw.drop("created_ts").columns,
+                                         F.lit("amount out of range").alias("_reject"))
+    s = s.where(~too_large)
     out = s.select(
         "business_key_hash",
         hash_key(*change_cols, escape=escape_hash).alias("change_hash"),
@@ -137,14 +172,14 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
         F.col("_created").alias("created_at"),
         sentinel_to_null("promised_delivery_at").try_cast("date").alias("promised_delivery_at"),
         F.col("_qty").cast("decimal(18,4)").alias("quantity"),
-        (F.col("_price") * rate).cast("decimal(18,4)").alias("unit_price"),
-        (F.col("_qty") * F.col("_price") * rate).cast("decimal(18,4)").alias("order_value"),
+        F.col("_price_eur").alias("unit_price"),
+        F.col("_value_eur").alias("order_value"),
         F.col("avg_rate_to_eur").isNull().alias("fx_missing"),
         "source_file",
         (run_ts if run_ts is not None else F.col("ingested_at")).cast("timestamp_ntz")
         .alias("last_ingested_at"),
     )
-    return out, rejects
+    return out, rejects.unionByName(overflow)
 
 
 def _sales_upsert_args(current: DataFrame, run_ts: Column, with_action: bool = False) -> dict:

@@ -8,7 +8,14 @@ decimal division into DOUBLE).
 
 from __future__ import annotations
 
-from martspark.sources.seeds import MANUAL_RATES, STATUS_MAP, STATUS_PRIORITY
+# Fixed values, stated here again so that a wrong seed does not check itself:
+# the statuses the feed delivers (trimmed, as in the conformance map; the
+# German one is not in it), the priorities and the manual rates.
+STATUS_MAP = [("Beställning slutförd", "COMPLETED"), ("Zwrot", "RETURN"), ("Packas", "PROCESSING"),
+              ("ordine spedito parzialmente", "SHIPPED")]
+STATUS_PRIORITY = ["FRAUD", "CANCELLED", "COMPLAINT", "RETURN", "SHIPPED",
+                   "READY_TO_SHIP", "PROCESSING", "CONFIRMED", "NEW"]
+MANUAL_RATES = [("COP", "0.00023"), ("RSD", "0.00855")]
 
 RUN_TS = "TIMESTAMP '2026-01-20 06:00:00'"
 RUN1_TS = "TIMESTAMP '2026-01-13 06:00:00'"
@@ -39,8 +46,8 @@ nation_cur AS (
   SELECT n_nationkey AS nk, {_cur('r_name')} AS currency_code
   FROM nation JOIN region ON n_regionkey = r_regionkey),
 order_raw AS (
-  SELECT {_cc('c_nationkey')} AS country,
-    CAST(o_orderkey AS VARCHAR) AS order_id,
+  SELECT CASE rule WHEN 0 THEN '  ' WHEN 1 THEN 'XX' ELSE {_cc('c_nationkey')} END AS country,
+    CASE rule WHEN 2 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS order_id,
     'SO-' || CAST(o_orderkey AS VARCHAR) AS order_number,
     CASE WHEN o_orderstatus = 'F' THEN 'Beställning slutförd'
          WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN 'Zwrot  '
@@ -48,18 +55,24 @@ order_raw AS (
          WHEN o_orderpriority = '5-LOW' THEN 'Teilweise versendet'
          ELSE 'ordine spedito parzialmente' END AS overall_status_name,
     c_mktsegment AS channel_name,
-    CAST(l_partkey AS VARCHAR) AS product_number,
-    CASE WHEN p_size = 1 THEN 'Delivery Fee' ELSE p_name END AS product_name,
-    CASE WHEN l_quantity = 50 THEN replace(CAST(CAST(l_quantity AS DECIMAL(14,4)) AS VARCHAR), '.', ',')
+    CASE rule WHEN 3 THEN ' ' ELSE CAST(l_partkey AS VARCHAR) END AS product_number,
+    CASE WHEN rule = 4 THEN NULL WHEN p_size = 1 THEN 'Delivery Fee' ELSE p_name END AS product_name,
+    CASE WHEN rule = 5 THEN '0' WHEN rule = 6 THEN '-3' WHEN rule = 7 THEN '99999999999999999999'
+         WHEN rule = 8 THEN '3.14159265'
+         WHEN l_quantity = 50 THEN replace(CAST(CAST(l_quantity AS DECIMAL(14,4)) AS VARCHAR), '.', ',')
          ELSE CAST(CAST(l_quantity AS DECIMAL(14,4)) AS VARCHAR) END AS quantity,
-    CAST(CAST(p_retailprice AS DECIMAL(14,4)) AS VARCHAR) AS unit_price,
-    CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS promised_delivery_at,
+    CASE rule WHEN 8 THEN '0.12345678' WHEN 9 THEN 'n/a' WHEN 10 THEN '-1.5'
+         ELSE CAST(CAST(p_retailprice AS DECIMAL(14,4)) AS VARCHAR) END AS unit_price,
+    CASE rule WHEN 11 THEN '32.13.2026' WHEN 12 THEN 'N/A'
+         ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS promised_delivery_at,
     p_brand AS manufacturer,
-    CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+    CASE WHEN rule = 13 THEN 'N/A' WHEN rule = 14 THEN '2001/99/99'
+         WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
          ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS created_at,
     'sales_' || {_cc('c_nationkey')} || '.csv' AS source_file,
     CAST(l_shipdate AS TIMESTAMP) AS ingested_at
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  FROM (SELECT *, (l_orderkey * 7 + l_partkey) % 499 AS rule FROM lineitem)
+       JOIN orders ON l_orderkey = o_orderkey
        JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey),
 stock_raw AS (
   SELECT {_cc('s_nationkey')} AS country, CAST(l_partkey AS VARCHAR) AS product_number,
@@ -112,17 +125,19 @@ def sales_parts(raw: str) -> str:
     """CTE bodies s0 (parsed) and s1 (with reject reason) over relation ``raw``."""
     return f"""s0 AS (
     SELECT *, {PARSED_TS} AS _created,
-      TRY_CAST(NULLIF(quantity, '') AS DECIMAL(18,8)) AS _qty,
-      TRY_CAST(NULLIF(unit_price, '') AS DECIMAL(18,8)) AS _price
-    FROM {raw} WHERE product_name <> 'Delivery Fee'),
+      TRY_CAST(NULLIF(quantity, '') AS DECIMAL(22,8)) AS _qty,
+      TRY_CAST(NULLIF(unit_price, '') AS DECIMAL(22,8)) AS _price
+    FROM {raw} WHERE product_name IS DISTINCT FROM 'Delivery Fee'),
   s1 AS (
     SELECT *, CASE
+      WHEN product_name IS NULL THEN 'product_name NULL'
       WHEN NULLIF(trim(created_at), '') = 'N/A' THEN 'created_at N/A'
       WHEN NULLIF(trim(created_at), '') IS NOT NULL AND _created IS NULL THEN 'created_at not a timestamp'
       WHEN NULLIF(trim(quantity), '') IS NOT NULL AND _qty IS NULL THEN 'quantity not numeric'
       WHEN NULLIF(trim(unit_price), '') IS NOT NULL AND _price IS NULL THEN 'unit_price not numeric'
-      WHEN NULLIF(trim(country), '') IS NULL OR NULLIF(trim(order_id), '') IS NULL
-           OR NULLIF(trim(product_number), '') IS NULL THEN 'missing key' END AS _reject
+      WHEN NULLIF(NULLIF(trim(promised_delivery_at), ''), 'N/A') IS NOT NULL
+           AND TRY_CAST(NULLIF(NULLIF(trim(promised_delivery_at), ''), 'N/A') AS DATE) IS NULL
+        THEN 'promised_delivery_at not a date' END AS _reject
     FROM s0)"""
 
 
@@ -155,9 +170,9 @@ def sales_from(raw: str, run_ts: str = RUN_TS, window_start: str | None = None,
     _created AS created_at,
     TRY_CAST(NULLIF(NULLIF(trim(promised_delivery_at), ''), 'N/A') AS DATE) AS promised_delivery_at,
     CAST(_qty AS DECIMAL(18,4)) AS quantity,
-    CAST(CAST(_price AS DECIMAL(14,4)) * CAST(COALESCE(avg_rate_to_eur, 1) AS DECIMAL(12,8))
+    CAST(CAST(_price AS DECIMAL(20,8)) * CAST(COALESCE(avg_rate_to_eur, 1) AS DECIMAL(12,8))
          AS DECIMAL(18,4)) AS unit_price,
-    CAST(CAST(CAST(_qty AS DECIMAL(14,4)) * CAST(_price AS DECIMAL(14,4)) AS DECIMAL(26,8))
+    CAST(CAST(CAST(_qty AS DECIMAL(19,8)) * CAST(_price AS DECIMAL(19,8)) AS DECIMAL(26,16))
          * CAST(COALESCE(avg_rate_to_eur, 1) AS DECIMAL(12,8)) AS DECIMAL(18,4)) AS order_value,
     avg_rate_to_eur IS NULL AS fx_missing,
     source_file,
@@ -392,8 +407,25 @@ def _sql() -> dict[str, str]:
     raw_cols = ", ".join(RAW_COLS + ["ingested_at"])
     q: dict[str, str] = {}
     q["stage_orders"] = W() + f"SELECT {raw_cols} FROM order_raw"
-    q["load_audit_by_source"] = ("SELECT source AS source_file, count(*) AS row_count "
-                                 "FROM documents GROUP BY source")
+    q["load_audit_by_source"] = W() + "SELECT source_file, count(*) AS row_count FROM order_raw GROUP BY source_file"
+    text_cols = ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_COLS if c not in ("country", "source_file"))
+    q["stage_feed_text"] = W() + f"SELECT {text_cols}, source_file, ingested_at FROM order_raw"
+    q["fx_payload_coverage"] = W(f"""fxp AS (SELECT CAST(date_trunc('month', rate_date) AS DATE) AS month_sk,
+        count(DISTINCT currency_code) + 1 AS n FROM quotes_o
+      WHERE currency_code IN (SELECT currency_code FROM needed) GROUP BY 1),
+      mon AS (SELECT CAST(date_trunc('month', DATE '2001-10-15' - to_months(CAST(k AS INTEGER))) AS DATE)
+        AS month_sk FROM range(12) t(k))""") + """
+      SELECT month_sk, CASE WHEN n IS NULL THEN 'missing' ELSE 'loaded' END AS status,
+        coalesce(n, 0) AS rate_rows FROM mon LEFT JOIN fxp USING (month_sk)"""
+    q["conformed_statuses"] = W() + f"""
+      SELECT raw_status, status_std FROM (SELECT DISTINCT trim(overall_status_name) AS raw_status FROM order_raw)
+      LEFT JOIN status_map USING (raw_status)"""
+    q["code_hygiene"] = """
+      SELECT o_orderkey, CASE c_nationkey % 5 WHEN 0 THEN 'PL' WHEN 1 THEN NULL
+          ELSE 'N' || CAST(c_nationkey AS VARCHAR) END AS code,
+        CAST(date_trunc('month', o_orderdate) AS DATE) AS first_day, last_day(CAST(o_orderdate AS DATE)) AS last_day,
+        CAST(CAST(o_orderdate AS DATE) - INTERVAL 3 MONTH AS DATE) AS three_months_before
+      FROM orders JOIN customer ON o_custkey = c_custkey"""
     q["clean_text_nulls"] = """
       WITH t AS (SELECT p_partkey,
         CASE WHEN p_size <= 3 THEN '   ' WHEN p_size >= 48 THEN ' N/A ' ELSE '  ' || p_name || ' ' END AS raw_name,
@@ -447,13 +479,13 @@ def _sql() -> dict[str, str]:
     q["upsert_insert_only"] = """
       WITH t AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
                  WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY')),
-      s AS (SELECT c_custkey, lower(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
-            WHERE c_acctbal >= 0)
+      s AS (SELECT c_custkey, lower(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer)
       SELECT * FROM t UNION ALL
       SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey = s.c_custkey)"""
     load1 = "load_1 AS (SELECT * FROM order_raw WHERE ingested_at < TIMESTAMP '2000-01-01 00:00:00')"
     load2 = ("load_2 AS (SELECT * REPLACE (CASE WHEN overall_status_name = 'Packas' THEN 'Beställning slutförd' "
-             "ELSE overall_status_name END AS overall_status_name) FROM order_raw WHERE created_at >= '1999-07-01')")
+             "ELSE overall_status_name END AS overall_status_name) FROM order_raw WHERE created_at >= '1999-07-01' "
+             "OR ingested_at >= TIMESTAMP '2000-01-01 00:00:00')")
     q["upsert_guarded"] = W(load1, load2, f"b1 AS {sales_from('load_1', RUN1_TS)}",
                             f"b2 AS {sales_from('load_2', RUN_TS)}") + guarded_upsert("b1", "b2", RUN_TS)
     q["sales_lookback"] = W("sl AS " + sales_from("order_raw", RUN_TS,
@@ -599,6 +631,7 @@ def _sql() -> dict[str, str]:
     fx_all = f"fx_all AS {FX_PRIMARY}"
     q0 = []
     for name, rel in [("staging.order_raw", "order_raw"), ("staging.product_raw", "product_raw"),
+                      ("staging.stock_raw", "stock_raw"),
                       ("warehouse.dim_product", "dim_product_2"), ("warehouse.dim_country", "dim_country"),
                       ("warehouse.dim_date", "dim_date"), ("warehouse.sales_current", "sales_current"),
                       ("warehouse.stock_snapshot", "stock_snapshot"), ("warehouse.fx_rates_monthly", "fx_all")]:

@@ -12,6 +12,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "stage_orders": catalog.stage_orders,
+    "stage_feed_text": catalog.stage_feed_text,
+    "fx_payload_coverage": catalog.fx_payload_coverage,
+    "conformed_statuses": catalog.conformed_statuses,
+    "code_hygiene": catalog.code_hygiene,
     "load_audit_by_source": catalog.load_audit_by_source,
     "clean_text_nulls": catalog.clean_text_nulls,
     "parse_flags": catalog.parse_flags,

@@ -133,3 +133,12 @@ def test_upsert_partitions_locates_moved_keys(spark, tmp_dir):
     s = spark.createDataFrame([("a", "2025-12", 10), ("d", "2025-12", 4)], "k string, m string, v int")
     out = upsert_partitions(t, s, ["k"], "m", locate=True, update_cols=["m", "v"])
     assert rows(out) == [("a", "2025-12", 10), ("b", "2025-12", 2), ("c", "2025-10", 3), ("d", "2025-12", 4)]
+
+
+def test_insert_only_joins_keys_only(spark):
+    target = spark.createDataFrame([(1, "a", 1.0), (None, "n", 2.0)], "k int, v string, w double")
+    source = spark.createDataFrame([(1, "x"), (2, "b"), (None, "y")], "k int, v string")
+    out = upsert(target, source, ["k"], on_match="keep", stamps={"w": F.lit(9.0)})
+    assert rows(out) == [(1, "a", 1.0), (2, "b", 9.0), (None, "n", 2.0)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "FullOuter" not in plan

@@ -61,7 +61,8 @@ def load(spark, raw):
 def test_sales_fixture(spark):
     cur, rejects = load(spark, order_raw(spark))
     got = {r.order_id: r for r in cur.collect()}
-    assert sorted(got) == ["1", "10", "5", "7", "8"]
+    assert sorted(got) == ["1", "10", "11", "5", "7", "8"]  # a blank key is loaded for Q4.2
+    assert got["11"].country_code is None
     r1 = got["1"]
     assert (r1.unit_price, r1.order_value, r1.status_std) == (Decimal("9.0000"), Decimal("18.0000"), "COMPLETED")
     assert got["5"].promised_delivery_at is None  # C2: 'N/A' -> NULL
@@ -70,7 +71,7 @@ def test_sales_fixture(spark):
     assert got["10"].status_std == "COMPLETED"  # D6
     assert got["10"].fx_missing is False  # FI -> EUR rate 1
     reasons = dict(rows(rejects.groupBy("_reject").count()))
-    assert reasons == {"created_at N/A": 1, "quantity not numeric": 1, "missing key": 1}
+    assert reasons == {"created_at N/A": 1, "quantity not numeric": 1, "product_name NULL": 1}
 
 
 def test_second_load_guard(spark):
@@ -146,7 +147,7 @@ def test_duplicate_country_code_does_not_fan_out(spark):
     m, c, r = lookups(spark)
     c2 = c.unionByName(spark.createDataFrame([("Sverige", "SE", "SEK")], c.schema))
     batch, _ = facts.prepare_sales(order_raw(spark), m, c2, r, as_of=AS_OF, run_ts=run_col())
-    assert batch.count() == 5  # D5: one row per key despite two SE rows
+    assert batch.count() == 6  # D5: one row per key despite two SE rows
     assert rows(facts.dim_country_code_check(c2), "value", "passed") == [(1, False)]
 
 
@@ -192,3 +193,32 @@ def test_stock_window_month_reads_only_run_month(spark):
     month, _ = facts.prepare_stock(raw, AS_OF, window="month")
     assert rows(all_hist, "product_number") == [("A",), ("B",)]  # D13 parity: all staging history
     assert rows(month, "product_number") == [("B",)]  # only lines ingested in January 2026
+
+
+def test_out_of_range_amounts_are_rejected_not_fatal(spark):
+    ok = ("SE", "1", "A", "Chair", "Packas", "20000000000", "0.5", None, "2025-12-05T10:00:00", T1)
+    cases = [ok,
+             ("SE", "2", "A", "Chair", "Packas", "5000000000", "5000000000", None, "2025-12-05T10:00:00", T1),
+             ("SE", "3", "A", "Chair", "Packas", "99999999999999999999", "1", None, "2025-12-05T10:00:00", T1),
+             ("SE", "4", "A", "Chair", "Packas", "1", "1", "32.13.2026", "2025-12-05T10:00:00", T1),
+             ("NO", "5", "A", "Chair", "Packas", "2", "0.12345678", None, "2025-12-05T10:00:00", T1)]
+    m, c, _ = lookups(spark)
+    c = c.union(spark.createDataFrame([("Norway", "NO", "NOK")], c.schema))
+    rates = spark.createDataFrame([(dt.date(2025, 12, 1), "SEK", Decimal("1"), 20, "x"),
+                                   (dt.date(2025, 12, 1), "NOK", Decimal("12000"), 20, "x")],
+                                  "month_sk date, currency_code string, avg_rate_to_eur decimal(20,8),"
+                                  " obs_count int, source string")
+    batch, rejects = facts.prepare_sales(order_raw(spark, cases), m, c, rates, as_of=AS_OF, run_ts=run_col())
+    got = {r.order_id: (r.quantity, r.unit_price, r.order_value) for r in batch.collect()}
+    assert got == {"1": (Decimal("20000000000.0000"), Decimal("0.5000"), Decimal("10000000000.0000")),
+                   "5": (Decimal("2.0000"), Decimal("1481.4814"), Decimal("2962.9627"))}
+    assert rows(rejects, "order_id", "_reject") == [
+        ("2", "amount out of range"), ("3", "quantity not numeric"), ("4", "promised_delivery_at not a date")]
+
+
+def test_rejects_outside_the_window_do_not_block(spark):
+    old = ("SE", "1", "A", "Chair", "Packas", "x", "1", None, "2020-01-01", dt.datetime(2020, 1, 2))
+    new = ("SE", "2", "A", "Chair", "Packas", "x", "1", None, "2025-12-05", T1)
+    raw = order_raw(spark, [old, new])
+    assert facts.sales_rejects(raw).count() == 2
+    assert rows(facts.sales_rejects(raw, AS_OF), "order_id") == [("2",)]
