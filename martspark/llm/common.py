@@ -85,6 +85,26 @@ def running_sums(df: DataFrame, order: list, sums: dict[str, Column],
         *[(F.col(f"a.{k}") + F.col(f"b.__o_{k}")).alias(k) for k in sums])
 
 
+def may_occur(df: DataFrame, on: list[str], members: DataFrame, bits: int = 1 << 26) -> DataFrame:
+    """Rows of ``df`` whose ``on`` values occur in ``members``, and a few others.
+
+    A filter to put before a join: it spares rows without a partner the
+    shuffle.  Members set one bit each in a bitmap of ``bits`` bits (8 MB,
+    whatever their number), which is broadcast; when they are so many that
+    most bits are set, it lets more rows pass, never fewer than it should.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(bits))
+    maps = (members.select(place.alias("__p"))
+            .groupBy(F.bitmap_bucket_number("__p").alias("__bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("__p")).alias("__bits")))
+    byte = F.conv(F.hex(F.expr("substring(__bits, CAST(bitmap_bit_position(__p) DIV 8 + 1 AS INT), 1)")),
+                  16, 10).cast("int")
+    is_set = F.expr("shiftright(__byte, CAST(bitmap_bit_position(__p) % 8 AS INT)) & 1") == 1
+    return (df.withColumn("__p", place)
+            .join(F.broadcast(maps), F.bitmap_bucket_number("__p") == F.col("__bucket"))
+            .withColumn("__byte", byte).where(is_set).select(*df.columns))
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of an edge list (a, b): rows (node, root).
 

@@ -42,7 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martspark.llm.common import components, partitions, sorted_groups, stored, table
+from martspark.llm.common import (components, may_occur, partitions, sorted_groups, stored,
+                                  table)
 from martspark.llm.shingles import (SAMPLES, WORDS, samples, set_key, shingle_set, word_hashes)
 
 THRESHOLD = 0.8
@@ -95,14 +96,15 @@ def _leaves(classes: DataFrame, runs: int, limit: int, max_depth: int) -> DataFr
     leaves = []
     for depth in range(max_depth + 1):
         nodes = stored(nodes, "nodes")
-        sizes = nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        sized = stored(nodes.join(sizes, "path").select("path", "n", "key"), "sized")
+        sizes = stored(nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        sized = stored(may_occur(nodes, ["path"], sizes).join(sizes, "path")
+                       .select("path", "n", "key"), "sized")
         heavy = sized.where(F.col("n") > limit)
         if depth == max_depth or heavy.isEmpty():
             leaves.append(sized)
             break
         kids = stored(
-            heavy.join(classes.select("key", "sig"), "key")
+            heavy.join(may_occur(classes.select("key", "sig"), ["key"], heavy), "key")
             .select("key", F.col("path").alias("parent"), F.col("n").alias("parent_n"),
                     F.explode(F.expr(_children("path", BRANCHES))).alias("path")), "kids")
         dense = stored(
@@ -313,21 +315,24 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         F.first("sig").alias("sig")), "classes")
 
     leaves = _leaves(classes, runs_for(recall, threshold), limit, max_depth)
-    leaf_rows = leaves.join(classes.select("key", "sig"), "key")
+    leaf_rows = leaves.join(may_occur(classes.select("key", "sig"), ["key"], leaves), "key")
     tiles = _tiles(leaf_rows, f"ceil(n / {leaf_block})").select("path", "i", "j", "key", "sig")
     edges = (tiles.repartition(p, "path", "i", "j").sortWithinPartitions("path", "i", "j")
              .mapInArrow(_sketch_edges, "a binary, b binary"))
     groups = components(edges).withColumnRenamed("node", "key")
 
-    members = stored(groups.join(classes.drop("sig"), "key"), "members")
+    groups = stored(groups, "groups")
+    members = stored(groups.join(may_occur(classes.drop("sig"), ["key"], groups), "key"), "members")
     blocks = members.groupBy("root").agg(F.expr(
         f"CAST(greatest(ceil(count(*) / {block}), ceil(sum(n) / {BLOCK_TOKENS})) AS INT)")
         .alias("blocks"))
     wanted = (members.join(blocks, "root")
               .select("root", "blocks", "key", "size", "first",
                       F.expr("CAST(pmod(xxhash64(key), blocks) AS INT)").alias("block")))
-    fetched = rows.join(wanted, (F.col("doc_id").eqNullSafe(F.col("first.doc_id")))
-                        & (F.col("text_id") == F.col("first.text_id")))
+    # only documents that some component needs are shuffled with their text
+    needed = may_occur(rows, ["doc_id", "text_id"], members.select("first.doc_id", "first.text_id"))
+    fetched = needed.join(wanted, (F.col("doc_id").eqNullSafe(F.col("first.doc_id")))
+                          & (F.col("text_id") == F.col("first.text_id")))
     tokens = (fetched.select("root", "blocks", "block", "key", "size", "text")
               .mapInArrow(_token_rows, "root binary, i int, j int, block int, key binary,"
                           " size bigint, tokens binary"))
