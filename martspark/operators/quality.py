@@ -59,6 +59,25 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], check_id: str, check_na
                                           F.col("_v"), informational))))
 
 
+def checks_with_duplicates(df: DataFrame, checks: Sequence[Check], keys: Sequence[str], check_id: str,
+                           check_name: str, where: Column | None = None,
+                           informational: bool = False) -> DataFrame:
+    """``count_checks`` and ``duplicate_groups`` of a table in one pass over it.
+
+    The predicates' counts ride on the per-key pre-aggregate that the
+    duplicate check needs anyway; ``where`` may use key columns only.
+    """
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[
+        F.count_if(c.predicate).alias(f"_c{i}") for i, c in enumerate(checks)])
+    twice = F.col("_n") > 1
+    one = groups.agg(F.count_if(twice if where is None else twice & where).alias("_v"),
+                     *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(checks))])
+    rows = [_row(check_id, check_name, "duplicate_groups", F.col("_v"), informational)]
+    rows += [_row(c.check_id, c.check_name, c.metric, F.col(f"_c{i}"), c.informational)
+             for i, c in enumerate(checks)]
+    return one.select(F.inline(F.array(*rows)))
+
+
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per key value; the partial aggregate runs before the shuffle."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))

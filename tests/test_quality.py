@@ -46,3 +46,13 @@ def test_row_counts(spark):
     a = spark.range(3)
     b = spark.range(0)
     assert rows(quality.row_counts({"a": a, "b": b})) == [("a", 3), ("b", 0)]
+
+
+def test_one_pass_equals_separate_checks(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, -1), ("b", None)], "k string, v int")
+    checks = [Check("c1", "negative", F.col("v") < 0), Check("c2", "null", F.col("v").isNull())]
+    one = quality.checks_with_duplicates(df, checks, ["k"], "d", "dup", F.col("k").isNotNull())
+    two = quality.union_checks(quality.count_checks(df, checks),
+                               quality.duplicate_groups(df, ["k"], "d", "dup", F.col("k").isNotNull()))
+    assert rows(one) == rows(two)
+    assert rows(quality.checks_with_duplicates(df.limit(0), checks, ["k"], "d", "dup"), "value") == [(0,)] * 3
