@@ -27,6 +27,7 @@ file and reads back empty; other columns are ignored.
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -66,18 +67,33 @@ class _Encoder:
     """Ids of whole texts, as bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its space-separated pieces in order; each distinct piece is
-    encoded once while it is in the cache.
+    are those of its pieces between spaces and line ends, in order.  It ignores
+    the case of ASCII letters and never joins a letter or digit to a punctuation mark
+    after it, so a piece's trailing marks are encoded apart.  What is encoded
+    once is kept while it is in the cache.
     """
 
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
         tok, kind = Tokenizer.from_file(path), f"<u{width}"
-        self.pieces = BoundedCache(lambda s: np.array(
-            tok.encode(s, add_special_tokens=False).ids, kind).tobytes(), 1 << 20)
+
+        def encode(s: str) -> bytes:
+            return np.array(tok.encode(s, add_special_tokens=False).ids, kind).tobytes()
+
+        stems = BoundedCache(encode, 1 << 20)
+
+        def piece(s: str) -> bytes:
+            if s.isascii() and "<|" not in s:
+                s = s.lower()
+                stem = s.rstrip(string.punctuation)
+                if not stem or stem[-1].isalnum():
+                    return stems[stem] + stems[s[len(stem):]]
+            return encode(s)
+
+        self.pieces = BoundedCache(piece)
 
     def __call__(self, text: str | None) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, (text or "").split(" ")))
+        return b"".join(map(self.pieces.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
 _encoders: dict = {}  # one per worker process, kept across its tasks

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -28,8 +29,13 @@ def test_perfect_hash_is_minimal_and_tells_foreign_keys():
         PerfectHash.build(np.array([1, 1], np.uint64), np.array([0, 0], np.uint64))
 
 
-def test_pieces_encode_like_whole_texts(odd):
+def test_pieces_encode_like_whole_texts(odd, make_docs):
     encode = T._Encoder(T.TOKENIZER, 2)
+    rng = random.Random(1)
+    parts = ["Don't", "it's", "'s", "A1!", "!!", "...", "\x00", "\x01!", "<|endoftext|>", "<|", "\n",
+             "\t", "caf\u00e9", "e\u0301", "\u0301", "x\u00a0y", "\x1c", "12", "a_b", "\u4e2d", "\u03a3", "\r\n"]
+    odd = odd.union(make_docs([(i, "".join(rng.choice(parts + [" "] * 9) for _ in range(40)))
+                               for i in range(300)]))
     for (_, text), (_, ids) in zip(texts_of(odd), encoded(texts_of(odd))):
         assert np.frombuffer(encode(text), "<u2").tolist() + [1] == ids
 
