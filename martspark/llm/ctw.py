@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -43,7 +44,7 @@ from martspark.llm.common import crc_fold, partitions, sorted_groups, stored, ta
 
 DEPTH = 5
 BATCH_BITS = 13
-CHUNK = 1 << 22      # bytes handled at once inside a batch
+CHUNK = 1 << 20      # bytes handled at once inside a batch
 HELD_OUT = (7, 2)    # held out: crc32 of the id modulo 7 is 2
 _U = np.uint64
 
@@ -81,11 +82,27 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return k, np.bincount(inv, np.concatenate(counts), len(k)).astype(np.int64)
 
 
+TEXTS = "doc_id bigint, text binary, train boolean, batch bigint"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compress each text: it is shuffled once and read three times."""
+    press = zstandard.ZstdCompressor(level=3).compress
+    for b in batches:
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([press(t) for t in b.column(1).to_pylist()], pa.binary()),
+             b.column(2), b.column(3)], ["doc_id", "text", "train", "batch"])
+
+
+def _unpack(texts: pa.ChunkedArray) -> list[bytes]:
+    read = zstandard.ZstdDecompressor().decompress
+    return [read(t) for t in texts.to_pylist()]
+
+
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.ndarray]]:
     """Whole batches (number, texts as bytes, training flags) from (batch, train, text) rows."""
     for t in sorted_groups(batches, ["batch"]):
-        yield (t.column("batch")[0].as_py(), [x or b"" for x in t.column("text").to_pylist()],
-               t.column("train").to_numpy())
+        yield t.column("batch")[0].as_py(), _unpack(t.column("text")), t.column("train").to_numpy()
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +136,56 @@ def _count_grams(depth: int):
     return count
 
 
+#: What a batch needs, in rows of many facts: words with their training
+#: counts, grams (sorted, as differences) with their log probabilities.
+FACTS = "batch bigint, words binary, counts binary, grams binary, logps binary"
+PACKED_ROWS = 1 << 20
+
+
+def _by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each batch, as far as a block of PACKED_ROWS rows holds them."""
+    held, size = [], 0
+
+    def cut() -> Iterator[tuple[int, pa.Table]]:
+        t = pa.Table.from_batches(held).sort_by("batch")
+        number = t.column("batch").to_numpy()
+        first = np.flatnonzero(np.diff(number, prepend=number[0] - 1))
+        for lo, hi in zip(first, [*first[1:], len(number)]):
+            yield int(number[lo]), t.slice(lo, hi - lo)
+
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.num_rows
+        if size >= PACKED_ROWS:
+            yield from cut()
+            held, size = [], 0
+    if held:
+        yield from cut()
+
+
+def _fact_row(number: int, words=None, counts=None, grams=None, logps=None) -> pa.RecordBatch:
+    press = zstandard.ZstdCompressor(level=3).compress
+    cells = [None if x is None else press(x) for x in (words, counts, grams, logps)]
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()),
+                                       *[pa.array([c], pa.binary()) for c in cells]],
+                                      ["batch", "words", "counts", "grams", "logps"])
+
+
+def _pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for number, t in _by_batch(batches):
+        t = t.sort_by("word")
+        yield _fact_row(number, words=b"\n".join(t.column("word").to_pylist()),
+                        counts=t.column("n").to_numpy().astype("<i8").tobytes())
+
+
+def _pack_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for number, t in _by_batch(batches):
+        t = t.sort_by("gram")
+        yield _fact_row(number, grams=np.diff(t.column("gram").to_numpy(), prepend=0).tobytes(),
+                        logps=t.column("logp").to_numpy().tobytes())
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Logarithm of the gamma function for x > 0 (Stirling's series after eight steps)."""
     y = x + 8
@@ -254,18 +321,23 @@ def _score_batch(denominator: float, end_count: int, depth: int):
                         ("base_score", pa.float64()), ("score", pa.float64())])
 
     def score(docs: pa.Table, facts: pa.Table) -> pa.Table:
-        is_word = facts.column("gram").is_null()
-        words = facts.filter(is_word)
-        n = words.column("n").to_numpy()
-        # a word's log probability and whether it is known, added up together
-        value = np.log10((n + 1) / denominator) + 1j * (n > 0)
-        word_value = dict(zip(words.column("word").to_pylist(), value.tolist()))
-        grams = facts.filter(pa.compute.invert(is_word))
-        code = grams.column("gram").to_numpy()
+        read = zstandard.ZstdDecompressor().decompress
+        word_value: dict[bytes, complex] = {}
+        code, logp = [], []
+        for row in zip(*(facts.column(c).to_pylist() for c in ("words", "counts", "grams", "logps"))):
+            if row[0] is not None:
+                n = np.frombuffer(read(row[1]), "<i8")
+                # a word's log probability and whether it is known, added up together
+                value = np.log10((n + 1) / denominator) + 1j * (n > 0)
+                word_value.update(zip(read(row[0]).split(b"\n"), value.tolist()))
+            else:
+                code.append(np.cumsum(np.frombuffer(read(row[2]), "<i8")))
+                logp.append(np.frombuffer(read(row[3]), "<f8"))
+        code = np.concatenate(code)
         order = np.argsort(code)
-        code, logp = code[order].astype(_U), grams.column("logp").to_numpy()[order]
+        code, logp = code[order].astype(_U), np.concatenate(logp)[order]
 
-        texts = [x or b"" for x in docs.column("text").to_pylist()]
+        texts = _unpack(docs.column("text"))
         end = np.log10((end_count + 1) / denominator) + 1j * (end_count > 0)
         counts, base, score_ = [], [], []
         for t in texts:
@@ -277,6 +349,7 @@ def _score_batch(denominator: float, end_count: int, depth: int):
             values = logp[np.searchsorted(code, codes)]
             score_.append(np.add.reduceat(values, np.cumsum(sizes) - sizes))
         base = np.array(base, complex)
+        pa.default_memory_pool().release_unused()
         return pa.table([docs.column("doc_id"), docs.column("train"),
                          pa.array([len(t) for t in texts], pa.int64()),
                          pa.array(counts, pa.int64()),
@@ -297,7 +370,8 @@ def lm_scores(docs: DataFrame, fold: tuple[int, int] = HELD_OUT, depth: int = DE
     rows = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), lowered.cast("binary").alias("text"),
         (crc_fold(F.col("doc_id"), fold[0]) != fold[1]).alias("train"),
-        F.shiftright(F.monotonically_increasing_id(), batch_bits).alias("batch")), "texts")
+        F.shiftright(F.monotonically_increasing_id(), batch_bits).alias("batch"))
+        .mapInArrow(_pack, TEXTS), "texts")
     inputs = rows.select("batch", "train", "text")
 
     words = inputs.mapInArrow(_count_words, "batch bigint, word binary, n bigint")
@@ -314,11 +388,9 @@ def lm_scores(docs: DataFrame, fold: tuple[int, int] = HELD_OUT, depth: int = DE
                    "grams")
     scored = stored(gram_scores(grams.groupBy("gram").agg(F.sum("n").alias("n")), depth), "scored")
 
-    nothing = F.lit(None)
-    facts = (words.select("batch", "word", "n", nothing.cast("long").alias("gram"),
-                          nothing.cast("double").alias("logp"))
-             .union(grams.select("batch", "gram").join(scored, "gram").select(
-                 "batch", nothing.cast("binary"), nothing.cast("long"), "gram", "logp")))
+    facts = (words.select("batch", "word", "n").mapInArrow(_pack_words, FACTS)
+             .union(grams.select("batch", "gram").join(scored, "gram")
+                    .select("batch", "gram", "logp").mapInArrow(_pack_grams, FACTS)))
     fn, schema = _score_batch(denominator, ends, depth)
     out = (rows.groupBy("batch").cogroup(facts.groupBy("batch")).applyInArrow(
         fn, "doc_id bigint, train boolean, n_bytes bigint, n_tokens bigint, n_known bigint,"
