@@ -80,7 +80,15 @@ class _Encoder:
         def encode(s: str) -> bytes:
             return np.array(tok.encode(s, add_special_tokens=False).ids, kind).tobytes()
 
-        stems = BoundedCache(encode, 1 << 20)
+        model = tok.model
+
+        def encode_stem(s: str) -> bytes:
+            # lower-case ASCII letters pass the other steps unchanged
+            if s.isalpha():
+                return np.array([t.id for t in model.tokenize(s)], kind).tobytes()
+            return encode(s)
+
+        stems = BoundedCache(encode_stem, 1 << 20)
 
         def piece(s: str) -> bytes:
             if s.isascii() and "<|" not in s:
