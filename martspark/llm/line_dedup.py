@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martspark.llm.common import table
+from martspark.llm.common import stored, table
 from martspark.llm.url_filter import host_path
 
 RATIO = 0.5
@@ -81,7 +81,8 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO,
     Input columns of these names are replaced.
     """
     rest = [c for c in pages.columns if c not in ("host", "lines", "n_lines", "n_dropped", "text")]
-    drop = site_boilerplate(pages.select("host", "lines"), ratio, min_pages)
+    # stored, so that the join deals both sides by host and Spark can split a hot one
+    drop = stored(site_boilerplate(pages.select("host", "lines"), ratio, min_pages), "boilerplate")
     kept = F.filter("lines", lambda line: ~F.array_contains(
         F.coalesce(F.col("__drop"), F.array().cast("array<binary>")), _digest(line)))
     return (pages.select("host", *rest, "lines")
