@@ -1,8 +1,8 @@
 """Queries of the training-data operators and their DuckDB SQL, by name."""
 
 import corpus_pipeline
-from martspark.llm import (ctw, decontaminate, exact_dedup, hilbert, jaccard_join, line_dedup, mixing,
-                           quality, token_files, url_filter)
+from martspark.llm import (centroids, ctw, decontaminate, exact_dedup, hilbert, jaccard_join, line_dedup,
+                           mixing, odd_sketch, quality, token_files, url_filter, whitening)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_lm_scores": ctw.op9_lm_scores,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_centroid_clusters": centroids.op12_centroid_clusters,
+    "op13_odd_sketches": odd_sketch.op13_odd_sketches,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +27,6 @@ ORACLE_SQL = {
     "op5_hilbert_shards": hilbert.SQL,
     "op6_mix_sources": mixing.SQL,
     "op10_url_filter": url_filter.SQL,
+    "op12_centroid_clusters": centroids.SQL,
+    "op13_odd_sketches": odd_sketch.SQL,
 }
