@@ -17,13 +17,16 @@ exchange per side, except on a side already hash-partitioned by a never-NULL
 key (``null_safe=False``; e.g. a batch fresh from latest-per-key).
 ``upsert_touched`` / ``upsert_partitions`` read only the target partitions a
 batch can change; ``TableStore.publish_partitions`` rewrites only those.
+``upsert_changed`` goes further: it compares the batch with the stored guard
+first and joins and rewrites only partitions in which some row changes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martspark.session import checkpoint_dir
@@ -161,3 +164,52 @@ def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if kwargs.get("with_action"):
         outside = outside.withColumn("_action", F.lit("untouched"))
     return merged.unionByName(outside)
+
+
+@dataclass(frozen=True)
+class Changes:
+    """What a batch changes in a stored table."""
+
+    merged: DataFrame      # new state of the partitions in ``values``, with ``_action``
+    values: list           # partitions in which a row is inserted, updated or moved away
+    counts: dict[str, int]  # rows of the batch per action: insert, update, unchanged
+
+
+def upsert_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str, guard: str,
+                   candidates: Sequence | None = None, null_safe: bool = True, **kwargs) -> Changes:
+    """Guarded upsert (M3) of only the partitions that change.
+
+    The batch meets the target's key and guard columns in the partitions that
+    may hold its keys (``candidates``, e.g. from ``profile.may_hold``; None: all), which
+    tells inserted, updated and unchanged rows apart.  Unchanged rows go no
+    further: partitions holding only such rows are neither read as a whole nor
+    rewritten, and a batch delivered again changes nothing.  A changed row
+    that moves to another partition changes both.  The changed rows are checkpointed once;
+    partition lists and counts are bounded by the number of partitions.
+    """
+    checkpoint_dir(source.sparkSession)
+    here = target if candidates is None else target.where(partition_filter(partition_col, candidates))
+    # one row per key, so that a damaged target cannot multiply the batch
+    held = here.select(*keys, F.col(guard).alias("_guard"), F.col(partition_col).alias("_at")).groupBy(
+        *keys).agg(F.collect_set(F.struct("_at")).alias("_held"), F.min(F.struct("_guard")).alias("_guard"),
+                   F.lit(True).alias("_known"))
+    cond = None
+    for k in keys:
+        a, b = F.col(f"s.{k}"), F.col(f"h.{k}")
+        e = a.eqNullSafe(b) if null_safe else a == b
+        cond = e if cond is None else cond & e
+    j = source.alias("s").join(held.alias("h"), cond, "left").select(
+        "s.*", "_held", F.when(F.col("_known").isNull(), F.lit("insert"))
+        .when(F.col("_guard._guard").eqNullSafe(F.col(f"s.{guard}")), F.lit("unchanged"))
+        .otherwise(F.lit("update")).alias("_action"))
+    obs, actions = Observation(), ["insert", "update", "unchanged"]
+    changed = (j.observe(obs, *[F.count_if(F.col("_action") == a).alias(a) for a in actions])
+               .where(F.col("_action") != "unchanged").checkpoint(eager=True))
+    counts = {a: int(obs.get[a]) for a in actions}
+    own = F.struct(F.col(partition_col).alias("_at"))
+    places = changed.select(F.explode(F.array_append(F.coalesce("_held", F.array().cast(
+        changed.schema["_held"].dataType)), own)).alias("_p")).select("_p._at").distinct()
+    values = [r[0] for r in places.collect()]
+    merged = upsert(target.where(partition_filter(partition_col, values)), changed.drop("_held", "_action"),
+                    keys, guard=guard, null_safe=null_safe, with_action=True, **kwargs)
+    return Changes(merged, values, counts)

@@ -33,7 +33,7 @@ def _passed(value: Column, informational: bool) -> Column:
     return F.lit(None).cast("boolean") if informational else (value == 0)
 
 
-def _row(check_id, check_name, metric, value: Column, informational) -> Column:
+def check_row(check_id, check_name, metric, value: Column, informational) -> Column:
     v = F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
     return F.struct(F.lit(check_id).alias("check_id"), F.lit(check_name).alias("check_name"),
                     F.lit(metric).alias("metric"), v.alias("value"),
@@ -44,7 +44,7 @@ def count_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Fused row-predicate checks: one pass over ``df``."""
     aggs = [F.count_if(c.predicate).alias(f"_c{i}") for i, c in enumerate(checks)]
     one = df.agg(*aggs)
-    rows = F.array(*[_row(c.check_id, c.check_name, c.metric, F.col(f"_c{i}"), c.informational)
+    rows = F.array(*[check_row(c.check_id, c.check_name, c.metric, F.col(f"_c{i}"), c.informational)
                      for i, c in enumerate(checks)])
     return one.select(F.inline(rows))
 
@@ -55,7 +55,7 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], check_id: str, check_na
     src = df if where is None else df.where(where)
     groups = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     n = groups.agg(F.count_if(F.col("_n") > 1).alias("_v"))
-    return n.select(F.inline(F.array(_row(check_id, check_name, "duplicate_groups",
+    return n.select(F.inline(F.array(check_row(check_id, check_name, "duplicate_groups",
                                           F.col("_v"), informational))))
 
 
@@ -72,8 +72,8 @@ def checks_with_duplicates(df: DataFrame, checks: Sequence[Check], keys: Sequenc
     twice = F.col("_n") > 1
     one = groups.agg(F.count_if(twice if where is None else twice & where).alias("_v"),
                      *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(checks))])
-    rows = [_row(check_id, check_name, "duplicate_groups", F.col("_v"), informational)]
-    rows += [_row(c.check_id, c.check_name, c.metric, F.col(f"_c{i}"), c.informational)
+    rows = [check_row(check_id, check_name, "duplicate_groups", F.col("_v"), informational)]
+    rows += [check_row(c.check_id, c.check_name, c.metric, F.col(f"_c{i}"), c.informational)
              for i, c in enumerate(checks)]
     return one.select(F.inline(F.array(*rows)))
 
@@ -97,7 +97,7 @@ def missing_keys(df: DataFrame, key: str, ref: DataFrame, ref_key: str | None =
 def missing_key_check(df: DataFrame, key: str, ref: DataFrame, check_id: str, check_name: str,
                       ref_key: str | None = None) -> DataFrame:
     m = missing_keys(df, key, ref, ref_key).agg(F.sum("cnt").alias("_v"))
-    return m.select(F.inline(F.array(_row(check_id, check_name, "bad_rows", F.col("_v"), False))))
+    return m.select(F.inline(F.array(check_row(check_id, check_name, "bad_rows", F.col("_v"), False))))
 
 
 def top_counts(counts: DataFrame, key: str, n: int = 20, section: str | None = None) -> DataFrame:

@@ -19,8 +19,10 @@ from martspark.functions.dates import lookback_start, ntz_lit
 from martspark.functions.keys import hash_key
 from martspark.operators.dedup import keep_first, latest_per_key
 from martspark.operators.quality import duplicate_groups
-from martspark.operators.merge import upsert, upsert_partitions, upsert_touched
+from martspark.operators.merge import (Changes, upsert, upsert_changed, upsert_partitions,
+                                       upsert_touched)
 from martspark import schemas
+from martspark.session import checkpoint_dir
 
 SERVICE_PRODUCT = "Delivery Fee"  # fixed value: service lines never enter the fact
 KEY_COLS = ["country", "order_id", "product_number"]
@@ -105,7 +107,7 @@ def sales_rejects(order_raw: DataFrame, as_of: dt.date | None = None,
 def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: DataFrame,
                   fx_rates: DataFrame, as_of: dt.date | None = None, lookback_months: int = 1,
                   run_ts: Column | None = None, change_cols: list[str] | None = None,
-                  escape_hash: bool = False) -> tuple[DataFrame, DataFrame]:
+                  escape_hash: bool = False, once: bool = False) -> tuple[DataFrame, DataFrame]:
     """Staging order lines -> one typed, EUR-converted row per business key.
 
     Returns ``(rows, rejects)``.
@@ -126,7 +128,9 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
       ``escape_hash`` escapes ``'|'`` inside hashed values (D30);
     * country codes are reduced to one row per code before the lookup, so a
       duplicated code cannot fan lines out (D5); ``dim_country_code_check``
-      reports such duplicates.
+      reports such duplicates;
+    * ``once=True`` checkpoints the de-duplicated, enriched batch, so that rows
+      and rejects, used apart, do not each prepare it again.
     """
     change_cols = list(change_cols or CHANGE_COLS)
     s, created, keep, rejects = _parse_sales(order_raw, as_of, lookback_months)
@@ -159,9 +163,7 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
                        "_value_eur": _product(F.col("_qty"), F.col("_price"), rate)})
     too_large = ((F.col("_price").isNotNull() & F.col("_price_eur").isNull())
                  | (F.col("_qty").isNotNull() & F.col("_price").isNotNull() & F.col("_value_eur").isNull()))
-    overflow = s.where(too_large).select(*order_raw.drop("created_ts").columns,
-                                         F.lit("amount out of range").alias("_reject"))
-    s = s.where(~too_large)
+    raw = [c for c in order_raw.columns if c != "created_ts"]
     out = s.select(
         "business_key_hash",
         hash_key(*change_cols, escape=escape_hash).alias("change_hash"),
@@ -178,8 +180,15 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
         "source_file",
         (run_ts if run_ts is not None else F.col("ingested_at")).cast("timestamp_ntz")
         .alias("last_ingested_at"),
+        # the raw line, only of rows whose amounts do not fit
+        F.when(too_large, F.struct(*raw)).alias("_overflow"),
     )
-    return out, rejects.unionByName(overflow)
+    if once:
+        checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    overflow = out.where(F.col("_overflow").isNotNull()).select(
+        "_overflow.*", F.lit("amount out of range").alias("_reject"))
+    return out.where(F.col("_overflow").isNull()).drop("_overflow"), rejects.unionByName(overflow)
 
 
 def _sales_upsert_args(current: DataFrame, run_ts: Column, with_action: bool = False) -> dict:
@@ -226,6 +235,17 @@ def upsert_sales_touched(current: DataFrame, batch: DataFrame, run_ts: Column,
                           locate=True, **_sales_upsert_args(current, run_ts, with_action))
 
 
+def upsert_sales_changed(current: DataFrame, batch: DataFrame, run_ts: Column,
+                         candidates: list | None = None) -> Changes:
+    """Guarded upsert of only the creation months in which a line changes.
+
+    ``candidates``: the months that may hold the batch's keys (None: all)."""
+    kw = _sales_upsert_args(current, run_ts)
+    del kw["with_action"]
+    return upsert_changed(current, with_created_month(batch), ["business_key_hash"], "created_month",
+                          candidates=candidates, **kw)
+
+
 def empty_sales(spark) -> DataFrame:
     return schemas.empty_frame(spark, schemas.SALES_CURRENT)
 

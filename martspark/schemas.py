@@ -89,9 +89,21 @@ WAREHOUSE = {
     "fx_rates_monthly": FX_RATES_MONTHLY, "map_order_status": MAP_ORDER_STATUS,
     "sales_current": SALES_CURRENT, "stock_snapshot": STOCK_SNAPSHOT,
 }
+#: Primary and unique keys; NOT NULL columns are the non-nullable fields above.
+UNIQUE = {
+    "dim_product": ["product_number"], "dim_country": ["country_name"], "dim_date": ["date_sk"],
+    "fx_rates_monthly": ["month_sk", "currency_code"], "map_order_status": ["raw_status"],
+    "sales_current": ["business_key_hash"],
+    "stock_snapshot": ["snapshot_month", "country_code", "product_number"],
+}
 STAGING = {"order_raw": ORDER_RAW, "stock_raw": STOCK_RAW, "product_raw": PRODUCT_RAW}
 
 
+def required(table: str) -> list[str]:
+    """NOT NULL columns: the declared ones and, as in the source, those of the primary key."""
+    return list(dict.fromkeys([f.name for f in WAREHOUSE[table].fields if not f.nullable] + UNIQUE[table]))
+
+
 def empty_frame(spark, schema: T.StructType):
     """An empty table state the optimizer can see is empty.
 
