@@ -3,8 +3,12 @@
 CSV feeds are read with a declared all-text schema (no inference), header
 skipped by position (header names are not checked, as with the source's
 bulk copy), UTF-8, and ``FAILFAST`` by default: a short or malformed row
-fails the load instead of being padded with NULLs.  Spark reads an empty
-unquoted field and a quoted ``""`` both as NULL (D31).
+fails the load instead of being padded with NULLs.  ``read_feed`` keeps such a
+line apart instead (``_bad_line``), so that one line does not stop a
+load and none is lost: ``good_lines`` are staged, ``bad_lines`` go to a reject table.
+
+An empty unquoted field is NULL.  A quoted ``""`` is NULL too by default (D31); with
+``empty_text=True`` it is the empty text, as the source's bulk copy reads it.
 """
 
 from __future__ import annotations
@@ -21,21 +25,74 @@ from martspark.functions.clean import parse_timestamp
 from martspark.functions.dates import ntz_lit
 
 
+BAD_LINE = "_bad_line"
+# What an empty unquoted field is read as, if it is to differ from a quoted one:
+# a text that no feed holds, which the reader turns into NULL.
+NO_VALUE = "\u0001<no value>\u0001"
+
+
 def read_text_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
-                  mode: str = "FAILFAST", multiline: bool = False) -> DataFrame:
+                  mode: str = "FAILFAST", multiline: bool = False, empty_text: bool = False) -> DataFrame:
     """Read a feed as text columns in file order.
 
     ``multiline=True`` is needed only for feeds with line breaks inside
     quoted values; such files are then read whole by one task each.
     """
-    return csv_options(spark.read, schema, mode).option("multiLine", multiline).csv(path)
+    return csv_options(spark.read, schema, mode, empty_text).option("multiLine", multiline).csv(path)
 
 
-def csv_options(reader, schema: T.StructType, mode: str = "FAILFAST"):
+def csv_options(reader, schema: T.StructType, mode: str = "FAILFAST", empty_text: bool = False):
     """The feed format, for batch and streaming readers alike."""
-    return (reader.schema(schema)
-            .option("header", True).option("encoding", "UTF-8").option("mode", mode)
-            .option("quote", '"').option("escape", '"').option("enforceSchema", True))
+    out = (reader.schema(schema)
+           .option("header", True).option("encoding", "UTF-8").option("mode", mode)
+           .option("quote", '"').option("escape", '"').option("enforceSchema", True))
+    return out.option("nullValue", NO_VALUE).option("emptyValue", "") if empty_text else out
+
+
+def feed_options(reader, schema: T.StructType, empty_text: bool = True):
+    """``csv_options`` with a column for lines that do not parse."""
+    full = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    return (csv_options(reader, full, "PERMISSIVE", empty_text)
+            .option("columnNameOfCorruptRecord", BAD_LINE)
+            # else a projection would parse, and so check, only its own columns
+            .option("columnPruning", False))
+
+
+def read_feed(spark: SparkSession, path: str | list[str], schema: T.StructType, multiline: bool = False,
+              empty_text: bool = True) -> DataFrame:
+    """A feed with ``_bad_line``: the text of a line with too few or too many
+    fields, NULL for every other line; and ``_file``, the file's name."""
+    return feed_columns(feed_options(spark.read, schema, empty_text).option("multiLine", multiline).csv(path))
+
+
+def feed_columns(feed: DataFrame) -> DataFrame:
+    """The columns of ``read_feed``, for batch and streaming reads alike.
+
+    Spark refuses queries that need the column of bad lines alone, so it is
+    tied to a feed column (of which it takes no character)."""
+    first = F.substring(F.coalesce(F.col(feed.columns[0]), F.lit("")), 1, 0)
+    return feed.withColumn(BAD_LINE, F.concat(F.col(BAD_LINE), first)).select(
+        "*", F.col("_metadata.file_name").alias("_file"))
+
+
+def good_lines(feed: DataFrame) -> DataFrame:
+    return feed.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+
+
+def bad_lines(feed: DataFrame, name: str, country: str | None, ingested_at: dt.datetime | Column) -> DataFrame:
+    """Reject rows (feed, country, source_file, line, ingested_at)."""
+    ts = ingested_at if isinstance(ingested_at, Column) else ntz_lit(ingested_at)
+    return feed.where(F.col(BAD_LINE).isNotNull()).select(
+        F.lit(name).alias("feed"), F.lit(country).cast("string").alias("country"),
+        F.col("_file").alias("source_file"), F.col(BAD_LINE).alias("line"),
+        ts.cast("timestamp_ntz").alias("ingested_at"))
+
+
+def line_audit(feed: DataFrame) -> DataFrame:
+    """Lines per file: read, staged and rejected."""
+    bad = F.count(BAD_LINE)
+    return feed.groupBy(F.col("_file").alias("source_file")).agg(
+        F.count(F.lit(1)).alias("lines"), (F.count(F.lit(1)) - bad).alias("staged"), bad.alias("rejected"))
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -68,28 +125,47 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def stage_sales(spark: SparkSession, path, country: str, ingested_at, mode="FAILFAST") -> DataFrame:
-    """Sales CSV -> ``order_raw`` rows."""
-    raw = read_text_csv(spark, path, schemas.SALES_FEED, mode)
-    df = rename_columns(raw.select("*", "_metadata"), {**schemas.SALES_RENAMES, "_metadata": "_metadata"})
-    df = with_load_context(df, ingested_at, country=country).drop("_metadata")
+def staged_sales(feed: DataFrame, country: str | None, ingested_at) -> DataFrame:
+    """Parsed sales lines (with ``_file``) -> ``order_raw`` rows."""
+    df = rename_columns(feed, {**schemas.SALES_RENAMES, "_file": "_file"})
+    df = with_load_context(df, ingested_at, country=country, source_file=F.col("_file")).drop("_file")
     df = df.withColumn("created_ts", parse_timestamp("created_at"))
     return _conform(df, schemas.ORDER_RAW_TYPED)
 
 
-def stage_stock(spark: SparkSession, path, country: str, ingested_at, mode="FAILFAST") -> DataFrame:
-    raw = read_text_csv(spark, path, schemas.STOCK_FEED, mode)
-    df = rename_columns(raw.select("*", "_metadata"), {**schemas.STOCK_RENAMES, "_metadata": "_metadata"})
-    df = with_load_context(df, ingested_at, country=country).drop("_metadata")
+def staged_stock(feed: DataFrame, country: str | None, ingested_at) -> DataFrame:
+    df = rename_columns(feed, {**schemas.STOCK_RENAMES, "_file": "_file"})
+    df = with_load_context(df, ingested_at, country=country, source_file=F.col("_file")).drop("_file")
     return _conform(df, schemas.STOCK_RAW)
 
 
-def stage_products(spark: SparkSession, path, load_run_ts, mode="FAILFAST") -> DataFrame:
-    raw = read_text_csv(spark, path, schemas.PRODUCT_FEED, mode).select("*", "_metadata")
-    df = with_load_context(raw, load_run_ts, ts_col="load_run_ts").drop("_metadata")
+def staged_products(feed: DataFrame, country: str | None, load_run_ts) -> DataFrame:
+    df = with_load_context(feed, load_run_ts, source_file=F.col("_file"), ts_col="load_run_ts").drop("_file")
     return _conform(df, schemas.PRODUCT_RAW)
 
 
+#: Staging table -> feed schema and the staging of its parsed lines.
+FEEDS = {"order_raw": (schemas.SALES_FEED, staged_sales), "stock_raw": (schemas.STOCK_FEED, staged_stock),
+         "product_raw": (schemas.PRODUCT_FEED, staged_products)}
+
+
+def _strict_feed(spark: SparkSession, path, schema: T.StructType, mode: str) -> DataFrame:
+    return read_text_csv(spark, path, schema, mode).select("*", F.col("_metadata.file_name").alias("_file"))
+
+
+def stage_sales(spark: SparkSession, path, country: str, ingested_at, mode="FAILFAST") -> DataFrame:
+    """Sales CSV -> ``order_raw`` rows."""
+    return staged_sales(_strict_feed(spark, path, schemas.SALES_FEED, mode), country, ingested_at)
+
+
+def stage_stock(spark: SparkSession, path, country: str, ingested_at, mode="FAILFAST") -> DataFrame:
+    return staged_stock(_strict_feed(spark, path, schemas.STOCK_FEED, mode), country, ingested_at)
+
+
+def stage_products(spark: SparkSession, path, load_run_ts, mode="FAILFAST") -> DataFrame:
+    return staged_products(_strict_feed(spark, path, schemas.PRODUCT_FEED, mode), None, load_run_ts)
+
+
 LEDGER = "feed string, country string, path string, bytes bigint, modified bigint"
 
 

@@ -6,7 +6,8 @@ is written with overwrite to a folder of its own, named by feed, country,
 query id (kept in the checkpoint) and batch number: a batch replayed after a
 failure replaces its own output, and neither another country nor a new
 checkpoint over old staging can touch it (the checkpoint records which files
-were taken, D24).
+were taken, D24).  Lines that do not parse go, with their file, to a reject folder named
+the same way; ``feeds.bad_lines`` tells its columns.
 ``trigger(availableNow=True)`` processes what has landed and stops, which
 suits a scheduled warehouse load.
 """
@@ -17,34 +18,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martspark import schemas
-from martspark.functions.clean import parse_timestamp
-from martspark.sources.feeds import csv_options, rename_columns, with_load_context
+from martspark.sources import feeds
 
-FEEDS = {
-    "sales": (schemas.SALES_FEED, schemas.SALES_RENAMES, schemas.ORDER_RAW_TYPED),
-    "stock": (schemas.STOCK_FEED, schemas.STOCK_RENAMES, schemas.STOCK_RAW),
-}
+TABLES = {"sales": "order_raw", "stock": "stock_raw"}
 
 
 def start_feed_ingest(spark: SparkSession, feed: str, landing_dir: str, staging_dir: str,
-                      country: str, checkpoint_location: str,
-                      available_now: bool = True) -> StreamingQuery:
-    feed_schema, renames, staging_schema = FEEDS[feed]
-    stream = (csv_options(spark.readStream, feed_schema).csv(landing_dir)
-              .select("*", F.col("_metadata.file_name").alias("_file")))
+                      country: str, checkpoint_location: str, available_now: bool = True,
+                      rejects_dir: str | None = None, empty_text: bool = False) -> StreamingQuery:
+    """Without ``rejects_dir`` the first line that does not parse stops the stream."""
+    schema, staged = feeds.FEEDS[TABLES[feed]]
+    if rejects_dir is None:
+        stream = feeds.csv_options(spark.readStream, schema, empty_text=empty_text).csv(landing_dir)
+        stream = stream.select("*", F.col("_metadata.file_name").alias("_file"))
+    else:
+        stream = feeds.feed_columns(feeds.feed_options(spark.readStream, schema, empty_text).csv(landing_dir))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        df = rename_columns(batch, {**renames, "_file": "_file"})
-        # The ingest boundary stamps arrival time, like the staging default.
-        df = with_load_context(df, F.current_timestamp(), country=country,
-                               source_file=F.col("_file")).drop("_file")
-        if "created_ts" in staging_schema.fieldNames():
-            df = df.withColumn("created_ts", parse_timestamp("created_at"))
-        df = df.select(*[F.col(f.name).cast(f.dataType) for f in staging_schema.fields])
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        df.write.mode("overwrite").parquet(f"{staging_dir}/ingest_feed={feed}/ingest_country={country}"
-                                           f"/ingest_query={query}/ingest_batch={epoch_id}")
+        folder = (f"ingest_feed={feed}/ingest_country={country}"
+                  f"/ingest_query={query}/ingest_batch={epoch_id}")
+        # The ingest boundary stamps arrival time, like the staging default.
+        now = F.current_timestamp()
+        if rejects_dir is not None:
+            (feeds.bad_lines(batch, TABLES[feed], country, now)
+             .write.mode("overwrite").parquet(f"{rejects_dir}/{folder}"))
+            batch = feeds.good_lines(batch)
+        staged(batch, country, now).write.mode("overwrite").parquet(f"{staging_dir}/{folder}")
 
     w = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_location))
