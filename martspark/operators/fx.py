@@ -80,6 +80,11 @@ def monthly_inverse_mean(quotes: DataFrame, source: str = "monthly_avg",
     agg = q.groupBy("month_sk", "currency_code").agg(
         F.sum(F.col("rate").cast(QUOTE_TYPE)).cast("decimal(28,8)").alias("_sum"),
         F.count("rate").alias("_n"))
+    return inverse_mean(agg, source)
+
+
+def inverse_mean(agg: DataFrame, source: str = "monthly_avg") -> tuple[DataFrame, DataFrame]:
+    """Rates and rejects from the sum (``_sum``) and number (``_n``) of a month's quotes."""
     inv = F.try_divide(F.col("_n").cast("decimal(10,0)"), F.col("_sum"))
     out = agg.select(
         "month_sk", "currency_code",

@@ -1,0 +1,86 @@
+"""Mergeable state of the daily quotes against the full recomputation."""
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+
+from martspark import schemas
+from martspark.operators import fx, fx_state
+from martspark.plans import pipeline
+from martspark.sources.store import TableStore
+from tests.conftest import rows
+from tests.test_facts import ORDER_ROWS
+from tests.test_gate import feeds_of
+
+Q = "rate_date date, currency_code string, rate decimal(18,8), delivered_at timestamp_ntz"
+D1, D2 = dt.datetime(2024, 6, 1), dt.datetime(2024, 6, 2)
+
+
+def countries(spark):
+    return spark.createDataFrame([("a", "A", "SEK"), ("b", "B", "NOK"), ("c", "C", "DKK"), ("d", "D", "EUR")],
+                                 "country_name string, country_code string, currency_code string")
+
+
+def quotes(rng, n, delivered):
+    return [(dt.date(2024, rng.randrange(1, 4), rng.randrange(1, 28)), rng.choice(["SEK", "NOK", "DKK", "XXX", "EUR"]),
+             rng.choice([None, Decimal("0"), Decimal(rng.randrange(1, 10 ** 9)) / 10 ** 7]), delivered)
+            for _ in range(n)]
+
+
+def latest(data):
+    """Quotes of the latest delivery of each day and currency."""
+    last = {}
+    for d, c, _, at in data:
+        last[d, c] = max(last.get((d, c), at), at)
+    return [q for q in data if last[q[0], q[1]] == q[3]]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_split_equals_the_full_recomputation(spark, seed):
+    rng = random.Random(seed)
+    data = {"primary": quotes(rng, 40, D1) + quotes(rng, 15, D2), "secondary": quotes(rng, 60, D1)}
+    make = lambda r: spark.createDataFrame(r, Q)
+    offered = spark.createDataFrame([("SEK",), ("NOK",)], "currency_code string")
+    want = fx.monthly_rates(make(latest(data["primary"])), countries(spark),
+                            secondary=make(latest(data["secondary"])), supported=offered)
+    parts = []
+    for source, all_rows in data.items():
+        for i in range(3):  # rows dealt to parts by chance, whatever their day
+            part = [q for j, q in enumerate(all_rows) if (j * 7 + seed) % 3 == i]
+            parts.append(fx_state.day_state(make(part), source, f"{source}{i}"))
+    rng.shuffle(parts)
+    parts.append(parts[0])  # a retry
+    state = parts[0]
+    for p in parts[1:]:
+        state = fx_state.merge_days(state, p)
+    got = fx_state.rates_from_state(fx_state.monthly_state(state), countries(spark), supported=offered)
+    assert rows(got[0]) == rows(want[0]) and rows(got[1]) == rows(want[1])
+    assert want[0].count() > 5
+
+
+def test_empty_state(spark):
+    none = spark.createDataFrame([], Q)
+    state = fx_state.day_state(none, "primary", "p")
+    got = fx_state.rates_from_state(fx_state.monthly_state(fx_state.merge_days(state, state)), countries(spark))
+    assert got[0].count() == 0 and got[1].count() == 0
+
+
+def test_runs_merge_late_and_corrected_quotes(spark, tmp_dir):
+    store = TableStore(spark, f"file://{tmp_dir}/wh")
+    land = lambda rates: spark.createDataFrame([("EUR", rates)], schemas.RATE_PAYLOAD)
+    feeds = feeds_of(spark, ORDER_ROWS[:2])
+    deliveries = [{"2024-03-05": {"SEK": 10.0}, "2024-03-06": {"SEK": 12.0}, "2024-04-01": {"DKK": 7.0}},
+                  {"2024-03-07": {"SEK": 14.0}},                          # late: the month's mean moves
+                  {"2024-03-05": {"SEK": 16.0}}]                          # corrected
+    for i, d in enumerate(deliveries):
+        pipeline.run(spark, store, *feeds, dt.date(2026, 1, 20), dt.datetime(2026, 1, 20 + i),
+                     rate_payloads=land(d))
+    got = {(r.month_sk.month, r.currency_code): (r.avg_rate_to_eur, r.obs_count)
+           for r in store.read("fx_rates_monthly").where("source = 'monthly_avg'").collect()}
+    q = Decimal("0.00000001")
+    assert got == {(3, "SEK"): ((3 / Decimal(42)).quantize(q), 3), (3, "EUR"): (Decimal(1), 1),
+                   (4, "DKK"): ((1 / Decimal(7)).quantize(q), 1), (4, "EUR"): (Decimal(1), 1)}
+    assert rows(store.read("fx_computed"), "month_sk", "currency_code") == [  # only the month delivered
+        (dt.date(2024, 3, 1), "EUR"), (dt.date(2024, 3, 1), "SEK")]
