@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martspark.functions.clean import (blank_to_null, empty_to_null, parse_decimal,
@@ -93,7 +93,22 @@ def _parse_sales(order_raw: DataFrame, as_of: dt.date | None, lookback_months: i
         bad = bad & (F.col("ingested_at") >= start)
     rejects = (s.where(bad).withColumn("_reject", reject_reason)
                .drop("_qty", "_price", "_created", *[c for c in ["created_ts"] if c in order_raw.columns]))
-    return s, created, keep, rejects
+    return s, created, keep, rejects, bad
+
+
+def line_counts(order_raw: DataFrame, as_of: dt.date | None = None, lookback_months: int = 1) -> dict[str, int]:
+    """Lines of a delivery by what a sales load does with them, in one pass.
+
+    ``lines`` = ``service`` + ``outside`` (the window) + ``rejected`` + ``kept``; of the kept
+    lines one per business key goes on, the others are superseded."""
+    total, parsed = Observation(), Observation()
+    seen = order_raw.observe(total, F.count(F.lit(1)).alias("n"))
+    s, _, keep, _, bad = _parse_sales(seen, as_of, lookback_months)
+    s.observe(parsed, F.count(F.lit(1)).alias("n"), F.count_if(keep).alias("kept"),
+              F.count_if(bad).alias("bad")).write.format("noop").mode("overwrite").save()
+    n, p = total.get["n"], parsed.get
+    return {"lines": n, "service": n - p["n"], "outside": p["n"] - p["kept"] - p["bad"],
+            "rejected": p["bad"], "kept": p["kept"]}
 
 
 def sales_rejects(order_raw: DataFrame, as_of: dt.date | None = None,
@@ -133,7 +148,7 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
       and rejects, used apart, do not each prepare it again.
     """
     change_cols = list(change_cols or CHANGE_COLS)
-    s, created, keep, rejects = _parse_sales(order_raw, as_of, lookback_months)
+    s, created, keep, rejects, _ = _parse_sales(order_raw, as_of, lookback_months)
     # The parsed columns are functions of the raw text: they are not carried
     # through the de-duplication shuffle but derived again afterwards.
     s = s.where(keep).drop("_created", "_qty", "_price")
