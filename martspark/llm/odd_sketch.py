@@ -13,15 +13,18 @@ Documents are sets of four-word shingles; two are linked if
    do: BITS * (1 - (1 - 2 / BITS) ** (2 * differing)) / 2.  A pair is a candidate if
    that count is at most ``MOST_ODD``, its expectation where five standard
    deviations more samples differ than at the threshold.
-4. Candidates are confirmed on whole shingle sets, and only as many as the
-   components need.  Each round a bucket proposes, for every component of
-   confirmed links in it, its ``width`` closest pairs with other components; confirmed pairs merge
-   components.  ``width`` grows eightfold until no bucket holds anything back, so
-   at the end every candidate pair was confirmed, rejected or lies inside one component.
-5. A bucket is compared in tiles of at most ``BLOCK`` x ``BLOCK`` members: its
-   members outside its largest component against all of them.  Two early
-   rounds inside blocks of a few bands connect large groups first, so a group of near copies
-   costs its size, not the square of it.  No bucket is capped.
+4. Buckets are compared in blocks of at most ``BLOCK`` members, then, in larger buckets,
+   members outside the bucket's largest component of candidate pairs against all of them, in
+   tiles.  A tile reports a forest that spans its candidates, never the pairs.
+   The components of these forests hold every candidate pair.
+5. Candidates are confirmed on whole shingle sets.  A component of at most ``GROUP``
+   classes and ``GROUP_TOKENS`` shingles is resolved by one task, closest pairs first and
+   only between classes not connected yet.  Larger ones take rounds: each bucket
+   proposes, for every component of confirmed links in it, its ``width``
+   closest pairs with other components; confirmed pairs merge components; ``width`` grows eightfold
+   until no bucket holds anything back.  Either way every candidate pair ends up confirmed,
+   rejected or inside one component.  Nothing is capped, and a group
+   of near copies costs its size, not the square of it, in exact checks.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z.
 
@@ -51,6 +54,7 @@ BANDS, ROWS = 42, 6
 SAMPLES = 256
 BITS = 1024
 BLOCK = 2048
+GROUP, GROUP_TOKENS = 8192, 1 << 22
 _U = np.uint64
 _MULTIPLIERS = np.random.default_rng(13).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * _U(2) + _U(1)
 
@@ -158,18 +162,13 @@ def _proposals(width: int, most: int, percent: int):
             if not len(left) or not len(right):
                 continue
             comp = np.unique(np.array(t.column("comp").to_pylist(), dtype=object), return_inverse=True)[1]
-            n = t.column("n").to_numpy()
-            bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), _U).reshape(len(keys), -1)
+            n, bits = t.column("n").to_numpy(), _sketches(t)
             a, b, odd = [], [], []
             for r in left:
-                # odd sketches: XOR and population count
-                d = np.bitwise_count(bits[right] ^ bits[r]).sum(axis=1, dtype=np.int32)
-                small, large = np.minimum(n[right], n[r]), np.maximum(n[right], n[r])
-                ok = (d <= most) & (comp[right] != comp[r]) & (100 * small >= percent * large)
-                near = right[ok]
+                near, d = _near(bits, n, r, right[comp[right] != comp[r]], most, percent)
                 a.append(np.full(len(near), r))
                 b.append(near)
-                odd.append(d[ok])
+                odd.append(d)
             a, b, odd = np.concatenate(a), np.concatenate(b), np.concatenate(odd)
             if not len(a):
                 continue
@@ -180,12 +179,87 @@ def _proposals(width: int, most: int, percent: int):
             some = order[rank < width]
             pairs = {(min(keys[x], keys[y]), max(keys[x], keys[y])) for x, y in zip(a[some], b[some])}
             out = sorted(pairs) + [(None, None)] * (len(some) < len(order))
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.binary()),
-                                              pa.array([p[1] for p in out], pa.binary())], ["a", "b"])
+            yield _pairs([p[0] for p in out], [p[1] for p in out])
 
     return propose
 
 
+def _near(bits: np.ndarray, n: np.ndarray, r: int, others: np.ndarray, most: int,
+          percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates of row ``r`` among ``others``, and the counts of the XOR of their sketches."""
+    d = np.bitwise_count(bits[others] ^ bits[r]).sum(axis=1, dtype=np.int32)
+    small, large = np.minimum(n[others], n[r]), np.maximum(n[others], n[r])
+    ok = (d <= most) & (100 * small >= percent * large)
+    return others[ok], d[ok]
+
+
+def _sketches(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column("sketch").to_pylist()), _U).reshape(t.num_rows, -1)
+
+
+def _forests(most: int, percent: int):
+    """Edges (a, b) that span the candidate pairs of a tile (step 4)."""
+    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = [], []
+        for t in sorted_groups(batches, ["bucket", "i", "j"]):
+            left, right = (np.flatnonzero(t.column(c).to_numpy(zero_copy_only=False))
+                           for c in ("is_left", "is_right"))
+            if t.num_rows < 2 or not len(left) or not len(right):
+                continue
+            keys = t.column("key").to_pylist()
+            label = np.unique(np.array(t.column("comp").to_pylist(), dtype=object), return_inverse=True)[1]
+            n, bits = t.column("n").to_numpy(), _sketches(t)
+            for r in left:
+                apart = right[label[right] != label[r]]
+                if not len(apart):
+                    continue
+                near, _ = _near(bits, n, r, apart, most, percent)
+                if len(near):
+                    others, at = np.unique(label[near], return_index=True)
+                    low += [keys[r]] * len(at)
+                    high += [keys[x] for x in near[at]]
+                    label[np.isin(label, others)] = label[r]
+            if len(low) > 10_000:
+                yield _pairs(low, high)
+                low, high = [], []
+        yield _pairs(low, high)
+
+    return forests
+
+
+def _pairs(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+
+def _resolved(most: int, percent: int):
+    """Rows (key, comp): the components of confirmed links of each group (step 5)."""
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = byte_hashes()
+        for t in sorted_groups(batches, ["root"]):
+            keys = t.column("key").to_pylist()
+            sets = [shingle_set(x.as_py(), hashes) for x in t.column("text")]
+            n, bits, label = t.column("n").to_numpy(), _sketches(t), np.arange(len(keys))
+            for r in range(len(keys) - 1):
+                later = r + 1 + np.flatnonzero(label[r + 1:] != label[r])
+                near, odd = _near(bits, n, r, later, most, percent)
+                for x in near[np.argsort(odd, kind="stable")]:
+                    if label[x] != label[r] and _alike(sets[r], sets[x], percent):
+                        label[label == label[x]] = label[r]
+            low = {}
+            for r, k in enumerate(keys):
+                low[label[r]] = min(low.get(label[r], k), k)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), pa.array([low[x] for x in label], pa.binary())],
+                ["key", "comp"])
+
+    return resolve
+
+
+def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _confirmed(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = byte_hashes()
@@ -203,8 +277,7 @@ def _confirmed(percent: int):
                             sets, held = {}, len(found)
                         sets[key] = found
                     pair.append(found)
-                both = len(np.intersect1d(*pair, assume_unique=True))
-                linked.append(100 * both >= percent * (len(pair[0]) + len(pair[1]) - both))
+                linked.append(_alike(*pair, percent))
             keep = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep),
                                               batch.column("b").filter(keep)], ["a", "b"])
@@ -212,40 +285,104 @@ def _confirmed(percent: int):
     return confirm
 
 
-def _tiles(members: DataFrame, whole: bool) -> DataFrame:
+def _block(blocks: str):
+    return F.expr(f"CAST(pmod(xxhash64(key, bucket), {blocks}) AS INT)")
+
+
+TILE = ["bucket", "i", "j", "is_left", "is_right", "key", "comp", "n", "sketch"]
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members (with their bucket's ``size``) dealt to blocks, each compared with itself."""
+    both = F.lit(True)
+    return members.withColumns({"i": _block(f"CAST(ceil(size / {BLOCK}) AS INT)"), "is_left": both,
+                                "is_right": both}).withColumn("j", F.col("i")).select(*TILE)
+
+
+def _tiles(members: DataFrame) -> DataFrame:
     """Members dealt to tiles (bucket, i, j), with their roles.
 
-    ``whole``: members outside the bucket's largest component (in blocks i) against all
-    members (in blocks j).  Otherwise every block against itself.
+    Members outside the bucket's largest component (in blocks i) against all members (in blocks j).
     """
-    block = lambda blocks: F.expr(f"CAST(pmod(xxhash64(key, bucket), {blocks}) AS INT)")
     per = (members.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
            .groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("size"),
                                   F.count("*").alias("comps"))
            .where("comps > 1")
            .select("bucket", "size", F.col("top.comp").alias("major"),
                    (F.col("size") - F.col("top.c")).alias("minors")))
-    rows = members.join(per, "bucket")
-    blocks = f"CAST(ceil(size / {BLOCK}) AS INT)"
-    if not whole:
-        rows = rows.withColumns({"i": block(blocks), "is_left": F.lit(True), "is_right": F.lit(True)})
-        return rows.withColumn("j", F.col("i"))
-    minor_blocks = f"CAST(ceil(minors / {BLOCK}) AS INT)"
+    rows = members.drop("size").join(per, "bucket")
+    blocks, minor_blocks = (f"CAST(ceil({c} / {BLOCK}) AS INT)" for c in ("size", "minors"))
     rows = rows.withColumns({"minor": F.col("comp") != F.col("major"),
-                             "mi": block(minor_blocks), "mj": block(blocks)})
+                             "mi": _block(minor_blocks), "mj": _block(blocks)})
     as_right = rows.withColumn("i", F.explode(F.expr(f"sequence(0, {minor_blocks} - 1)"))).withColumns(
         {"j": F.col("mj"), "is_right": F.lit(True), "is_left": F.col("minor") & (F.col("mi") == F.col("i"))})
     # a minor member also goes to the tiles of its own block that hold other blocks' members
     as_left = (rows.where("minor").withColumn("j", F.explode(F.expr(f"sequence(0, {blocks} - 1)")))
                .where("j <> mj").withColumns({"i": F.col("mi"), "is_left": F.lit(True),
                                               "is_right": F.lit(False)}))
-    return as_right.unionByName(as_left)
+    return as_right.unionByName(as_left).select(*TILE)
+
+
+def _by_tile(tiles: DataFrame, fn, p: int) -> DataFrame:
+    return (tiles.repartition(p, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+            .mapInArrow(fn, "a binary, b binary"))
+
+
+def _groups(seats: DataFrame, wide: DataFrame, most: int, percent: int, p: int) -> DataFrame | None:
+    """Rows (key, root): components of the candidate pairs; None without any."""
+    first = (seats.join(wide.select("key", "n", "sketch"), "key")
+             .withColumn("comp", F.col("key")))
+    edges = stored(_by_tile(_blocks(first), _forests(most, percent), p).distinct(), "forests")
+    large = seats.where(F.col("size") > BLOCK)
+    if large.isEmpty():
+        return None if edges.isEmpty() else components(edges).withColumnRenamed("node", "key")
+    comps = _labels(wide, None if edges.isEmpty() else components(edges))
+    rest = large.join(wide.select("key", "n", "sketch").join(comps, "key"), "key")
+    more = stored(_by_tile(_tiles(stored(rest, "members")), _forests(most, percent), p).distinct(), "forests")
+    edges = edges.union(more)
+    return None if edges.isEmpty() else components(edges).withColumnRenamed("node", "key")
+
+
+def _labels(wide: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows (key, comp) of all classes; those without an edge are alone."""
+    if roots is None:
+        return wide.select("key", F.col("key").alias("comp"))
+    roots = roots.withColumnsRenamed({"node": "key", "root": "comp"})
+    return stored(wide.select("key").join(roots, "key", "left")
+                  .withColumn("comp", F.coalesce("comp", "key")), "components")
+
+
+def _rounds(seats: DataFrame, wide: DataFrame, texts: DataFrame, most: int, percent: int, p: int,
+            start_width: int) -> DataFrame:
+    """Rows (key, comp) of classes in groups too large for one task (step 5)."""
+    comps, edges = _labels(wide, None), None
+    width, early = 1, [3, 9]  # first inside the blocks of a few bands, to connect large groups
+    one = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    two = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    while True:
+        bands, whole = (early.pop(0), False) if early else (BANDS, True)
+        members = seats.where(F.col("band") < bands).join(
+            wide.select("key", "n", "sketch").join(comps, "key"), "key")
+        tiles = _tiles(stored(members, "members")) if whole else _blocks(members)
+        found = stored(_by_tile(tiles, _proposals(width, most, percent), p).distinct(), "proposed")
+        held_back = whole and not found.where("a IS NULL").isEmpty()
+        pairs = found.where("a IS NOT NULL")
+        links = stored(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
+                       .mapInArrow(_confirmed(percent), "a binary, b binary"), "links")
+        if not links.isEmpty():
+            edges = links if edges is None else edges.union(links)
+            comps = _labels(wide, components(edges))
+        if whole:
+            if not held_back:
+                return comps
+            width = width * 8 if width >= start_width else start_width
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, start_width: int = 4) -> DataFrame:
     """Rows (doc_id, text_id, n_shingles, component_id, kept), one per document."""
     spark = docs.sparkSession
     p = partitions(spark)
+    most = MOST_ODD if percent == PERCENT else most_odd(percent)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_id"),
                        F.col("text").alias("text"))
@@ -257,49 +394,39 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, start_width: int =
         F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch"),
         F.first("bands").alias("bands")), "classes")
     placed = classes.select("key", F.posexplode("bands").alias("band", "bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = stored(shared, "buckets")
     # members of buckets of two classes and more, without the sketches that make them wide
     seats = stored(may_occur(placed, ["bucket"], shared).join(shared, "bucket"), "seats")
     met = stored(seats.select("key").distinct(), "met")
     wide = classes.select("key", "n", "sketch", "first")
     wide = stored(may_occur(wide, ["key"], met).join(met, "key"), "met-classes")
-    texts = may_occur(rows, ["doc_id", "text_id"], wide.select("first.doc_id", "first.text_id"))
-    texts = (texts.join(wide.select("key", "first"),
-                        F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-                        & (F.col("text_id") == F.col("first.text_id")))
-             # repeated rows of one id and text are one text
-             .groupBy("key").agg(F.first("text").alias("text")))
-    texts = stored(texts, "texts")
-
-    comps = wide.select("key", F.col("key").alias("comp"))
-    edges, state = None, None
-    width, early = 1, [3, 9]
-    while True:
-        bands, whole = (early.pop(0), False) if early else (BANDS, True)
-        seated = seats.where(F.col("band") < bands).select("key", "bucket")
-        members = (seated.join(wide.select("key", "n", "sketch").join(comps, "key"), "key"))
-        tiles = _tiles(stored(members, "members"), whole).select(
-            "bucket", "i", "j", "is_left", "is_right", "key", "comp", "n", "sketch")
-        found = stored(tiles.repartition(p, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-                       .mapInArrow(_proposals(width, MOST_ODD if percent == PERCENT
-                                              else most_odd(percent), percent), "a binary, b binary")
-                       .distinct(), "proposed")
-        held_back = whole and not found.where("a IS NULL").isEmpty()
-        pairs = found.where("a IS NOT NULL")
-        one = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-        two = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-        links = stored(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-                       .mapInArrow(_confirmed(percent), "a binary, b binary"), "links")
-        if not links.isEmpty():
-            edges = links if edges is None else edges.union(links)
-            roots = components(edges).withColumnsRenamed({"node": "key", "root": "comp"})
-            comps = stored(wide.select("key").join(roots, "key", "left")
-                           .withColumn("comp", F.coalesce("comp", "key")), "components")
-        if whole:
-            if not held_back:
-                break
-            width = width * 8 if width >= start_width else start_width
+
+    groups = _groups(seats, wide, most, percent, p)
+    comps = spark.createDataFrame([], "key binary, comp binary")
+    if groups is not None:
+        groups = stored(groups.join(wide, "key"), "groups")
+        sizes = groups.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"))
+        fits = f"m <= {GROUP} AND tokens <= {GROUP_TOKENS}"
+        sizes = stored(sizes.withColumn("fits", F.expr(fits)), "group-sizes")
+        # only documents that some group needs are shuffled with their text
+        texts = may_occur(rows, ["doc_id", "text_id"], groups.select("first.doc_id", "first.text_id"))
+        texts = (texts.join(groups.join(sizes, "root"),
+                            F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+                            & (F.col("text_id") == F.col("first.text_id")))
+                 # repeated rows of one id and text are one text
+                 .groupBy("key").agg(F.first("root").alias("root"), F.first("fits").alias("fits"),
+                                     F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+                                     F.first("text").alias("text")))
+        texts = stored(texts, "texts")
+        comps = stored(texts.where("fits").select("root", "key", "n", "sketch", "text")
+                       .repartition(p, "root").sortWithinPartitions("root")
+                       .mapInArrow(_resolved(most, percent), "key binary, comp binary"), "resolved")
+        if not sizes.where(~F.col("fits")).isEmpty():
+            large = texts.where(~F.col("fits"))
+            own = stored(large.select("key", "n", "sketch"), "large")
+            comps = comps.union(_rounds(seats.join(own.select("key"), "key"), own, large, most, percent, p,
+                                        start_width))
 
     named = classes.select("key", "low_id").join(comps, "key", "left").withColumn(
         "comp", F.coalesce("comp", "key"))

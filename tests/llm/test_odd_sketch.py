@@ -74,14 +74,16 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("block", [2048, 16])
-def test_equals_brute_force(make_docs, monkeypatch, block):
+@pytest.mark.parametrize("block,group", [(2048, 8192), (16, 8192), (2048, 1), (16, 1), (16, 20)])
+def test_equals_brute_force(make_docs, monkeypatch, block, group):
     monkeypatch.setattr(O, "BLOCK", block)
+    monkeypatch.setattr(O, "GROUP", group)  # larger groups take rounds
     rows = corpus()
     assert got(O.near_duplicates(make_docs(rows))) == brute(rows)
 
 
 def test_narrow_proposals_hold_nothing_back_at_the_end(make_docs, monkeypatch):
+    monkeypatch.setattr(O, "GROUP", 0)
     monkeypatch.setattr(O, "MOST_ODD", O.BITS)  # every pair that meets is a candidate, most are rejected
     rows = corpus()
     assert got(O.near_duplicates(make_docs(rows), start_width=1)) == brute(rows)
