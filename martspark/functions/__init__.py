@@ -9,3 +9,4 @@ from martspark.functions.keys import hash_key  # noqa: F401
 from martspark.functions.dates import (  # noqa: F401
     month_start, months_back, first_day_of_month, last_day_of_month, lookback_start, ntz_lit,
 )
+from martspark.functions.amounts import exact_product  # noqa: F401

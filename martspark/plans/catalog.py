@@ -7,10 +7,12 @@ the library's operators over whole driver tables.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martspark.functions.amounts import exact_product
 from martspark.functions.clean import (BESTSELLER_FLAGS, DISCONTINUED_FLAGS, KF_FLAGS,
                                        blank_to_null, empty_to_null, normalize_code, parse_flag,
                                        parse_money, sentinel_to_null)
@@ -287,6 +289,21 @@ def sales_rejects(spark, sf_dir):
     return rejects.groupBy(F.col("_reject").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def exact_amounts(spark, sf_dir):
+    """Products of wide amounts, exact and rounded once; NULL beyond numeric(18,4)."""
+    li = read(spark, sf_dir, "lineitem")
+    long = lambda c: F.col(c).cast("decimal(22,0)")
+    wide = F.when(F.col("l_linenumber") == 7, F.lit(1000000)).otherwise(F.lit(1))
+    parts = {"qty": (long("l_orderkey") * 1000000007 + F.col("l_linenumber")) * wide,
+             "price": long("l_partkey") * 1000003 + 7, "rate": long("l_suppkey") * 100003 + 1}
+    amounts = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[
+        (v.cast("decimal(22,0)") * F.lit(Decimal("0.00000001"))).cast("decimal(22,8)").alias(k)
+        for k, v in parts.items()])
+    return amounts.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                          exact_product(F.col("price"), F.col("rate")).alias("unit_price"),
+                          exact_product(F.col("qty"), F.col("price"), F.col("rate")).alias("order_value"))
+
+
 def stock_snapshot(spark, sf_dir):
     """Monthly stock snapshot, latest line per (country, product)."""
     return stock_current(spark, sf_dir)

@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from martspark.functions.amounts import exact_product
 from martspark.functions.clean import (blank_to_null, empty_to_null, parse_decimal,
                                        parse_timestamp, sentinel_to_null)
 from martspark.functions.dates import lookback_start, ntz_lit
@@ -43,19 +44,6 @@ def _number(col: str) -> Column:
     return parse_decimal(col, 22, 8)
 
 
-def _product(*factors: Column) -> Column:
-    """Product as ``numeric(18,4)``, rounded once; NULL if it does not fit.
-
-    Up to ten integer digits the factors multiply at full precision; wider
-    ones at the precision 38 digits leave.
-    """
-    kinds = ["decimal(18,8)"] * (len(factors) - 1) + ["decimal(12,8)"]
-    narrow, wide = factors[0].try_cast(kinds[0]), factors[0]
-    for f, kind in zip(factors[1:], kinds[1:]):
-        narrow, wide = F.try_multiply(narrow, f.try_cast(kind)), F.try_multiply(wide, f)
-    return F.coalesce(narrow.try_cast("decimal(18,4)"), wide.try_cast("decimal(18,4)"))
-
-
 def _parse_sales(order_raw: DataFrame, as_of: dt.date | None, lookback_months: int):
     """Service-line filter, parsed columns, keep-condition and rejects."""
     # A NULL name fails the service-line filter too; such lines are reported.
@@ -136,8 +124,8 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     * the latest ``ingested_at`` per key wins (M7, D4);
     * status map, country and monthly rate are left lookups (J1-J3); a
       missing rate converts at 1 and sets ``fx_missing`` (F7, D11);
-    * ``quantity x unit_price x rate`` is computed at full precision and
-      rounded once to ``decimal(18,4)`` (D17);
+    * ``quantity x unit_price x rate`` is exact and rounded once to
+      ``decimal(18,4)``, whatever the amounts' digits (D17);
     * ``change_cols`` are the raw columns of the change hash (D12; the
       default tracks status, quantity, unit price and promised date) and
       ``escape_hash`` escapes ``'|'`` inside hashed values (D30);
@@ -174,8 +162,8 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
                "left")
 
     rate = F.coalesce(F.col("avg_rate_to_eur"), F.lit(1)).cast("decimal(20,8)")
-    s = s.withColumns({"_price_eur": _product(F.col("_price"), rate),
-                       "_value_eur": _product(F.col("_qty"), F.col("_price"), rate)})
+    s = s.withColumns({"_price_eur": exact_product(F.col("_price"), rate),
+                       "_value_eur": exact_product(F.col("_qty"), F.col("_price"), rate)})
     too_large = ((F.col("_price").isNotNull() & F.col("_price_eur").isNull())
                  | (F.col("_qty").isNotNull() & F.col("_price").isNotNull() & F.col("_value_eur").isNull()))
     raw = [c for c in order_raw.columns if c != "created_ts"]

@@ -616,6 +616,25 @@ def _sql() -> dict[str, str]:
                   count_if("l_shipdate IS NULL"), False, "FROM lineitem"),
     ])
 
+    q["exact_amounts"] = """
+WITH p AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    (CAST(l_orderkey AS HUGEINT) * 1000000007 + l_linenumber)
+      * CASE WHEN l_linenumber = 7 THEN 1000000 ELSE 1 END AS qi,
+    CAST(l_partkey AS HUGEINT) * 1000003 + 7 AS pi, CAST(l_suppkey AS HUGEINT) * 100003 + 1 AS ri
+  FROM lineitem),
+n AS (
+  SELECT *, pi * ri AS n2,
+    CASE WHEN CAST(qi AS DOUBLE) * CAST(pi AS DOUBLE) * CAST(ri AS DOUBLE) < 9.99e37
+         THEN (CASE WHEN CAST(qi AS DOUBLE) * CAST(pi AS DOUBLE) * CAST(ri AS DOUBLE) < 9.99e37
+                    THEN qi ELSE 0 END) * pi * ri END AS n3
+  FROM p)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CAST(CAST((n2 + 500000000000) // 1000000000000 AS DECIMAL(18,0)) * 0.0001 AS DECIMAL(18,4)) AS unit_price,
+  CAST(CAST((n3 + 50000000000000000000) // CAST('100000000000000000000' AS HUGEINT) AS DECIMAL(18,0)) * 0.0001
+       AS DECIMAL(18,4)) AS order_value
+FROM n"""
+
     report_missing = """fx_missing_3 AS (
   WITH fx AS """ + FX_PRIMARY + """,
   need AS (SELECT m.month_sk, c.currency_code

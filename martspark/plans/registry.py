@@ -31,6 +31,7 @@ QUERIES: dict[str, Query] = {
     "sales_lookback": catalog.sales_lookback,
     "sales_current_eur": catalog.sales_current_eur,
     "sales_rejects": catalog.sales_rejects,
+    "exact_amounts": catalog.exact_amounts,
     "stock_snapshot": catalog.stock_snapshot,
     "fx_monthly_avg": catalog.fx_monthly_avg,
     "fx_source_fallback": catalog.fx_source_fallback,
