@@ -50,10 +50,11 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates
 
 
-def sales_batch(spark, sf_dir, raw=None, as_of=None, run_ts=RUN_TS):
+def sales_batch(spark, sf_dir, raw=None, as_of=None, run_ts=RUN_TS, once=False):
     raw = raw if raw is not None else driver.order_raw(spark, sf_dir)
     rows, rejects = facts.prepare_sales(raw, status_map(spark), driver.dim_country(spark, sf_dir),
-                                        fx_rates(spark, sf_dir), as_of=as_of, run_ts=ts(run_ts))
+                                        fx_rates(spark, sf_dir), as_of=as_of, run_ts=ts(run_ts),
+                                        once=once)
     return rows, rejects
 
 

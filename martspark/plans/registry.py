@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martspark.plans import catalog, checks
+from martspark.plans import catalog, checks, oracle, oracle_stored, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,4 +53,7 @@ QUERIES: dict[str, Query] = {
     "dq_fx_coverage": checks.dq_fx_coverage,
     "dq_constraints": checks.dq_constraints,
     "dq_report": checks.dq_report,
+    **stored.QUERIES,
 }
+
+ORACLE_SQL: dict[str, str] = {**oracle.ORACLE_SQL, **oracle_stored.ORACLE_SQL}
