@@ -1,19 +1,22 @@
 """Exact duplicates through an extendible-hash index on shared files.
 
-Native DataFrame operations only.  Every distinct text becomes one index
-entry (64-bit key, chain number, keeper, group size, SHA-256).  Entries are
-spread over buckets of at most ``capacity`` entries: a bucket that overflows
-is split on the next key bit and the directory doubles, up to ``max_depth``
-bits; a bucket of that depth holds its overflow.  Buckets are stored in key
-order, so each owner task reads and writes one key range.
-
-Keys may collide.  Entries are grouped by (key, text), that is by comparing
-the bytes of whole texts; texts under one key form a chain, and documents of
-a chained key are matched to their entry by comparing texts again.  A key with a chain
-of one identifies its text, so all other documents need only their key.
-
-Copies are pre-aggregated before the shuffle: a text that a third of all rows
-share sends one row per map task.
+Native DataFrame operations only.
+
+1. Every text has a 64-bit key.  The keys, counted per map task, make the directory: a
+   bucket of more than ``capacity`` keys is split on the next key bit and the directory
+   doubles, up to ``max_depth`` bits; a bucket of that depth holds its overflow.
+   The directory has at most 2**max_depth slots and is broadcast.
+2. Rows are routed through the directory: a key's first bits name its slot, the
+   slot its bucket, and buckets are range-partitioned, so each owner task has a range
+   of keys.  Inside its range the owner groups equal texts (by comparing whole texts),
+   chains different texts of one key, and writes the entries (bucket, 64-bit key, chain
+   number, keeper, group size, SHA-256) in key order.
+3. A lookup goes the same way: key, slot, bucket, and entries of that bucket only.
+   A key with a chain of one identifies its text; documents of a chained
+   key are matched to their entry by comparing texts again.
+
+Copies are combined before they are routed: rows of a hot key are merged per map task
+first, so a text that a third of all rows share reaches its owner as one row per task.
 
 Defined cases: a null text counts as ''; texts differ unless identical;
 a null doc_id never wins over a number; if a doc_id is repeated with the same
@@ -31,8 +34,11 @@ from pyspark.sql.window import Window as W
 
 from martspark.llm.common import partitions, scratch_path, stored, table
 
-CAPACITY = 1 << 16
-MAX_DEPTH = 20
+CAPACITY = 1 << 16  # keys of a bucket, at most
+BUCKETS = 16        # per partition, at least, if there are enough keys
+MAX_DEPTH = 18      # the directory has at most 262,144 slots
+HOT = 1024          # a key is hot with more rows than this and than ...
+HOT_SHARE = 16      # ... this part of an average partition: at most 16 keys a partition
 
 
 @dataclass(frozen=True)
@@ -40,7 +46,7 @@ class Index:
     """Paths of a stored index."""
 
     entries: str    # bucket, local_depth, key, chain, chain_len, keep_id, group_size, text_sha256
-    directory: str  # depth, prefix, n: one row per bucket
+    directory: str  # slot, bucket, local_depth: one row per slot
     key_bits: int
     chained: bool   # some key holds more than one text
 
@@ -63,6 +69,15 @@ def _slots(buckets: DataFrame, depth: int) -> DataFrame:
                           first.alias("bucket"), F.col("depth").alias("local_depth"))
 
 
+def _routed(rows: DataFrame, spark: SparkSession, path: str, key_bits: int) -> DataFrame:
+    """``rows`` (column key) with the bucket that the stored directory names."""
+    slots = spark.read.parquet(path)
+    depth = (slots.agg(F.max("slot")).first()[0] or 0).bit_length()
+    # bounded: 2**max_depth slots
+    return (rows.withColumn("slot", _slot(F.col("key"), key_bits, depth))
+            .join(F.broadcast(slots), "slot").drop("slot"))
+
+
 def directory(keys: DataFrame, key_bits: int, capacity: int, max_depth: int) -> DataFrame:
     """Buckets (depth, prefix, n) of an extendible hash over ``keys.key``.
 
@@ -87,31 +102,44 @@ def directory(keys: DataFrame, key_bits: int, capacity: int, max_depth: int) ->
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                key_bits: int = 64, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> Index:
-    """Group texts and store directory and entries in the shared folder."""
+                key_bits: int = 64, capacity: int | None = None, max_depth: int = MAX_DEPTH) -> Index:
+    """Build the directory, group texts in their owners and store both in the shared folder.
+
+    ``capacity`` defaults to what gives every partition ``BUCKETS`` buckets, ``CAPACITY`` at most.
+    """
     spark = docs.sparkSession
+    p = partitions(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # map-side: one row per distinct text and task; the shuffle compares bytes
-    entries = (docs.select(text_key(text, key_bits).alias("key"), text.alias("text"),
-                           F.col(id_col).alias("id"))
-               .groupBy("key", "text")
-               .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")))
-    entries = entries.withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
-    # keys, counts and digests are stored; texts are not copied into the index
-    light = stored(entries.drop("text"), "exact-entries")
+    rows = docs.select(text_key(text, key_bits).alias("key"), text.alias("text"),
+                       F.col(id_col).alias("id"))
+    keys = stored(rows.groupBy("key").agg(F.count("*").alias("rows")), "exact-keys")
+    size = keys.agg(F.count("*").alias("keys"), F.sum("rows").alias("rows")).first()
+    if capacity is None:
+        capacity = max(1, min(CAPACITY, size.keys // (BUCKETS * p)))
     path = scratch_path(spark, "exact-index")
-    directory(light, key_bits, capacity, max_depth).write.parquet(f"{path}/directory")
-    buckets = spark.read.parquet(f"{path}/directory")
+    buckets = stored(directory(keys, key_bits, capacity, max_depth), "exact-buckets")
     depth = buckets.agg(F.max("depth")).first()[0] or 0
-    owned = (light.withColumn("slot", _slot(F.col("key"), key_bits, depth))
-             .join(_slots(buckets, depth), "slot")
-             .repartitionByRange(partitions(spark), "slot", "key"))
-    chain = W.partitionBy("slot", "key")
-    (owned.withColumn("chain", F.row_number().over(chain.orderBy("text_sha256")))
+    _slots(buckets, depth).write.parquet(f"{path}/directory")
+
+    limit = max(HOT, (size.rows or 0) // (HOT_SHARE * p))
+    hot = keys.where(F.col("rows") > limit).select("key", F.lit(True).alias("hot"))
+    marked = rows.join(F.broadcast(hot), "key", "left")  # bounded: HOT_SHARE * p keys
+    one = marked.where(F.col("hot").isNull()).select("key", "text", "id", F.lit(1).cast("long").alias("n"))
+    # copies of a hot key meet in the map task that reads them, not yet in one place
+    many = (marked.where("hot").groupBy(F.spark_partition_id().alias("task"), "key", "text")
+            .agg(F.max("id").alias("id"), F.count("*").alias("n")).drop("task"))
+    owned = (_routed(one.unionByName(many), spark, f"{path}/directory", key_bits)
+             .repartitionByRange(p, "bucket"))
+    # from here on every step works inside the owner's range of buckets
+    entries = (owned.groupBy("bucket", "key", "text")
+               .agg(F.first("local_depth").alias("local_depth"), F.max("id").alias("keep_id"),
+                    F.sum("n").alias("group_size"))
+               .withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256)).drop("text"))
+    chain = W.partitionBy("bucket", "key")
+    (entries.withColumn("chain", F.row_number().over(chain.orderBy("text_sha256")))
      .withColumn("chain_len", F.count("*").over(chain))
-     .drop("slot").write.parquet(f"{path}/entries"))
-    stored_entries = spark.read.parquet(f"{path}/entries")
-    chained = not stored_entries.where("chain_len > 1").isEmpty()
+     .sortWithinPartitions("bucket", "key", "chain").write.parquet(f"{path}/entries"))
+    chained = not spark.read.parquet(f"{path}/entries").where("chain_len > 1").isEmpty()
     return Index(f"{path}/entries", f"{path}/directory", key_bits, chained)
 
 
@@ -121,21 +149,20 @@ def lookup(docs: DataFrame, index: Index, id_col: str = "doc_id",
     spark = docs.sparkSession
     entries = spark.read.parquet(index.entries)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("doc_id"),
-                        text_key(text, index.key_bits).alias("key"))
+    at = ["bucket", "key"]
+    rows = _routed(docs.select(F.col(id_col).alias("doc_id"), text_key(text, index.key_bits).alias("key"),
+                               text.alias("text")), spark, index.directory, index.key_bits)
     found = ["doc_id", "keep_id", "group_size", "text_sha256", "chain"]
-    out = keyed.join(entries.where("chain_len = 1"), "key").select(*found)
+    out = rows.drop("text").join(entries.where("chain_len = 1"), at).select(*found)
     if index.chained:
         # colliding keys: fetch the chained texts and compare bytes
-        rows = docs.select(F.col(id_col).alias("doc_id"),
-                           text_key(text, index.key_bits).alias("key"), text.alias("text"))
         chains = entries.where("chain_len > 1")
-        texts = (rows.join(chains.select("key").distinct(), "key", "left_semi")
-                 .groupBy("key", "text").agg(F.count("*").alias("n"))
+        texts = (rows.join(chains.select(*at).distinct(), at, "left_semi")
+                 .groupBy(*at, "text").agg(F.count("*").alias("n"))
                  .withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
-                 .join(chains, ["key", "text_sha256"])
-                 .select("key", "text", "keep_id", "group_size", "text_sha256", "chain"))
-        out = out.union(rows.join(texts, ["key", "text"]).select(*found))
+                 .join(chains, [*at, "text_sha256"])
+                 .select(*at, "text", "keep_id", "group_size", "text_sha256", "chain"))
+        out = out.union(rows.join(texts, [*at, "text"]).select(*found))
     return out.select("doc_id", "keep_id", "group_size",
                       F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                       "text_sha256", F.col("chain").cast("int").alias("chain"))

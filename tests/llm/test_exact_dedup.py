@@ -55,3 +55,33 @@ def test_index_can_be_looked_up_later(make_docs):
 
 def test_empty(empty):
     assert X.exact_dedup(empty).collect() == []
+
+
+@pytest.mark.parametrize("hot,capacity", [(3, 4), (1024, 1)])
+def test_hot_texts_and_many_buckets(make_docs, monkeypatch, hot, capacity):
+    monkeypatch.setattr(X, "HOT", hot)
+    rows = [(i, f"text {i % 50}") for i in range(200)] + [(1000 + i, "hot") for i in range(100)]
+    docs = make_docs(rows).repartition(7)
+    assert got(X.exact_dedup(docs, capacity=capacity)) == expected(rows)
+
+
+def test_groups_and_lookups_go_through_the_directory(spark, make_docs):
+    rows = [(i, f"text {i % 40}") for i in range(80)]
+    docs = make_docs(rows)
+    index = X.build_index(docs, capacity=2)
+    slots = spark.read.parquet(index.directory)
+    assert slots.select("bucket").distinct().count() > 8
+    entries = spark.read.parquet(index.entries)
+    assert {r.bucket for r in entries.collect()} <= {r.bucket for r in slots.collect()}
+    assert got(X.lookup(docs, index)) == expected(rows)
+    # every slot names the bucket of its neighbour: nothing is found where it was put
+    wrong = f"{index.directory}-wrong"
+    n = slots.count()
+    named = {r.slot: r.bucket for r in slots.collect()}
+    buckets = sorted(set(named.values()))
+    after = dict(zip(buckets, buckets[1:] + buckets[:1]))
+    spark.createDataFrame([(s, after[b], 0) for s, b in named.items()],
+                          "slot bigint, bucket bigint, local_depth int").write.parquet(wrong)
+    broken = X.Index(index.entries, wrong, index.key_bits, index.chained)
+    assert X.lookup(docs, broken).count() == 0 and n == len(named)
+
