@@ -295,7 +295,7 @@ def _exact_links(threshold: float):
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
                     limit: int = LIMIT, max_depth: int = MAX_DEPTH, leaf_block: int = LEAF_BLOCK,
                     block: int = BLOCK) -> DataFrame:
-    """Rows (doc_id, text_id, class_id, set_id, n_links), one per document.
+    """Rows (doc_id, text_id, class_id, first_id, set_id, n_links, has_words), one per document.
 
     ``set_id`` names the documents with the same shingle set, ``class_id`` the
     connected documents (both by their smallest doc_id); ``n_links`` counts the
@@ -354,28 +354,62 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         "doc_id", "text_id", F.coalesce(own, "lowest")["doc_id"].alias("class_id"),
         F.coalesce(own, "lowest")["text_id"].alias("first_id"),
         F.coalesce(own, "first")["doc_id"].alias("set_id"),
-        F.coalesce("links", F.lit(0)).alias("n_links"))
+        F.coalesce("links", F.lit(0)).alias("n_links"), F.col("key").isNotNull().alias("has_words"))
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id."""
+    """One document of each group of near-duplicates: the one with the smallest doc_id.
+
+    Documents without words are linked to nothing and all stay, repeated rows too."""
     found = stored(near_duplicates(docs, **options), "groups")
     stays = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))
                         & (F.col("text_id") == F.col("first_id")))
     stays = stays.groupBy(F.col("doc_id").alias("__id"), F.col("text_id").alias("__text")).agg(
-        F.count("*").alias("__rows"))
+        F.count("*").alias("__rows"), F.bool_or("has_words").alias("__words"))
     text_id = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     kept = docs.withColumn("__text_id", text_id).join(
         stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_id") == F.col("__text")))
-    again = kept.where("__rows > 1")
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept.select(*docs.columns)
-    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " ")) != ""
-    return (kept.where("__rows = 1").union(again.where(~words))
-            .union(again.where(words).dropDuplicates(["__id", "__text"]))
+    again = F.col("__words") & (F.col("__rows") > 1)
+    return (kept.where(~again).union(kept.where(again).dropDuplicates(["__id", "__text"]))
             .select(*docs.columns))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "set_id", "n_links")
+
+
+# Shingles as here: texts in lower case, words between white space.
+SQL = rf"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(lower(coalesce(text, '')), '[^\s\x{{0B}}\x{{1C}}-\x{{1F}}\x{{85}}\x{{A0}}]+') AS w
+  FROM documents),
+sets AS MATERIALIZED (
+  SELECT rid, doc_id, list_sort(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WORDS}
+           THEN [array_to_string(w, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(w) - {WORDS} + 2),
+                lambda i: array_to_string(w[i:i + {WORDS} - 1], ' '))) END) AS s
+  FROM words),
+classes AS MATERIALIZED (
+  SELECT min(rid) AS cid, min(doc_id) AS set_id, s, len(s) AS n, count(*) AS size
+  FROM sets WHERE len(s) > 0 GROUP BY s),
+tokens AS MATERIALIZED (SELECT cid, n, unnest(s) AS t FROM classes),
+links AS MATERIALIZED (
+  SELECT a.cid AS x, b.cid AS y
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.cid < b.cid AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY a.cid, b.cid, a.n, b.n
+  HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT cid AS x, cid AS y FROM classes
+  UNION
+  SELECT r.x, e.y FROM reach r JOIN both_ways e ON e.x = r.y),
+roots AS (SELECT r.x AS cid, min(c.set_id) AS class_id FROM reach r JOIN classes c ON c.cid = r.y GROUP BY r.x),
+partners AS (SELECT e.x AS cid, sum(c.size) AS n FROM both_ways e JOIN classes c ON c.cid = e.y GROUP BY e.x)
+SELECT d.doc_id, coalesce(r.class_id, d.doc_id) AS class_id, coalesce(c.set_id, d.doc_id) AS set_id,
+       CAST(coalesce(c.size - 1 + coalesce(p.n, 0), 0) AS BIGINT) AS n_links
+FROM sets d LEFT JOIN classes c ON d.s = c.s LEFT JOIN roots r USING (cid) LEFT JOIN partners p USING (cid)
+"""

@@ -23,6 +23,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.SQL,
+    "op3_jaccard_join": jaccard_join.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op5_hilbert_shards": hilbert.SQL,
     "op6_mix_sources": mixing.SQL,

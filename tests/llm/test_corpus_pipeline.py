@@ -54,3 +54,56 @@ def test_decisions_take_effect(spark, stages):
 def test_run_equals_the_stages(spark, stages):
     got = sorted(tuple(r) for r in P.run(spark, SF).collect())
     assert got == sorted(stages[-1][2])
+
+
+# -- odd rows, empty tables, clashing columns ------------------------------------
+
+ODD = [
+    (1, None, "a"), (2, "", "a"), (3, "  \n\t ", None), (3, "  \n\t ", None), (4, "same text here, five words", "b"),
+    (5, "same text here, five words", "b"), (5, "same text here, five words", "b"), (6, " ", "a"), (6, " ", "a"),
+    (7, "\u001c", "c"), (7, "\u001c", "c"), (None, "no id at all", "b"), (None, "no id at all", "b"), (None, None, None),
+    (8, " ".join(f"w{i % 977}x{i % 31}" for i in range(40_000)), "c"), (9, "zero\x00byte <|endoftext|> it's", "c"),
+]
+
+
+def tables(spark, folder, docs, labels, benchmark):
+    more = [(i, t, "en", s, 0, "x", "y") for i, t, s in docs]
+    frames = {"documents": (more, "doc_id bigint, text string, lang string, source string, n_chars bigint,"
+                                  " score string, taken string"),
+              "labels": (labels, "doc_id bigint, quality int, toxic int, key string"),
+              "benchmark": (benchmark, "item_id bigint, text string, doc_id string")}
+    for name, (rows, schema) in frames.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+LABELS = [(1, 0, 0, "k"), (4, 1, 0, "k"), (5, 1, 0, "k"), (None, 1, 0, "k"), (99, None, None, None)]
+ITEMS = [(1, "a passage of a benchmark that no document holds anywhere", "x"), (2, None, None), (None, "", "z")]
+
+
+@pytest.mark.parametrize("docs,labels,items", [(ODD, LABELS, ITEMS), (ODD, [], []), ([], LABELS, ITEMS), ([], [], [])])
+def test_stages_on_odd_rows_and_empty_tables(spark, tmp_path, docs, labels, items):
+    folder = tables(spark, str(tmp_path / "t"), docs, labels, items)
+    frame = table(spark, folder, "documents")
+    columns = frame.columns
+    for name, stage in P.STAGES:
+        before = frame.count()
+        out = stage(spark, frame, folder)
+        rows = out.collect()
+        if name != P.STAGES[-1][0]:
+            assert out.columns == columns
+            frame = spark.createDataFrame(rows, out.schema)
+        if name in ("quality_classifier", "jaccard_join", "decontamination"):
+            assert len(rows) <= before
+        if not docs:
+            assert rows == []
+    assert len(rows) == frame.count()  # one row per document written
+
+
+def test_rows_without_words_stay(spark, make_docs):
+    blank = [(1, " "), (1, " "), (2, " \t"), (2, " \t"), (3, "\u001c"), (3, "\u001c"), (4, None), (4, None)]
+    kept = jaccard_join.keep_first(make_docs(blank))
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.text) == sorted(r for r in blank if r[1])
+    assert kept.count() == len(blank)
+    words = [(1, "one two three four five six"), (1, "one two three four five six"), (2, "one two three four five six")]
+    assert [r.doc_id for r in jaccard_join.keep_first(make_docs(words + blank)).where("text LIKE 'one%'").collect()] == [1]
