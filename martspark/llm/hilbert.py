@@ -1,10 +1,11 @@
 """Shards along a Hilbert curve over several metadata dimensions.
 
-Native DataFrame operations only.  Each dimension is quantised to ``bits``
-bits between its smallest and largest value, keeping order; the cell's Hilbert
-index orders the rows, and runs of equal row count become shards.  Neighbours
-on the curve agree in all dimensions, so a shard's value ranges are narrow in
-each of them and files can be pruned on any.
+Native DataFrame operations only.  Each dimension is quantised to at most
+2**bits cells, keeping order: one cell per distinct value if there are that few, else
+quantiles of the rows, counted exactly.  So a frequent value has a cell of its own, and
+rare ones share cells of about equal row count.  The cell's Hilbert index orders the rows,
+and runs of equal row count become shards.  Neighbours on the curve agree in all
+dimensions, so a shard's value ranges are narrow in each of them and files can be pruned on any.
 
 Row numbers come without a global sort: cells are at most 2**(bits x
 dimensions), a hot cell is split into parts by the id's hash, the parts'
@@ -23,23 +24,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from martspark.llm.common import stored, table
+from martspark.llm.common import running_sums, stored, table
 
 SHARDS = 40
 BITS = 4
 PARTS = 8192
 
 
-def text_code(c: Column) -> Column:
-    """The first seven bytes of a text as a number that keeps byte order."""
-    head = F.substring(F.coalesce(c, F.lit("")).cast("binary"), 1, 7)
-    return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("long")
+def cell_bounds(rows: DataFrame, dim: str, bits: int, total: int) -> list:
+    """The smallest value of each cell of ``dim``, rising; at most 2**bits values."""
+    values = rows.groupBy(dim).agg(F.count("*").alias("__n"))
+    few = [r[0] for r in values.select(dim).limit((1 << bits) + 1).collect()]
+    if len(few) <= 1 << bits:
+        return sorted(few, key=lambda v: v.encode() if isinstance(v, str) else v)
+    before = running_sums(values, [dim], {"__before": F.col("__n")})
+    cells = before.groupBy(F.expr(f"__before * {1 << bits} DIV {total}").alias("__q")).agg(F.min(dim).alias("v"))
+    return [r.v for r in cells.orderBy("__q").collect()]
 
 
-def bit_length(c: Column) -> Column:
-    """Number of binary digits of a count, doubled, plus its second digit."""
-    digits = F.bin(c)
-    return F.length(digits) * 2 + F.substring(digits, 2, 1).eqNullSafe("1").cast("int")
+def quantised(dim: str, bounds: list, bits: int) -> Column:
+    """Number of the cell that holds the value of ``dim``.
+
+    Fewer than 2**bits cells are spread over the whole axis: what its first bits tell apart
+    stays apart on the curve."""
+    known = F.array(*[F.lit(v) for v in bounds])
+    nth = F.size(F.filter(known, lambda b: b <= F.col(dim))) - 1
+    return F.floor(nth * F.lit(1 << bits) / F.lit(len(bounds))).cast("int")
 
 
 def hilbert_index(axes: list[str], bits: int) -> Column:
@@ -73,19 +83,15 @@ def order_by_curve(rows: DataFrame, dims: list[str], key: list[str], shards: int
                    bits: int = BITS, parts: int = PARTS) -> DataFrame:
     """Add ``cell`` (curve index), ``shard`` and ``slot`` to stored ``rows``.
 
-    ``dims`` are non-null long columns, ``key`` the columns that order rows of
+    ``dims`` are non-null numbers or texts, ``key`` the columns that order rows of
     one cell; the first of them also splits hot cells.  Broadcasts: cells (at
     most 2**(bits x dims) rows) and parts (at most that plus ``parts``).
     """
-    ends = rows.agg(F.count("*").alias("n"), *[f(d).alias(f"{f.__name__}_{d}")
-                                               for d in dims for f in (F.min, F.max)]).first()
-    total = ends["n"]
+    total = rows.count()
     if not total:
         return rows.select("*", *[F.lit(None).cast("long").alias(c) for c in ("cell", "slot")],
                            F.lit(None).cast("int").alias("shard"))
-    cell = {f"__q_{d}": F.expr(f"CAST(({d} - {ends[f'min_{d}']}) * {1 << bits} DIV"
-                               f" ({ends[f'max_{d}']} - {ends[f'min_{d}']} + 1) AS INT)")
-            for d in dims}
+    cell = {f"__q_{d}": quantised(d, cell_bounds(rows, d, bits, total), bits) for d in dims}
     gridded = rows.withColumns(cell)
     cells = (gridded.groupBy(*cell).agg(F.count("*").alias("__n"))
              .withColumn("cell", hilbert_index(list(cell), bits))
@@ -114,9 +120,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) ->
     light = stored(docs.select(
         "doc_id", (F.octet_length(data).cast("long") + 16).alias("size"),
         F.crc32(data).alias("text_crc32"),
-        text_code(F.col("lang")).alias("d_lang"), text_code(F.col("source")).alias("d_source"),
-        bit_length(F.octet_length(data).cast("long")).cast("long").alias("d_size")), "curve")
-    return order_by_curve(light, ["d_lang", "d_source", "d_size"],
+        F.coalesce(F.col("lang"), F.lit("")).alias("d_lang"),
+        F.coalesce(F.col("source"), F.lit("")).alias("d_source")), "curve")
+    return order_by_curve(light, ["d_lang", "d_source", "size"],
                           ["doc_id", "size", "text_crc32"], shards, bits)
 
 
@@ -178,7 +184,12 @@ def _sql() -> str:
     step({x: f"xor({x}, {flip})" for x in names})
     bits = " + ".join(f"((x{i} >> {b}) & 1) * {1 << (3 * b + 2 - i)}"
                       for b in range(BITS) for i in range(3))
-    code = "CAST('0x' || rpad(substr(hex(encode(coalesce({0}, ''))), 1, 14), 14, '0') AS BIGINT)"
+    quantiles = ",\n".join(f"""v{i} AS (SELECT d{i} AS v, count(*) AS n FROM d GROUP BY d{i}),
+b{i} AS (SELECT v, nth * {full} // (max(nth) OVER () + 1) AS q{i} FROM (
+  SELECT v, dense_rank() OVER (ORDER BY raw) - 1 AS nth FROM (
+  SELECT v, CASE WHEN (SELECT count(*) FROM v{i}) <= {full} THEN row_number() OVER (ORDER BY v)
+    ELSE coalesce(sum(n) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * {full}
+         // (SELECT count(*) FROM d) END AS raw FROM v{i})))""" for i in range(3))
     return f"""
 WITH RECURSIVE tbl(i, k, v) AS (
   SELECT i, 0, i FROM range(256) t(i)
@@ -191,15 +202,11 @@ d AS (SELECT doc_id, strlen(coalesce(text, '')) AS bytes,
             list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
                            lambda h: CAST('0x' || h AS BIGINT))),
           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32,
-        {code.format('lang')} AS d0, {code.format('source')} AS d1
+        coalesce(lang, '') AS d0, coalesce(source, '') AS d1, strlen(coalesce(text, '')) AS d2
       FROM documents, crc),
-e AS (SELECT *, length(bin(bytes)) * 2 + CASE WHEN substr(bin(bytes), 2, 1) = '1' THEN 1 ELSE 0 END
-        AS d2 FROM d),
-m AS (SELECT min(d0) a0, max(d0) b0, min(d1) a1, max(d1) b1, min(d2) a2, max(d2) b2,
-        count(*) AS total FROM e),
-g AS (SELECT e.*, total, (d0 - a0) * {full} // (b0 - a0 + 1) AS q0,
-        (d1 - a1) * {full} // (b1 - a1 + 1) AS q1, (d2 - a2) * {full} // (b2 - a2 + 1) AS q2
-      FROM e, m),
+{quantiles},
+g AS (SELECT d.*, (SELECT count(*) FROM d) AS total, q0, q1, q2
+      FROM d JOIN b0 ON d0 = b0.v JOIN b1 ON d1 = b1.v JOIN b2 ON d2 = b2.v),
 c0 AS (SELECT q0, q1, q2, count(*) AS n, q0::BIGINT AS x0, q1::BIGINT AS x1, q2::BIGINT AS x2
        FROM g GROUP BY q0, q1, q2),
 {', '.join(steps)},

@@ -60,3 +60,28 @@ def test_write_shards(odd, tmp_dir, spark):
 
 def test_empty(empty):
     assert H.shard_documents(empty).collect() == []
+
+
+def test_cells_follow_the_rows(spark):
+    def cells(values, bits):
+        df = spark.createDataFrame([(v,) for v in values], "v string" if isinstance(values[0], str) else "v long")
+        bounds = H.cell_bounds(df, "v", bits, len(values))
+        return {r.v: r.q for r in df.select("v", H.quantised("v", bounds, bits).alias("q")).distinct().collect()}
+
+    assert cells(["en"] * 50 + ["es"] * 6 + ["de", "fr"], 2) == {"de": 0, "en": 1, "es": 2, "fr": 3}
+    assert cells(["\u00e9", "z", ""], 2) == {"": 0, "z": 1, "\u00e9": 2}  # by bytes
+    assert cells(["a", "b"], 2) == {"a": 0, "b": 2}  # spread over the axis
+    got = cells([7] * 500 + list(range(100, 600)), 2)  # the hot value has a cell of its own
+    assert got[7] == 0 and sorted(set(got.values())) == [0, 1, 2]
+    assert [sum(q == c for v, q in got.items() if v != 7) for c in (1, 2)] == [250, 250]
+
+
+def test_shards_read_per_value(make_docs, spark):
+    langs = ["en"] * 12 + ["es"] * 2 + ["de", "fr"]
+    docs = make_docs([(i, "w " * (i * 37 % 400), f"src{10 + i * 7 % 10}") for i in range(4000)])
+    docs = docs.withColumn("lang", F.element_at(F.array(*map(F.lit, langs)), (F.col("doc_id") * 11 % 16 + 1).cast("int")))
+    placed = docs.select("doc_id", "lang", "source").join(H.shard_documents(docs), "doc_id")
+    read = lambda c: {r[0]: r.k for r in placed.groupBy(c).agg(F.count_distinct("shard").alias("k")).collect()}
+    by_lang, by_source = read("lang"), read("source")
+    assert by_lang["es"] <= 16 and by_lang["de"] <= 12 and by_lang["fr"] <= 12  # of 40
+    assert max(by_source.values()) <= 24
