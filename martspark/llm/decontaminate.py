@@ -12,6 +12,11 @@ block's items are broadcast and matched against all documents in one pass
 without a shuffle, and the passes' hits are joined row by row.  So the
 broadcast is bounded however large the benchmark is.
 
+An item without an error budget (up to 12 characters at the usual rate) matches whole words
+only, so that "art" is not found in "start".  Items of fewer than ``min_chars``
+characters are left out (default 1: none); every other one counts, however common
+its words are.
+
 Defined cases: a null or empty text is clean; null or blank items match
 nothing; repeated items are reported by each id; repeated rows are judged
 alike; an empty documents or benchmark table gives an empty or all-clean
@@ -91,6 +96,18 @@ class Matcher:
             self.automaton.make_automaton()
         self.empty = not at
 
+    @staticmethod
+    def _whole(text: str, pattern: str) -> bool:
+        """Whether ``pattern`` occurs in ``text`` with no letter or digit running on at its ends."""
+        at = text.find(pattern)
+        while at >= 0:
+            end = at + len(pattern)
+            if not (at and text[at - 1].isalnum() and pattern[0].isalnum()) and not (
+                    end < len(text) and text[end].isalnum() and pattern[-1].isalnum()):
+                return True
+            at = text.find(pattern, at + 1)
+        return False
+
     def find(self, raw: str | None) -> list[dict]:
         text = normal(raw)
         if self.empty or not text:
@@ -102,7 +119,10 @@ class Matcher:
         found = []
         for j, diagonals in starts.items():
             item, pattern, k = self.items[j]
-            best = 0 if pattern in text else self._verify(text, pattern, k, sorted(diagonals))
+            if not k:
+                best = 0 if self._whole(text, pattern) else 1
+            else:
+                best = 0 if pattern in text else self._verify(text, pattern, k, sorted(diagonals))
             if best <= k:
                 found.append({"item_id": item, "distance": best})
         return sorted(found, key=lambda h: h["item_id"])
@@ -122,11 +142,11 @@ class Matcher:
         return best
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, min_chars: int = 1) -> Iterator[list[tuple[int, str]]]:
     block, size = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
         text = normal(row["text"])
-        if text and row["item_id"] is not None:
+        if len(text) >= max(1, min_chars) and row["item_id"] is not None:
             if block and size + len(text) > BLOCK_CHARS:
                 yield block
                 block, size = [], 0
@@ -147,10 +167,10 @@ def _matches(block: Broadcast, rate: float):
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, name: str,
-                 rate: float = RATE) -> DataFrame:
+                 rate: float = RATE, min_chars: int = 1) -> DataFrame:
     """``docs`` with a column ``name``: the items found, with their distances."""
     sc, out = docs.sparkSession.sparkContext, None
-    for block in _blocks(benchmark):
+    for block in _blocks(benchmark, min_chars):
         matches = _matches(sc.broadcast(block), rate)
         if out is None:
             out = docs.withColumn(name, matches(F.col("text")))

@@ -78,3 +78,15 @@ def test_empty(spark, odd, empty):
     assert D.drop_contaminated(odd, bench).count() == odd.count()
     some = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert D.with_matches(empty, some, "items").collect() == []
+
+
+def test_short_items_match_whole_words_only(spark):
+    items = [(1, "the"), (2, "a"), (3, "Art"), (4, "c++"), (5, "quick fox")]
+    find = lambda text: [h["item_id"] for h in D.Matcher([(i, D.normal(t)) for i, t in items], D.RATE).find(text)]
+    assert find("Weather and start, partial panther") == []
+    assert find("The art of C++.") == [1, 3, 4]
+    assert find("a") == [2] and find("quick foxes, a quick  FOX") == [2, 5]
+    docs = spark.createDataFrame([(1, "a long text about the art of war"), (2, "nothing")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = D.with_matches(docs, bench, "m", min_chars=3).collect()
+    assert [[h.item_id for h in r.m] for r in rows] == [[1, 3], []]
