@@ -11,7 +11,9 @@ Pattern language: ``||host`` anchors at the host or one of its subdomains,
 else is literal.  A rule with ``rank`` wins over those with a lower rank;
 rules of equal rank: block wins.
 
-The rules are a parameter; up to ``BROADCAST_RULES`` of them are broadcast,
+The rules are a parameter: a list, or lines of a filter list (``parse_rules``: ``!`` opens
+a comment, ``@@`` an exception, which wins over blocks; options after ``$`` that
+name page types or parties are not judged here, and rules that need them are left out).  Up to ``BROADCAST_RULES`` of them are broadcast,
 more are joined by shuffle.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path
@@ -83,6 +85,26 @@ class Rule:
         return found
 
 
+def parse_rules(lines: list[str], rank: int = 0) -> list[Rule]:
+    """Rules of a filter list, one per line; blank lines, comments and element rules
+    (``##``) are no URL rules."""
+    rules = []
+    for line in lines:
+        text = line.strip()
+        if not text or text[0] in "![" or "##" in text or "#@#" in text:
+            continue
+        allow = text.startswith("@@")
+        pattern, _, options = text.removeprefix("@@").partition("$")
+        if pattern and not options:
+            rules.append(Rule(text, pattern, "allow" if allow else "block", rank + allow))
+    return rules
+
+
+def read_rules(spark: SparkSession, path: str) -> list[Rule]:
+    """The rules of a filter-list file in any store that Spark reads."""
+    return parse_rules([r.value for r in spark.read.text(path).collect()])
+
+
 def site_rules() -> list[Rule]:
     """The contract's rules: the longest that fits decides."""
     return [Rule(r, f"||{r}", v, len(r)) for v, r in SITE_RULES]

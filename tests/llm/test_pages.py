@@ -85,3 +85,43 @@ def test_boilerplate_by_site(spark):
 def test_boilerplate_empty(spark):
     df = spark.createDataFrame([], "page_id int, host string, lines array<string>")
     assert L.drop_boilerplate(df).collect() == []
+
+
+def test_rules_of_a_filter_list(spark, tmp_dir):
+    path = f"{tmp_dir}/rules.txt"
+    with open(path, "w") as f:
+        f.write("! a comment\n[Adblock]\n||ads.example.com^\n@@||ads.example.com/ok^\n/banner/*\n"
+                "site.com##.ad\n||party.com^$third-party\n\n  |plain.org/  \n")
+    rules = U.read_rules(spark, path)
+    assert [(r.pattern, r.verdict, r.rank) for r in rules] == [
+        ("||ads.example.com^", "block", 0), ("||ads.example.com/ok^", "allow", 1), ("/banner/*", "block", 0),
+        ("|plain.org/", "block", 0)]
+    urls = ["http://ads.example.com/x", "http://b.ads.example.com/ok/1", "http://x.net/banner/1", "http://plain.org/",
+            "http://a.plain.org/", "http://party.com/"]
+    rows = U.judge(spark.createDataFrame([(u,) for u in urls], "url string"), rules).collect()
+    got = {r.url: r.verdict for r in rows}
+    assert [got[u] for u in urls] == ["block", "allow", "block", "block", "allow", "allow"]
+
+
+def test_a_hundred_thousand_rules(spark):
+    import random
+    import re
+    rng = random.Random(6)
+    word = lambda: f"{rng.choice(['ad', 'track', 'shop', 'news', 'img'])}{rng.randrange(30_000)}"
+    forms = ["||{0}.com^", "/{0}/*", "^{0}^", "|{0}.org/{1}/", "||{0}.net/*/{1}^", "/{0}/{1}", "{0}*{1}"]
+    lines = [("@@" if rng.random() < 0.1 else "") + rng.choice(forms).format(word(), word()) for _ in range(100_000)]
+    rules = U.parse_rules(lines)
+    assert len(rules) == 100_000
+    urls = [f"http://{word()}.{rng.choice(['com', 'org', 'net'])}/{word()}/{word()}/" for _ in range(40)]
+    for r in rng.sample(rules, 20):  # some that surely match
+        urls.append("http://" + r.pattern.replace("@@", "").strip("|").replace("^", "/").replace("*", "x"))
+    got = {r.url: (r.verdict, r.rule) for r in U.judge(
+        spark.createDataFrame([(u,) for u in urls], "url string"), rules).collect()}
+    compiled = [(re.compile(r.regex()), r) for r in rules]
+    blocked = 0
+    for u in urls:
+        target = u.split("://")[1]
+        best = max(((r.rank, r.verdict, r.name) for rx, r in compiled if rx.search(target)), default=None)
+        assert got[u] == ((best[1], best[2]) if best else ("allow", None)), u
+        blocked += best is not None
+    assert blocked >= 15
