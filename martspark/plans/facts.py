@@ -27,6 +27,7 @@ from martspark.session import checkpoint_dir
 
 SERVICE_PRODUCT = "Delivery Fee"  # fixed value: service lines never enter the fact
 KEY_COLS = ["country", "order_id", "product_number"]
+MAX_LOOKUP = 1_000_000  # rows of a relation that a load broadcasts
 CHANGE_COLS = ["overall_status_name", "quantity", "unit_price", "promised_delivery_at"]
 
 # Columns a re-delivered line may change; identity columns never change.
@@ -148,12 +149,18 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     # (a few hundred literals), countries, and the rate table, one row per
     # (month, currency): a century of months x all ISO currencies is about
     # 240k rows.  Broadcasting up front keeps the batch from being shuffled
-    # for a join that AQE would only turn into a broadcast afterwards.
-    m = F.broadcast(status_map.select(F.col("raw_status").alias("_map_key"), "status_std"))
+    # for a join that AQE would only turn into a broadcast afterwards.  A load
+    # that runs jobs anyway counts them; a larger one is joined as Spark sees fit.
+    def small(df: DataFrame) -> DataFrame:
+        if once and df.limit(MAX_LOOKUP + 1).count() > MAX_LOOKUP:
+            return df
+        return F.broadcast(df)
+
+    m = small(status_map.select(F.col("raw_status").alias("_map_key"), "status_std"))
     one_per_code = keep_first(dim_country.select("country_code", "country_name", "currency_code"),
                               ["country_code"], [F.col("country_name").asc_nulls_first()], ["country_name"])
-    c = F.broadcast(one_per_code.select(F.col("country_code").alias("_cc"), "currency_code"))
-    fx = F.broadcast(fx_rates.select(F.col("currency_code").alias("_fx_cur"),
+    c = small(one_per_code.select(F.col("country_code").alias("_cc"), "currency_code"))
+    fx = small(fx_rates.select(F.col("currency_code").alias("_fx_cur"),
                                      F.col("month_sk").alias("_fx_month"), "avg_rate_to_eur"))
     s = s.join(m, F.trim(F.col("overall_status_name")) == F.col("_map_key"), "left")
     s = s.join(c, F.col("country") == F.col("_cc"), "left")

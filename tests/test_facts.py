@@ -222,3 +222,12 @@ def test_rejects_outside_the_window_do_not_block(spark):
     raw = order_raw(spark, [old, new])
     assert facts.sales_rejects(raw).count() == 2
     assert rows(facts.sales_rejects(raw, AS_OF), "order_id") == [("2",)]
+
+
+def test_large_lookups_are_not_broadcast(spark, monkeypatch):
+    m, c, r = lookups(spark)
+    args = dict(as_of=AS_OF, run_ts=run_col())
+    want = rows(facts.prepare_sales(order_raw(spark), m, c, r, **args)[0])
+    monkeypatch.setattr(facts, "MAX_LOOKUP", 1)  # every lookup is too large
+    batch, rejects = facts.prepare_sales(order_raw(spark), m, c, r, once=True, **args)
+    assert rows(batch) == want and rejects.count() == 3
