@@ -72,7 +72,7 @@ class Tree:
 TEXTS = ["abab ab", "the cat", "The hat", "", None, "abba", "café", "a  b\n", "the the the"]
 
 
-@pytest.mark.parametrize("depth", [2, 3])
+@pytest.mark.parametrize("depth", [2, 3, C.DEPTH])
 def test_equals_the_definition(make_docs, depth):
     rows = [(i, t) for i, t in enumerate(TEXTS)]
     rows += [(i, TEXTS[i % 9]) for i in range(20, 30)]
@@ -128,3 +128,4 @@ def test_without_training_rows_and_empty(make_docs, empty):
     assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0)
     assert math.isclose(r.score, 3 * 8 * math.log10(0.5))
     assert C.lm_scores(empty).collect() == []
+
