@@ -13,8 +13,8 @@ rules of equal rank: block wins.
 
 The rules are a parameter: a list, or lines of a filter list (``parse_rules``: ``!`` opens
 a comment, ``@@`` an exception, which wins over blocks; options after ``$`` that
-name page types or parties are not judged here, and rules that need them are left out).  Up to ``BROADCAST_RULES`` of them are broadcast,
-more are joined by shuffle.
+name page types or parties are not judged here, and rules that need them are
+left out).  Up to ``BROADCAST_RULES`` of them are broadcast, more are joined by shuffle.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path
 and is judged as such; repeated rows are all returned; a URL that no rule
