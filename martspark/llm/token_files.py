@@ -63,6 +63,17 @@ class TokenFiles:
     parts: int   # of the index
 
 
+#: Texts on which a tokenizer must give the same ids whole and in pieces: case, blanks at
+#: both ends and in runs, line ends, marks before and after words, digits, contractions,
+#: accents, other scripts, special tokens.
+_WORDS = ["the", "The", "THE", "hello", "World", "x", "I", "don't", "re-use", "3", "1984", "3rd", "caf\u00e9",
+          "na\u00efve", "\u4f60\u597d", "\U0001F600", "a.b", "e.g.", "http://a.b/c?d=1", "<|endoftext|>", "_", "__init__"]
+_MARKS = ["", ".", ",", "!", "?!", "...", ")", "\"", "'", "'s", ":", ";", "-", "$", "%", "#", "`", "~", "\\"]
+PROBES = [f"{w}{m}{gap}{v}{m}" for i, w in enumerate(_WORDS) for m in _MARKS
+          for gap, v in ((" ", _WORDS[i - 1]), ("\n", "next"), ("  ", "Next"), ("\t", "end"))]
+PROBES += [f"{m}{w}" for w in _WORDS for m in _MARKS] + ["", " ", "  ", "\n", "\n\n", " a ", "\r\n", "a\r\nb", "\x00"]
+
+
 class _Encoder:
     """Ids of whole texts, as bytes.
 
@@ -71,6 +82,9 @@ class _Encoder:
     the case of ASCII letters and never joins a letter or digit to a punctuation mark
     after it, so a piece's trailing marks are encoded apart.  What is encoded
     once is kept while it is in the cache.
+
+    Whether a tokenizer does all this is tried on ``PROBES`` when it is loaded; one that
+    differs on any of them encodes whole texts instead.
     """
 
     def __init__(self, path: str, width: int):
@@ -98,9 +112,13 @@ class _Encoder:
                     return stems[stem] + stems[s[len(stem):]]
             return encode(s)
 
-        self.pieces = BoundedCache(piece)
+        self.pieces, self.whole = BoundedCache(piece), encode
+        self.by_pieces = True
+        self.by_pieces = all(self(s) == encode(s) for s in PROBES)
 
     def __call__(self, text: str | None) -> bytes:
+        if not self.by_pieces:
+            return self.whole(text or "")
         return b"".join(map(self.pieces.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 

@@ -58,6 +58,17 @@ def test_round_trip(spark, odd, tmp_dir, shards):
     assert [(r.doc_id, r.copy) for r in T.read_tokens(gone, files).collect()] == [(6, 1)]
 
 
+def test_a_tokenizer_that_differs_encodes_whole_texts(odd, tmp_dir):
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")  # keeps case and blanks
+    assert not T._Encoder(path, 2).by_pieces and T._Encoder(T.TOKENIZER, 2).by_pieces
+    rows = T.read_tokens(T.document_keys(odd), T.write_tokens(odd, f"{tmp_dir}/t", tokenizer=path),
+                         with_ids=True).collect()
+    tok = Tokenizer.from_file(path)
+    want = [(d is None, d or 0, tok.encode(t or "", add_special_tokens=False).ids + [1]) for d, t in texts_of(odd)]
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.ids) for r in rows) == sorted(want)
+
+
 def test_empty(empty):
     df = T.token_table(empty)
     assert df.collect() == [] and df.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
