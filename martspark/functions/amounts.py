@@ -23,19 +23,20 @@ def exact_product(*factors: Column, precision: int = 18, scale: int = 4) -> Colu
     """
     if precision - scale + FACTOR_SCALE * len(factors) > 38:
         raise ValueError(f"{len(factors)} factors do not leave room for decimal({precision},{scale})")
-    n, zero, known = None, F.lit(False), F.lit(True)
+    n, zero, known, negative = None, F.lit(False), F.lit(True), F.lit(False)
     for f in factors:
+        negative = negative != (f < 0)
         i = (f * F.lit(Decimal(10 ** FACTOR_SCALE))).cast("decimal(38,0)")
         n = i if n is None else F.try_multiply(n, i).cast("decimal(38,0)")
         zero, known = zero | (f == 0), known & f.isNotNull()
     drop = FACTOR_SCALE * len(factors) - scale  # decimals beyond the result's
-    if precision + drop < 38:  # else 38 digits are the limit already
-        n = F.when(F.abs(n) < F.lit(Decimal(10 ** (precision + drop))), n)
-    # round half away from zero: cut off the last digits, then look at them
-    unit = F.lit(Decimal(10 ** drop))
-    whole, rest = F.call_function("div", n, unit), F.abs(n % unit)
-    up = F.when(rest * 2 >= unit, F.when(n < 0, F.lit(-1)).otherwise(F.lit(1))).otherwise(F.lit(0))
-    exact = ((whole.cast("decimal(19,0)") + up).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
-             ).try_cast(f"decimal({precision},{scale})")
-    return F.when(known & zero, F.lit(0).cast(f"decimal({precision},{scale})")).otherwise(exact)
-
+    # No condition on ``n``, which Spark would then compute once per use; rounded at the result's
+    # last decimal, half away from zero, it has at most ``precision`` digits before the zeros.
+    n = n.try_cast(f"decimal({precision + drop},0)")
+    if precision + drop == 38:  # what would round to 39 digits is NULL
+        half = F.when(negative, F.lit(Decimal(-5 * 10 ** (drop - 1)))).otherwise(F.lit(Decimal(5 * 10 ** (drop - 1))))
+        n = (F.try_add(n, half) - half).cast("decimal(38,0)")
+    n = F.round(n, -drop)
+    exact = (n * F.lit(Decimal(1).scaleb(-FACTOR_SCALE * len(factors)))).try_cast(f"decimal({precision},{scale})")
+    # a partial product may be too large where a later factor is zero
+    return F.coalesce(exact, F.when(known & zero, F.lit(0).cast(f"decimal({precision},{scale})")))

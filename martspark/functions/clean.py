@@ -61,10 +61,11 @@ def parse_decimal(c: ColumnOrName, precision: int = 18, scale: int = 4,
                   trim: bool = False) -> Column:
     """``NULLIF(c, '')`` then a permissive cast to ``decimal(p, s)``.
 
-    Rounds half away from zero, as the target store does.
+    Rounds half away from zero, as the target store does.  The cast itself makes
+    empty text NULL; a ``nullif`` would compute a derived ``c`` twice.
     """
     v = F.trim(_col(c)) if trim else _col(c)
-    return F.nullif(v, F.lit("")).try_cast(f"decimal({precision},{scale})")
+    return v.try_cast(f"decimal({precision},{scale})")
 
 
 def parse_money(c: ColumnOrName, precision: int = 18, scale: int = 2,
@@ -103,6 +104,9 @@ def parse_timestamp(c: ColumnOrName, formats: Iterable[str] | None = None,
     cast does not throw on a miss, so it is cheap on dirty feeds.  With
     ``formats`` the first pattern that matches the whole text wins.
     """
+    sentinels = tuple(sentinels)
+    if not formats and sentinels == ("", "N/A"):  # the cast makes them NULL, and reads the text once
+        return F.trim(_col(c)).try_cast("timestamp_ntz")
     v = sentinel_to_null(c, sentinels)
     if not formats:
         return v.try_cast("timestamp_ntz")

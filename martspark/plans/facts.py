@@ -23,11 +23,12 @@ from martspark.operators.quality import duplicate_groups
 from martspark.operators.merge import (Changes, upsert, upsert_changed, upsert_partitions,
                                        upsert_touched)
 from martspark import schemas
-from martspark.session import checkpoint_dir
+from martspark.session import materialize
 
 SERVICE_PRODUCT = "Delivery Fee"  # fixed value: service lines never enter the fact
 KEY_COLS = ["country", "order_id", "product_number"]
 MAX_LOOKUP = 1_000_000  # rows of a relation that a load broadcasts
+FITS = 9e13  # numeric(18,4) holds every amount below 1e14
 CHANGE_COLS = ["overall_status_name", "quantity", "unit_price", "promised_delivery_at"]
 
 # Columns a re-delivered line may change; identity columns never change.
@@ -37,7 +38,8 @@ SALES_UPDATE_COLS = ["change_hash", "order_number", "raw_status", "status_std",
 
 
 def _not_blank_text_bad(raw: Column, parsed: Column) -> Column:
-    return F.nullif(F.trim(raw), F.lit("")).isNotNull() & parsed.isNull()
+    # The parsed value first: most lines parse, and for those the text is not looked at again.
+    return parsed.isNull() & raw.isNotNull() & (F.trim(raw) != "")
 
 
 def _number(col: str) -> Column:
@@ -64,8 +66,8 @@ def _parse_sales(order_raw: DataFrame, as_of: dt.date | None, lookback_months: i
     created_bad = created_txt.isNotNull() & F.col("_created").isNull()
     qty_bad = F.coalesce(_not_blank_text_bad(F.col("quantity"), F.col("_qty")), F.lit(False))
     price_bad = F.coalesce(_not_blank_text_bad(F.col("unit_price"), F.col("_price")), F.lit(False))
-    promised = sentinel_to_null("promised_delivery_at")
-    promised_bad = promised.isNotNull() & promised.try_cast("date").isNull()
+    promised = F.trim("promised_delivery_at")
+    promised_bad = F.coalesce(promised.try_cast("date").isNull() & ~promised.isin("", "N/A"), F.lit(False))
     unnamed = F.col("product_name").isNull()
     reject_reason = (F.when(unnamed, F.lit("product_name NULL"))
                       .when(created_na, F.lit("created_at N/A"))
@@ -133,8 +135,9 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     * country codes are reduced to one row per code before the lookup, so a
       duplicated code cannot fan lines out (D5); ``dim_country_code_check``
       reports such duplicates;
-    * ``once=True`` checkpoints the de-duplicated, enriched batch, so that rows
-      and rejects, used apart, do not each prepare it again.
+    * ``once=True`` writes the de-duplicated, enriched batch to the shared folder, so that
+      rows and rejects, used apart, do not each prepare it again (``session.release``
+      deletes it).
     """
     change_cols = list(change_cols or CHANGE_COLS)
     s, created, keep, rejects, _ = _parse_sales(order_raw, as_of, lookback_months)
@@ -171,8 +174,16 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
     rate = F.coalesce(F.col("avg_rate_to_eur"), F.lit(1)).cast("decimal(20,8)")
     s = s.withColumns({"_price_eur": exact_product(F.col("_price"), rate),
                        "_value_eur": exact_product(F.col("_qty"), F.col("_price"), rate)})
-    too_large = ((F.col("_price").isNotNull() & F.col("_price_eur").isNull())
-                 | (F.col("_qty").isNotNull() & F.col("_price").isNotNull() & F.col("_value_eur").isNull()))
+    # An amount this far below numeric(18,4) fits whatever the rounding of a double, so the exact
+    # products, which a filter would compute again, are only looked at where it is not.
+    def beyond(*factors: Column) -> Column:
+        size = F.abs(factors[0].cast("double"))
+        for f in factors[1:]:
+            size = size * F.abs(f.cast("double"))
+        return F.coalesce(size >= F.lit(FITS), F.lit(False))
+
+    too_large = ((beyond(F.col("_price"), rate) & F.col("_price_eur").isNull())
+                 | (beyond(F.col("_qty"), F.col("_price"), rate) & F.col("_value_eur").isNull()))
     raw = [c for c in order_raw.columns if c != "created_ts"]
     out = s.select(
         "business_key_hash",
@@ -182,7 +193,7 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
         F.col("overall_status_name").alias("raw_status"),
         "status_std", "channel_name", "product_name", "manufacturer",
         F.col("_created").alias("created_at"),
-        sentinel_to_null("promised_delivery_at").try_cast("date").alias("promised_delivery_at"),
+        F.trim("promised_delivery_at").try_cast("date").alias("promised_delivery_at"),
         F.col("_qty").cast("decimal(18,4)").alias("quantity"),
         F.col("_price_eur").alias("unit_price"),
         F.col("_value_eur").alias("order_value"),
@@ -194,8 +205,7 @@ def prepare_sales(order_raw: DataFrame, status_map: DataFrame, dim_country: Data
         F.when(too_large, F.struct(*raw)).alias("_overflow"),
     )
     if once:
-        checkpoint_dir(out.sparkSession)
-        out = out.checkpoint(eager=True)
+        out = materialize(out)
     overflow = out.where(F.col("_overflow").isNotNull()).select(
         "_overflow.*", F.lit("amount out of range").alias("_reject"))
     return out.where(F.col("_overflow").isNull()).drop("_overflow"), rejects.unionByName(overflow)

@@ -8,10 +8,12 @@ we read it from the session and only choose one ourselves when it is unset
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins with runtime sizes (the
 # size check behind every broadcast of a data-derived relation), coalesces
@@ -82,6 +84,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """``df``, computed once into parquet files under the checkpoint folder.
+
+    For whole batches: a checkpoint writes uncompressed rows, several times the size.
+    The files stay until ``release``."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of the ``materialize`` calls that ``df`` reads."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in sorted({m[1] for f in df.inputFiles() if (m := re.search(r"/(rows-[0-9a-f]{32})/", f))}):
+        path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+        path.getFileSystem(conf).delete(path, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application.
 

@@ -50,6 +50,22 @@ def test_equals_python_decimals(spark, seed):
     assert 500 < fits < len(got)
 
 
+def test_rounding_to_39_digits_is_null(spark):
+    d = Decimal
+    data = [(d("99999999999999.99995"), None), (d("99999999999999.99994999"), d("99999999999999.9999")),
+            (d("-99999999999999.99995"), None)]
+    df = spark.createDataFrame(data, "a decimal(22,8), want decimal(18,4)")
+    one = F.lit(1).cast("decimal(20,8)")
+    for r in df.select("want", exact_product(F.col("a"), one, one).alias("three")).collect():
+        assert r.three == r.want
+
+
+def test_product_is_computed_once(spark):
+    df = spark.createDataFrame([(Decimal(1), Decimal(2))], "a decimal(22,8), b decimal(20,8)")
+    plan = df.select(exact_product(F.col("a"), F.col("b")).alias("p"))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("as decimal(38,0)") <= 2  # one per factor
+
+
 def test_too_many_factors():
     with pytest.raises(ValueError):
         exact_product(*[F.lit(Decimal(1))] * 4)
