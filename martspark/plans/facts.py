@@ -289,7 +289,8 @@ def prepare_stock(stock_raw: DataFrame, as_of: dt.date, window: str = "all"
     bad = (F.col("country").isNull()
            | (F.col("sellable_stock").isNotNull() & (F.col("sellable_stock") != "") & F.col("_stock").isNull()))
     rejects = s.where(bad).drop("_stock")
-    s = latest_per_key(s.where(~bad), ["country", "product_number"], "ingested_at")
+    # The sort compares its first key by its leading bytes, in which products differ and countries do not.
+    s = latest_per_key(s.where(~bad), ["product_number", "country"], "ingested_at")
     out = s.select(F.lit(month).alias("snapshot_month"),
                    F.col("country").alias("country_code"), "product_number",
                    F.col("_stock").alias("sellable_stock"), "source_file",
