@@ -113,9 +113,9 @@ def upsert_table(spark: SparkSession, table: str, name: str, batch: DataFrame, g
     if not changes.values:
         return changes
     columns = [f.name for f in table_schema(table).fields]
-    seen = Observation()  # rows left per changed partition, counted during the write
-    rows = changes.merged.select(*columns).observe(seen, *[
-        F.count_if(F.col(part.name).eqNullSafe(F.lit(v))).alias(f"p{i}") for i, v in enumerate(changes.values)])
+    seen = Observation()  # partitions with rows left, found during the write; one aggregate, however many there are
+    rows = changes.merged.select(*columns).observe(
+        seen, F.collect_set(F.struct(F.col(part.name).alias("v"))).alias("left"))
     # rows are dealt to tasks by bucket, so that a bucket gets one file per partition
     rows = checked(rows, table, name)
     mode = "spark.sql.sources.partitionOverwriteMode"
@@ -125,8 +125,9 @@ def upsert_table(spark: SparkSession, table: str, name: str, batch: DataFrame, g
         rows.write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(mode, before)
-    for i, v in enumerate(changes.values):
-        if not seen.get[f"p{i}"]:  # every row moved away: nothing overwrote the partition
+    left = {r["v"] for r in seen.get["left"]}
+    for v in changes.values:
+        if v not in left:  # every row moved away: nothing overwrote the partition
             spec = "NULL" if v is None else f"'{v}'"
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{part.name}` = {spec})")
     return changes

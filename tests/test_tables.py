@@ -91,6 +91,21 @@ def test_bucketed_upsert_equals_upsert(spark, database):
     assert rows(spark.table(name), *cols) == want
 
 
+def test_an_upsert_counts_no_aggregate_per_partition(spark, database, monkeypatch):
+    name = f"{database}.sales_current"
+    tables.create_tables(spark, database, database, buckets=2)
+    tables.insert(spark, "sales_current", name, sales(spark, [(f"k{i}", "h", i, "old") for i in range(1, 13)]))
+    batch = sales(spark, [(f"k{i}", "x", i // 2 + 1, "new") for i in range(1, 13)])  # months 8 to 12 are left
+    frame, metrics = type(batch), []
+    observe = frame.observe
+    monkeypatch.setattr(frame, "observe", lambda self, o, *e: metrics.append(len(e)) or observe(self, o, *e))
+    got = tables.upsert_table(spark, "sales_current", name, batch, "change_hash",
+                              update_cols=facts.SALES_UPDATE_COLS + ["created_month"])
+    assert len(got.values) == 12 and max(metrics) <= 3
+    assert rows(spark.table(name), "created_month") == sorted((dt.date(2026, i // 2 + 1, 1),) for i in range(1, 13))
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 7
+
+
 def test_the_stored_side_is_not_shuffled(spark, database):
     name = f"{database}.sales_current"
     tables.create_tables(spark, database, database, buckets=8)
