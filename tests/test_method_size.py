@@ -29,3 +29,10 @@ def test_sales_load_is_compiled(spark, broadcast):
         driver._PLANS.clear()
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
     assert sizes and max(sizes) < 8000
+
+
+def test_feed_texts_are_built_once(spark):
+    """No filter holds a copy of the expressions that build a line's texts."""
+    plan = sales_current(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("l_quantity" in f or "p_retailprice" in f or "_rule" in f for f in filters)
