@@ -44,12 +44,13 @@ def start_sales_load(spark: SparkSession, staging_dir: str, store: TableStore, s
         folder = f"load_query={query}/load_batch={epoch_id}"
         # The load boundary stamps the run time, like the source's now().
         run_ts = F.current_timestamp().cast("timestamp_ntz")
-        lines = facts.line_counts(batch, as_of)
+        seen_lines = Observation()
         rows, rejects = facts.prepare_sales(batch, status_map, dim_country, fx_rates, as_of=as_of,
-                                            run_ts=run_ts, once=True)
+                                            run_ts=run_ts, once=True, lines=seen_lines)
         seen = Observation()  # counted during the write itself
         (rejects.observe(seen, F.count(F.lit(1)).alias("n"))
          .write.mode("overwrite").parquet(f"{store.root}/stream_rejects/{folder}"))
+        lines = facts.line_counts(seen_lines)
         staged, actions = pipeline.stage_sales_batch(store, rows, run_ts)
         checks = gate.Gate()
         hidden = [f"Q8.sales_current.{c}" for c in pipeline.REPORTED_NULLS["sales_current"]]
