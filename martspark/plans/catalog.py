@@ -292,14 +292,16 @@ def sales_rejects(spark, sf_dir):
 
 def exact_amounts(spark, sf_dir):
     """Products of wide amounts, exact and rounded once; NULL beyond numeric(18,4)."""
+    # Any bigint key fits its amount (28 digits): a wide one counts last decimals of 0.01, not of 0.00000001,
+    # as the product with 1000000 does.
     li = read(spark, sf_dir, "lineitem")
-    long = lambda c: F.col(c).cast("decimal(22,0)")
-    wide = F.when(F.col("l_linenumber") == 7, F.lit(1000000)).otherwise(F.lit(1))
-    parts = {"qty": (long("l_orderkey") * 1000000007 + F.col("l_linenumber")) * wide,
-             "price": long("l_partkey") * 1000003 + 7, "rate": long("l_suppkey") * 100003 + 1}
+    long = lambda c: F.col(c).cast("decimal(19,0)")
+    last = F.lit(Decimal("0.00000001"))
+    unit = F.when(F.col("l_linenumber") == 7, F.lit(Decimal("0.01000000"))).otherwise(last).cast("decimal(8,8)")
+    parts = {"qty": (long("l_orderkey") * 1000000007 + F.col("l_linenumber"), unit),
+             "price": (long("l_partkey") * 1000003 + 7, last), "rate": (long("l_suppkey") * 100003 + 1, last)}
     amounts = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[
-        (v.cast("decimal(22,0)") * F.lit(Decimal("0.00000001"))).cast("decimal(22,8)").alias(k)
-        for k, v in parts.items()])
+        (n.cast("decimal(28,0)") * u).cast("decimal(37,8)").alias(k) for k, (n, u) in parts.items()])
     return amounts.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                           exact_product(F.col("price"), F.col("rate")).alias("unit_price"),
                           exact_product(F.col("qty"), F.col("price"), F.col("rate")).alias("order_value"))
