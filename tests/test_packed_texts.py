@@ -1,0 +1,66 @@
+"""Texts shipped as one through the de-duplication: nothing lost, ties broken as column by column."""
+
+import datetime as dt
+import itertools
+import random
+
+from pyspark.sql import functions as F
+
+from martspark.operators.dedup import keep_first, latest_per_key, pack, unpack
+from martspark.plans.catalog import sales_current
+
+T1 = dt.datetime(2026, 1, 1)
+ODD = [None, "", "\x00", "\x01", "\x02", "\x03", "\x00\x01", "\x01\x00", "\x01\x01", "\x01\x02", "\x01\x03",
+       "\x01\x01\x02", "a", "a\x00", "a\x01", "a\x00b", "a\x01b", "ab", " ", "é", "\U0001f600"]
+COLS = ["a", "b", "c", "d"]
+
+
+def odd_rows(spark, n=1500):
+    rng = random.Random(5)
+    data = [(rng.randrange(40), T1, *[rng.choice(ODD) for _ in COLS], i % 3) for i in range(n)]
+    data += [(100 + i, T1, x, y, "z", None, 0) for i, (x, y) in enumerate(itertools.product(ODD, ODD))]
+    return spark.createDataFrame(data, "k int, ts timestamp_ntz, a string, b string, c string, d string, n int")
+
+
+def test_every_text_comes_back(spark):
+    df = odd_rows(spark).select(*COLS)
+    got = unpack(df.withColumn("_p", pack(COLS)), "_p", [f"{c}2" for c in COLS]).collect()
+    assert len(got) > 1500 and all(tuple(r)[:4] == tuple(r)[4:] for r in got)
+
+
+def test_bytes_that_are_no_utf8_come_back(spark):
+    df = spark.sql("SELECT CAST(X'61FF0080' AS STRING) a, CAST(X'FE' AS STRING) b, '' c, CAST(NULL AS STRING) d")
+    out = unpack(df.select(pack(COLS).alias("_p")), "_p", COLS)
+    out = out.select(*[F.hex(F.col(c).cast("binary")) for c in COLS])
+    assert tuple(out.collect()[0]) == ("61FF0080", "FE", "", None)
+
+
+def test_sorts_as_the_columns(spark):
+    df = odd_rows(spark).select(*COLS).distinct()
+    one = [tuple(r) for r in df.orderBy(*[F.col(c).asc_nulls_first() for c in COLS]).collect()]
+    assert one == [tuple(r) for r in df.orderBy(pack(COLS)).collect()]
+
+
+def test_same_rows_as_column_by_column(spark):
+    df = odd_rows(spark)
+    plain = keep_first(df, ["k"], [F.col("ts").desc_nulls_first()], ["ts"])
+    packed = latest_per_key(df, ["k"], "ts")
+    assert packed.schema.simpleString() == plain.schema.simpleString()
+    assert sorted(map(repr, packed.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_sales_lines_are_shipped_packed(spark):
+    """The shuffle of the de-duplication carries key, time and one text, not fourteen columns."""
+    plan = sales_current(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    window = next(p for p in plan.toString().splitlines() if p.lstrip(" :+-").startswith("Window ["))
+    assert "__packed_0" in window
+    node = plan
+    while node.nodeName() != "Window":
+        node = node.children().apply(0)
+    assert node.children().apply(0).output().size() <= 3
+
+
+def test_lines_cross_the_joins_as_numbers(spark):
+    plan = sales_current(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = plan[next(i for i, p in enumerate(plan) if "Join Inner" in p):]
+    assert any("l_quantity" in p for p in below) and not any("pmod" in p or "cast(l_quantity" in p for p in below)
