@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martspark import schemas
+from martspark.session import tidy
 from martspark.functions.clean import parse_timestamp
 from martspark.functions.dates import ntz_lit
 
@@ -230,7 +231,8 @@ def append_staging(df: DataFrame, path: str, partition_by: list[str] | None = No
     w = df.write.mode("append").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    with tidy(df.sparkSession):
+        w.save(path)
 
 
 def load_audit(df: DataFrame) -> DataFrame:

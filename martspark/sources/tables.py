@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from martspark import schemas
 from martspark.operators.merge import Changes, upsert_changed
+from martspark.session import tidy
 
 # The defaults the source declares (time zone free here, as all audit times are).
 DEFAULTS = {
@@ -122,7 +123,8 @@ def upsert_table(spark: SparkSession, table: str, name: str, batch: DataFrame, g
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        rows.write.insertInto(name, overwrite=True)
+        with tidy(spark):
+            rows.write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(mode, before)
     left = {r["v"] for r in seen.get["left"]}

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from martspark import schemas
 from martspark.operators import gate, profile
 from martspark.plans import facts, pipeline
+from martspark.session import PARQUET, release, tidy
 from martspark.sources.store import TableStore
 
 AUDIT = ["lines", "service", "outside", "rejected", "superseded", "inserted", "updated", "unchanged"]
@@ -48,10 +49,12 @@ def start_sales_load(spark: SparkSession, staging_dir: str, store: TableStore, s
         rows, rejects = facts.prepare_sales(batch, status_map, dim_country, fx_rates, as_of=as_of,
                                             run_ts=run_ts, once=True, lines=seen_lines)
         seen = Observation()  # counted during the write itself
-        (rejects.observe(seen, F.count(F.lit(1)).alias("n"))
-         .write.mode("overwrite").parquet(f"{store.root}/stream_rejects/{folder}"))
+        with tidy(session):
+            (rejects.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+             .options(**PARQUET).parquet(f"{store.root}/stream_rejects/{folder}"))
         lines = facts.line_counts(seen_lines)
         staged, actions = pipeline.stage_sales_batch(store, rows, run_ts)
+        release(rows)
         checks = gate.Gate()
         hidden = [f"Q8.sales_current.{c}" for c in pipeline.REPORTED_NULLS["sales_current"]]
         checks.add(profile.merged_checks(
